@@ -186,3 +186,196 @@ def markdown_field_rows(spark, sf):
     scored = field_scores_df(spark, sf)
     total = stats.overall(scored).select("total_test_cases").scalar()
     return field_rows(stats.by_field(scored), total).select("path", "line")
+
+
+# ---------------------------------------------------------------- N1-N10
+
+@register("first_number", r"""
+SELECT 'part' AS src, p_partkey AS id,
+       nullif(regexp_extract(p_brand, '[0-9]+(\.[0-9]+)?', 0), '') AS num_text,
+       CAST(nullif(regexp_extract(p_brand, '[0-9]+(\.[0-9]+)?', 0), '') AS DOUBLE) AS num
+FROM part
+UNION ALL
+SELECT 'orders', o_orderkey, nullif(regexp_extract(o_orderpriority, '[0-9]+(\.[0-9]+)?', 0), ''),
+       CAST(nullif(regexp_extract(o_orderpriority, '[0-9]+(\.[0-9]+)?', 0), '') AS DOUBLE)
+FROM orders
+UNION ALL
+SELECT 'documents', doc_id, nullif(regexp_extract(text, '[0-9]+(\.[0-9]+)?', 0), ''),
+       CAST(nullif(regexp_extract(text, '[0-9]+(\.[0-9]+)?', 0), '') AS DOUBLE)
+FROM documents""")
+def first_number(spark, sf):
+    def one(df, src, key, col):
+        return df.select(F.lit(src).alias("src"), F.col(key).alias("id"),
+                         rules.first_number(col).alias("num_text"),
+                         rules.number_from_string(col).alias("num"))
+    return (one(table(spark, sf, "part"), "part", "p_partkey", "p_brand")
+            .unionByName(one(table(spark, sf, "orders"), "orders", "o_orderkey", "o_orderpriority"))
+            .unionByName(one(table(spark, sf, "documents"), "documents", "doc_id", "text")))
+
+
+@register("website_standardize", """
+SELECT page_id, url,
+       lower(CASE WHEN starts_with(url, 'www.') THEN url ELSE 'www.' || url END) AS website
+FROM pages""")
+def website_standardize(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", "url", rules.website("url").alias("website"))
+
+
+def _grade_raw() -> "F.Column":
+    n = F.floor("l_quantity").cast("string")
+    p = F.round(F.col("l_discount") * 100).cast("bigint").cast("string")
+    k = F.round(F.col("l_tax") * 100).cast("bigint").cast("string")
+    ln = F.col("l_linenumber")
+    return (F.when(ln == 4, F.concat(n, F.lit(".5-"), p, F.lit("-"), k))
+            .when(ln == 5, F.concat(n, F.lit(" - "), p, F.lit(" - "), k))
+            .when(ln == 6, F.concat(n, F.lit(":"), p, F.lit(":"), k))
+            .when(ln == 7, F.concat(n, F.lit("--"), p))
+            .otherwise(F.concat(n, F.lit("-"), p, F.lit("-"), k)))
+
+
+_GRADE_RAW_SQL = """
+  CASE l_linenumber
+    WHEN 4 THEN CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '.5-' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR)
+    WHEN 5 THEN CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || ' - ' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || ' - ' || CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR)
+    WHEN 6 THEN CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR)
+    WHEN 7 THEN CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '--' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR)
+    ELSE CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR)
+  END"""
+
+
+@register("grade_validate", f"""
+WITH g AS (SELECT l_orderkey, l_linenumber, {_GRADE_RAW_SQL} AS raw FROM lineitem),
+v AS (SELECT *, CASE WHEN regexp_full_match(raw, '[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?')
+                     THEN raw END AS grade FROM g)
+SELECT l_orderkey, l_linenumber, raw, grade,
+       CAST(split_part(grade, '-', 1) AS DOUBLE) AS n,
+       CAST(split_part(grade, '-', 2) AS DOUBLE) AS p,
+       CAST(split_part(grade, '-', 3) AS DOUBLE) AS k
+FROM v""")
+def grade_validate(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", _grade_raw().alias("raw"))
+    parts = rules.grade_parts("raw")
+    return li.select("l_orderkey", "l_linenumber", "raw", rules.grade("raw").alias("grade"),
+                     parts["n"].alias("n"), parts["p"].alias("p"), parts["k"].alias("k"))
+
+
+@register("registration_validate", """
+WITH r AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_linenumber
+      WHEN 3 THEN lpad(CAST(l_orderkey AS VARCHAR), 7, '0') || lower(l_returnflag)
+      WHEN 5 THEN lpad(CAST(l_orderkey AS VARCHAR), 7, '0') || l_returnflag || 'X'
+      WHEN 6 THEN lpad(CAST(l_orderkey AS VARCHAR), 6, '0') || l_returnflag
+      ELSE lpad(CAST(l_orderkey AS VARCHAR), 7, '0') || l_returnflag END AS raw_id,
+    CASE WHEN l_linenumber = 2 THEN upper(CASE l_linestatus WHEN 'O' THEN 'fertilizer_product'
+                                                            ELSE 'ingredient_component' END)
+         WHEN l_linestatus = 'O' THEN 'fertilizer_product' ELSE 'ingredient_component' END AS raw_type
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, raw_id,
+       CASE WHEN regexp_full_match(raw_id, '[0-9]{7}[A-Z]') THEN raw_id END AS identifier,
+       raw_type,
+       CASE WHEN raw_type IN ('ingredient_component', 'fertilizer_product') THEN raw_type END AS type
+FROM r""")
+def registration_validate(spark, sf):
+    li = table(spark, sf, "lineitem")
+    key7 = F.lpad(F.col("l_orderkey").cast("string"), 7, "0")
+    ln = F.col("l_linenumber")
+    raw_id = (F.when(ln == 3, F.concat(key7, F.lower("l_returnflag")))
+              .when(ln == 5, F.concat(key7, F.col("l_returnflag"), F.lit("X")))
+              .when(ln == 6, F.concat(F.lpad(F.col("l_orderkey").cast("string"), 6, "0"),
+                                      F.col("l_returnflag")))
+              .otherwise(F.concat(key7, F.col("l_returnflag"))))
+    base = F.when(F.col("l_linestatus") == "O", F.lit("fertilizer_product")).otherwise(
+        F.lit("ingredient_component"))
+    raw_type = F.when(ln == 2, F.upper(base)).otherwise(base)
+    r = li.select("l_orderkey", "l_linenumber", raw_id.alias("raw_id"), raw_type.alias("raw_type"))
+    return r.select("l_orderkey", "l_linenumber", "raw_id",
+                    rules.registration_id("raw_id").alias("identifier"), "raw_type",
+                    rules.registration_type("raw_type").alias("type"))
+
+
+PHONE_CANDIDATE_RE = r"\+?\(?[0-9][0-9 ().\-]{6,18}[0-9]"
+
+
+def _phone_sql(col: str) -> str:
+    s = f"trim({col})"
+    d = f"regexp_replace({s}, '[^0-9]', '', 'g')"
+    nat = (f"CASE WHEN length({d}) = 11 AND starts_with({d}, '1') THEN substr({d}, 2, 10) "
+           f"WHEN length({d}) = 10 THEN {d} END")
+    dom = f"CASE WHEN regexp_full_match({nat}, '{phone.PLANS[0][1]}') THEN '+1' || {nat} END"
+    intl = "CASE " + " ".join(
+        f"WHEN regexp_full_match({d}, '{code}{pat}') THEN '+' || {d}" for code, pat in phone.PLANS
+    ) + " END"
+    ok = f"regexp_full_match({s}, '\\+?[0-9 ().\\-/\\[\\]~]*') AND length({d}) > 0"
+    return f"CASE WHEN {ok} THEN (CASE WHEN starts_with({s}, '+') THEN {intl} ELSE {dom} END) END"
+
+
+def _customer_phone(k="c_custkey", n="c_nationkey"):
+    return f"""CASE {n} % 4
+      WHEN 0 THEN '(' || CAST(200 + {k} % 800 AS VARCHAR) || ') 555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+      WHEN 1 THEN '1-' || CAST(200 + {k} % 800 AS VARCHAR) || '-555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+      WHEN 2 THEN '+44 20 7946 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+      ELSE CAST(100 + {k} % 900 AS VARCHAR) || ' 555 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') || ' ext' END"""
+
+
+@register("phone_standardize", f"""
+WITH cand AS (
+  SELECT 'documents' AS src, doc_id AS id,
+         unnest(regexp_extract_all(text, '{PHONE_CANDIDATE_RE}')) AS raw
+  FROM documents
+  UNION ALL
+  SELECT 'customer', c_custkey, {_customer_phone()} FROM customer
+)
+SELECT src, id, raw, {_phone_sql('raw')} AS e164, count(*) AS n
+FROM cand GROUP BY src, id, raw""")
+def phone_standardize(spark, sf):
+    docs = table(spark, sf, "documents").select(
+        F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
+        F.explode(F.regexp_extract_all("text", F.lit(PHONE_CANDIDATE_RE), 0)).alias("raw"))
+    cust = table(spark, sf, "customer").select(
+        F.lit("customer").alias("src"), F.col("c_custkey").alias("id"),
+        F.expr(_customer_phone().replace("CAST(", "CAST(").replace("VARCHAR", "STRING")).alias("raw"))
+    cand = docs.unionByName(cust)
+    return (cand.groupBy("src", "id", "raw").agg(F.count(F.lit(1)).alias("n"))
+            .select("src", "id", "raw", phone.to_e164("raw").alias("e164"), "n"))
+
+
+_TITLE_SQL = """CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 5 = 1 THEN ''
+  ELSE 'Guaranteed ' || CASE p_type WHEN 'SMALL' THEN 'minimum ' WHEN 'ECONOMY' THEN 'Minimal '
+                                    WHEN 'PROMO' THEN 'subminimal ' WHEN 'LARGE' THEN 'MINIM '
+                                    ELSE '' END || p_name || ' analysis' END"""
+_INCOMING_SQL = "CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_partkey % 2 = 0 END"
+
+
+@register("minimal_title", f"""
+WITH t AS (SELECT p_partkey, {_TITLE_SQL} AS title, {_INCOMING_SQL} AS incoming FROM part)
+SELECT p_partkey, title, incoming,
+       CASE WHEN length(title) > 0 THEN regexp_matches(title, '(?i)\\bminim\\w*\\b') ELSE incoming END
+         AS is_minimal
+FROM t""")
+def minimal_title(spark, sf):
+    p = table(spark, sf, "part").select(
+        "p_partkey", F.expr(_TITLE_SQL).alias("title"), F.expr(_INCOMING_SQL).alias("incoming"))
+    return p.select("p_partkey", "title", "incoming",
+                    rules.is_minimal("title", "incoming").alias("is_minimal"))
+
+
+@register("null_list_default", """
+WITH agg AS (
+  SELECT l_orderkey, count(*) AS n, list_sort(list_distinct(list(l_returnflag))) AS flags
+  FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, coalesce(n, 0) AS n_items,
+       len(coalesce(flags, [])) AS n_flags, array_to_string(coalesce(flags, []), ',') AS flags
+FROM orders LEFT JOIN agg ON o_orderkey = l_orderkey""")
+def null_list_default(spark, sf):
+    # per-order list of distinct return flags: bounded by the flag domain,
+    # built with partial aggregation; orders without items get [].
+    agg = (table(spark, sf, "lineitem").groupBy("l_orderkey")
+           .agg(F.count(F.lit(1)).alias("n"),
+                F.array_sort(F.collect_set("l_returnflag")).alias("flags")))
+    o = table(spark, sf, "orders").select("o_orderkey")
+    j = o.join(agg, o.o_orderkey == agg.l_orderkey, "left")
+    flags = rules.empty_if_null("flags", "string")
+    return j.select("o_orderkey", F.coalesce("n", F.lit(0)).alias("n_items"),
+                    F.size(flags).alias("n_flags"), F.array_join(flags, ",").alias("flags"))
