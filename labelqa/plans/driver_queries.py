@@ -379,3 +379,286 @@ def null_list_default(spark, sf):
     flags = rules.empty_if_null("flags", "string")
     return j.select("o_orderkey", F.coalesce("n", F.lit(0)).alias("n_items"),
                     F.size(flags).alias("n_flags"), F.array_join(flags, ",").alias("flags"))
+
+
+# ---------------------------------------------------------------- D2, D3, D5
+# Parts as images of documents (one document per brand): width derived from
+# the key, height from the size; ordered by key within the brand.
+
+def _manifest(spark, sf):
+    from ..operators import layout  # noqa: F401
+    return table(spark, sf, "part").select(
+        F.col("p_brand").alias("doc"), F.col("p_partkey").alias("seq"),
+        (F.lit(100) + (F.col("p_partkey") * 37) % 500).cast("bigint").alias("width"),
+        (F.col("p_size") * 10).cast("bigint").alias("height"))
+
+
+_MANIFEST_SQL = """m AS (SELECT p_brand AS doc, p_partkey AS seq,
+    CAST(100 + (p_partkey * 37) % 500 AS BIGINT) AS width, CAST(p_size * 10 AS BIGINT) AS height
+  FROM part)"""
+
+
+@register("composite_layout", f"""WITH {_MANIFEST_SQL}
+SELECT doc, seq, width, height, CAST(0 AS BIGINT) AS x,
+  CAST(coalesce(sum(height) OVER (PARTITION BY doc ORDER BY seq
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS y,
+  CAST(max(width) OVER (PARTITION BY doc) AS BIGINT) AS canvas_width,
+  CAST(sum(height) OVER (PARTITION BY doc) AS BIGINT) AS canvas_height
+FROM m""")
+def composite_layout(spark, sf):
+    from ..operators import layout
+    return layout.composite_layout(_manifest(spark, sf))
+
+
+@register("page_layout", f"""WITH {_MANIFEST_SQL}
+SELECT doc, seq, row_number() OVER (PARTITION BY doc ORDER BY seq) AS page_no,
+  count(*) OVER (PARTITION BY doc) AS n_pages,
+  612.0E0 AS page_width, 792.0E0 AS page_height,
+  612.0E0 / width AS scale_x, 792.0E0 / height AS scale_y
+FROM m""")
+def page_layout(spark, sf):
+    from ..operators import layout
+    return layout.page_layout(_manifest(spark, sf))
+
+
+@register("page_text_concat", """
+WITH p AS (SELECT conv_id, turn, CAST(length(text) AS BIGINT) AS len FROM conversations),
+s AS (
+  SELECT conv_id, turn, len,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS page_no,
+    coalesce(sum(len) OVER (PARTITION BY conv_id ORDER BY turn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      + (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS start_pos,
+    count(*) OVER (PARTITION BY conv_id) AS n_pages,
+    sum(len) OVER (PARTITION BY conv_id) + count(*) OVER (PARTITION BY conv_id) - 1 AS total_len
+  FROM p)
+SELECT conv_id, turn, page_no, CAST(start_pos AS BIGINT) AS start_pos,
+       CAST(start_pos + len AS BIGINT) AS end_pos, n_pages, CAST(total_len AS BIGINT) AS total_len
+FROM s""")
+def page_text_concat(spark, sf):
+    from ..operators import layout
+    conv = table(spark, sf, "conversations")
+    return layout.page_spans(conv, "conv_id", "turn", "text")
+
+
+# ---------------------------------------------------------------- E1 (schema-less)
+
+def _order_doc() -> "F.Column":
+    doc = F.struct(
+        F.col("o_orderkey").alias("key"),
+        F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"),
+                 (F.col("o_orderpriority") == "1-URGENT").alias("urgent")).alias("info"),
+        F.array("o_orderpriority", "o_orderstatus").alias("tags"),
+        F.array().cast("array<string>").alias("empty"),
+        F.create_map().cast("map<string,string>").alias("none"),
+        F.lit(None).cast("string").alias("note"))
+    return F.to_json(doc, {"ignoreNullFields": "false"})
+
+
+_KIND_SQL = """CASE t.type WHEN 'VARCHAR' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'null'
+                 WHEN 'DOUBLE' THEN 'float' ELSE 'int' END"""
+_VALUE_SQL = """CASE t.type WHEN 'VARCHAR' THEN t.atom->>'$' WHEN 'NULL' THEN NULL
+                  WHEN 'BOOLEAN' THEN CASE WHEN CAST(t.atom AS VARCHAR) = 'true' THEN 'True' ELSE 'False' END
+                  ELSE CAST(t.atom AS VARCHAR) END"""
+
+
+@register("leaf_fields", f"""
+WITH j AS (
+  SELECT 'events' AS src, event_id AS id, props AS doc FROM events
+  UNION ALL
+  SELECT 'orders', o_orderkey,
+    CAST(json_object('key', o_orderkey,
+      'info', json_object('status', o_orderstatus, 'total', o_totalprice,
+                          'urgent', o_orderpriority = '1-URGENT'),
+      'tags', json_array(o_orderpriority, o_orderstatus), 'empty', json_array(),
+      'none', json_object(), 'note', NULL) AS VARCHAR)
+  FROM orders)
+SELECT src, j.id AS id,
+  CAST(row_number() OVER (PARTITION BY src, j.id ORDER BY t.id) - 1 AS INTEGER) AS pos,
+  replace(t.fullkey, '$.', '') AS path, {_VALUE_SQL} AS value, {_KIND_SQL} AS kind
+FROM j, json_tree(j.doc) t
+WHERE t.type NOT IN ('OBJECT', 'ARRAY')""")
+def leaf_fields(spark, sf):
+    ev = table(spark, sf, "events").select(
+        F.lit("events").alias("src"), F.col("event_id").alias("id"), F.col("props").alias("doc"))
+    od = table(spark, sf, "orders").select(
+        F.lit("orders").alias("src"), F.col("o_orderkey").alias("id"), _order_doc().alias("doc"))
+    docs = ev.unionByName(od)
+    return docs.select("src", "id", F.inline(leaves.json_leaves("doc")))
+
+
+# ---------------------------------------------------------------- E7, E9, E10
+
+EXPECTED_EVENT_KEYS = ["k", "user_id", "event_type"]
+
+
+@register("key_presence", """
+WITH k AS (SELECT event_id, json_keys(props) AS keys FROM events)
+SELECT event_id, len(keys) AS n_keys,
+  array_to_string(list_sort(list_filter(['k', 'user_id', 'event_type'], lambda x: NOT list_contains(keys, x))), ',')
+    AS missing,
+  len(list_filter(['k', 'user_id', 'event_type'], lambda x: NOT list_contains(keys, x))) = 0 AS ok
+FROM k""")
+def key_presence(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", F.json_object_keys("props").alias("keys"))
+    expected = F.array(*[F.lit(k) for k in EXPECTED_EVENT_KEYS])
+    miss = scoring.missing_keys(expected, F.col("keys"))
+    return ev.select("event_id", F.size("keys").alias("n_keys"),
+                     F.array_join(F.array_sort(miss), ",").alias("missing"),
+                     (F.size(miss) == 0).alias("ok"))
+
+
+@register("membership", """
+SELECT l_orderkey,
+  bool_or(l_quantity IS NOT DISTINCT FROM 10.0E0) AS has_10kg,
+  bool_or(l_quantity IS NOT DISTINCT FROM 22.0E0 AND l_returnflag = 'R') AS has_22_r,
+  bool_or(contains(l_returnflag || l_linestatus, 'RF')) AS has_rf_text
+FROM lineitem GROUP BY l_orderkey""")
+def membership(spark, sf):
+    li = table(spark, sf, "lineitem")
+    weight = F.array(F.struct(F.col("l_quantity").alias("value"), F.lit("kg").alias("unit")),
+                     F.struct(F.col("l_quantity").alias("value"), F.col("l_returnflag").alias("unit")))
+    rows = li.select(
+        "l_orderkey",
+        scoring.contains_value(weight, F.lit(10.0), F.lit("kg")).alias("a"),
+        scoring.contains_value(weight, F.lit(22.0), F.lit("R")).alias("b"),
+        F.contains(F.array_join(F.array("l_returnflag", "l_linestatus"), ""), F.lit("RF")).alias("c"))
+    # membership per order as a partial aggregate: no list is gathered
+    return rows.groupBy("l_orderkey").agg(F.bool_or("a").alias("has_10kg"),
+                                          F.bool_or("b").alias("has_22_r"),
+                                          F.bool_or("c").alias("has_rf_text"))
+
+
+# The words a label text must contain, then words of the corpus.
+PRESENCE_WORDS = ["Ammonium", "Phosphate", "Granular", "25", "TerraLink", "CAUTION",
+                  "the", "and", "License"]
+
+
+def _presence_sql() -> str:
+    flags = [f"regexp_matches(text, '{scoring.word_pattern(w)}')" for w in PRESENCE_WORDS]
+    n = " + ".join(f"CAST({f} AS INTEGER)" for f in flags)
+    s = " || ".join(f"CASE WHEN {f} THEN '1' ELSE '0' END" for f in flags)
+    return f"SELECT doc_id, {n} AS n_present, ({n}) = {len(flags)} AS all_present, {s} AS flags FROM documents"
+
+
+@register("pattern_presence", _presence_sql())
+def pattern_presence(spark, sf):
+    d = table(spark, sf, "documents").select(
+        "doc_id", scoring.patterns_present(F.col("text"), PRESENCE_WORDS).alias("f"))
+    n = F.aggregate("f", F.lit(0), lambda acc, x: acc + x.cast("int"))
+    return d.select("doc_id", n.alias("n_present"), (n == len(PRESENCE_WORDS)).alias("all_present"),
+                    F.array_join(F.transform("f", lambda x: F.when(x, "1").otherwise("0")), "")
+                    .alias("flags"))
+
+
+# ---------------------------------------------------------------- P3-P5, P7, I2, I3
+
+ENGINES = ["document_intelligence", "layout_v2"]
+REQUESTED_MODELS = ["gpt-3.5-turbo", "gpt-4o", "ailab-llm"]
+
+
+def _done(spark, sf):
+    lab = table(spark, sf, "labels")
+    a = lab.filter(F.col("quality") == 1).select("doc_id", F.lit("document_intelligence").alias("engine"),
+                                                  F.lit("gpt-4o").alias("model"))
+    b = lab.filter(F.col("toxic") == 1).select("doc_id", F.lit("layout_v2").alias("engine"),
+                                                F.lit("gpt-3.5-turbo").alias("model"))
+    return a.unionByName(b)
+
+
+@register("work_remaining", """
+WITH models(model, max_tokens, api_version) AS (
+  VALUES ('gpt-3.5-turbo', 12000, '2024-02-01'), ('gpt-4o', NULL, '2024-02-15-preview')),
+done AS (
+  SELECT doc_id, 'document_intelligence' AS engine, 'gpt-4o' AS model FROM labels WHERE quality = 1
+  UNION ALL SELECT doc_id, 'layout_v2', 'gpt-3.5-turbo' FROM labels WHERE toxic = 1),
+fan AS (
+  SELECT doc_id, e.engine, r.model FROM documents,
+    (VALUES ('document_intelligence'), ('layout_v2')) e(engine),
+    (VALUES ('gpt-3.5-turbo'), ('gpt-4o'), ('ailab-llm')) r(model))
+SELECT f.doc_id, f.engine, f.model, CAST(m.max_tokens AS INTEGER) AS max_tokens, m.api_version,
+  'ocr_' || f.engine || '_' || CAST(f.doc_id AS VARCHAR) AS ocr_key,
+  'llm_' || f.model || '_ocr_' || f.engine || '_' || CAST(f.doc_id AS VARCHAR) AS llm_key
+FROM fan f JOIN models m ON f.model = m.model
+WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.doc_id = f.doc_id AND d.engine = f.engine
+                                         AND d.model = f.model)""")
+def work_remaining(spark, sf):
+    from ..operators import extract
+    docs = table(spark, sf, "documents").select("doc_id")
+    todo, _ = extract.plan_work(spark, docs, "doc_id", ENGINES, REQUESTED_MODELS, _done(spark, sf))
+    return todo
+
+
+def _request_sql() -> str:
+    from ..operators import extract
+    head = (extract.TASK + "\n\nRequirements:" + extract.REQUIREMENTS + "\nText:\n").replace("'", "''")
+    return (f"SELECT doc_id, '{head}' || coalesce(text, '') AS request, "
+            f"CAST(length('{head}' || coalesce(text, '')) AS INTEGER) AS request_len FROM documents")
+
+
+@register("request_text", _request_sql())
+def request_text(spark, sf):
+    from ..operators import extract
+    d = table(spark, sf, "documents").select("doc_id", extract.request_text(F.col("text")).alias("request"))
+    return d.select("doc_id", "request", F.length("request").alias("request_len"))
+
+
+# ---------------------------------------------------------------- I4b, I1/I4a/P6/P8
+
+def _pattern_sql() -> str:
+    from ..operators import extract as X
+    strip = ("replace(regexp_replace(regexp_replace(regexp_replace(html, "
+             "'(?s)<script[^>]*>.*?</script>', ' ', 'g'), '(?s)<style[^>]*>.*?</style>', ' ', 'g'), "
+             "'<[^>]+>', ' ', 'g'), '&amp;', '&')")
+
+    def first(t, pat, g=0):
+        return f"nullif(regexp_extract({t}, '{pat}', {g}), '')"
+
+    reg = first("t", X.REGISTRATION_FIND_RE)
+    grade = first("t", X.GRADE_FIND_RE)
+    site = first("t", X.WEBSITE_RE)
+    ph = first("t", X.PHONE_FIND_RE)
+    fields = f"""
+      CASE WHEN regexp_full_match({reg}, '[0-9]{{7}}[A-Z]') THEN {reg} END AS registration,
+      CASE WHEN regexp_full_match({grade}, '[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?')
+           THEN {grade} END AS npk,
+      lower(CASE WHEN starts_with({site}, 'www.') THEN {site} ELSE 'www.' || {site} END) AS website,
+      {_phone_sql(ph)} AS phone_number,
+      CAST({first('t', X.WEIGHT_RE, 1)} AS DOUBLE) AS weight_value,
+      {first('t', X.WEIGHT_RE, 3)} AS weight_unit"""
+    return f"""
+WITH p AS (SELECT 'pages' AS src, page_id AS id, {first('html', X.TITLE_RE, 1)} AS title,
+                  {strip} AS t FROM pages
+           UNION ALL SELECT 'documents', doc_id, NULL, text FROM documents)
+SELECT src, id, title, {fields} FROM p"""
+
+
+@register("pattern_extract", _pattern_sql())
+def pattern_extract(spark, sf):
+    from ..operators import extract as X
+    pages = table(spark, sf, "pages").select(
+        F.lit("pages").alias("src"), F.col("page_id").alias("id"),
+        X._first(F.col("html"), X.TITLE_RE, 1).alias("title"), X.html_text(F.col("html")).alias("t"))
+    docs = table(spark, sf, "documents").select(
+        F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
+        F.lit(None).cast("string").alias("title"), F.col("text").alias("t"))
+    both = pages.unionByName(docs)
+    return both.select("src", "id", "title", X.pattern_fields(F.col("t")).alias("f")).select(
+        "src", "id", "title", "f.*")
+
+
+def word_count_extractor():
+    """Deterministic stand-in extractor; fails on a seeded subset of texts."""
+    def fn(rec):
+        words = (rec["text"] or "").split()
+        if len(words) % 11 == 0:
+            raise ValueError("extractor rejected the document")
+        return {"n_words": len(words), "n_lines": (rec["text"] or "").count("\n") + 1}
+    return fn
+
+
+@register("apply_extractor")
+def apply_extractor(spark, sf):
+    from ..operators import extract
+    docs = table(spark, sf, "documents")
+    return extract.apply_extractor(docs, word_count_extractor, "doc_id", ["text"])
