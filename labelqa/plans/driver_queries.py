@@ -662,3 +662,124 @@ def apply_extractor(spark, sf):
     from ..operators import extract
     docs = table(spark, sf, "documents")
     return extract.apply_extractor(docs, word_count_extractor, "doc_id", ["text"])
+
+
+# ---------------------------------------------------------------- N11-N14
+# Raw records as JSON text, one per order, with seeded violations. The text
+# is built by one SQL expression valid in both engines.
+
+RAW_RECORD_SQL = """'{"fertiliser_name": ' || CASE WHEN o_orderkey % 13 = 0 THEN CAST(o_orderkey AS STRING)
+      ELSE '"' || o_orderpriority || '"' END
+  || ', "lot_number": "LOT' || CAST(o_orderkey AS STRING) || '"'
+  || ', "npk": ' || CASE WHEN o_orderkey % 37 = 0 THEN '12'
+      ELSE '"' || CAST(o_custkey % 20 AS STRING) || '-' || CAST(o_orderkey % 10 AS STRING)
+           || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '-5' END || '"' END
+  || ', "registration_number": [' || CASE WHEN o_orderkey % 17 = 0 THEN '{"type": "fertilizer_product"}'
+      ELSE '{"identifier": "' || lpad(CAST(o_orderkey AS STRING), 7, '0') || o_orderstatus
+           || '", "type": "fertilizer_product"}' END || ']'
+  || ', "weight": [{"value": ' || CASE WHEN o_orderkey % 7 = 0 THEN 'true' ELSE CAST(o_custkey % 50 AS STRING) END
+  || ', "unit": "kg"}, {"value": "' || CAST(o_custkey % 90 AS STRING) || ' lb", "unit": '
+  || CASE WHEN o_orderkey % 19 = 0 THEN '5' ELSE '"lb"' END || '}]'
+  || ', "density": ' || CASE WHEN o_orderkey % 23 = 0 THEN '{"value": 1.25}' WHEN o_orderkey % 2 = 0 THEN 'null'
+      ELSE '{"value": "~1.' || CAST(o_orderkey % 10 AS STRING) || ' g/ml", "unit": "g/ml"}' END
+  || ', "cautions_en": ' || CASE WHEN o_orderkey % 29 = 0 THEN '["' || o_orderstatus || '", null]'
+      WHEN o_orderkey % 4 = 0 THEN 'null' ELSE '["keep dry"]' END
+  || ', "ingredients_en": [{"nutrient": ' || CASE WHEN o_orderkey % 31 = 0 THEN 'null' ELSE '"N"' END
+  || ', "value": "' || CAST(o_orderkey % 12 AS STRING) || '%"}]'
+  || ', "guaranteed_analysis_en": {"title": ' || CASE o_orderpriority WHEN '1-URGENT' THEN '"Guaranteed minimum analysis"'
+      WHEN '2-HIGH' THEN '""' ELSE '"Guaranteed analysis"' END
+  || ', "nutrients": null, "is_minimal": ' || CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'null' END || '}}'"""
+
+_ISSUES_SQL = f"""
+raw AS (SELECT o_orderkey AS id, {RAW_RECORD_SQL} AS doc FROM orders),
+tree AS (SELECT r.id, t.fullkey, t.type, t.value FROM raw r, json_tree(r.doc) t),
+issues AS (
+  SELECT id, 'fertiliser_name' AS loc, 'string_type' AS kind FROM raw
+   WHERE json_type(doc, '$.fertiliser_name') NOT IN ('VARCHAR', 'NULL')
+  UNION ALL SELECT id, 'npk', 'string_type' FROM raw WHERE json_type(doc, '$.npk') NOT IN ('VARCHAR', 'NULL')
+  UNION ALL SELECT id, replace(fullkey, '$.', '') || '.identifier', 'missing' FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.registration_number\\[[0-9]+\\]') AND type = 'OBJECT'
+     AND json_type(value, '$.identifier') IS NULL
+  UNION ALL SELECT id, replace(fullkey, '$.', '') || '.value', 'missing' FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.(weight\\[[0-9]+\\]|density)') AND type = 'OBJECT'
+     AND json_type(value, '$.value') IS NULL
+  UNION ALL SELECT id, replace(fullkey, '$.', '') || '.unit', 'missing' FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.(weight\\[[0-9]+\\]|density)') AND type = 'OBJECT'
+     AND json_type(value, '$.unit') IS NULL
+  UNION ALL SELECT id, replace(fullkey, '$.', ''), 'string_type' FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.(weight\\[[0-9]+\\]|density)\\.unit') AND type NOT IN ('VARCHAR', 'NULL')
+  UNION ALL SELECT id, replace(fullkey, '$.', ''), 'string_type' FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.cautions_en\\[[0-9]+\\]') AND type <> 'VARCHAR'
+  UNION ALL SELECT id, replace(fullkey, '$.', '') || '.nutrient',
+         CASE WHEN json_type(value, '$.nutrient') IS NULL THEN 'missing' ELSE 'string_type' END FROM tree
+   WHERE regexp_full_match(fullkey, '\\$\\.ingredients_en\\[[0-9]+\\]') AND type = 'OBJECT'
+     AND coalesce(json_type(value, '$.nutrient'), 'ABSENT') <> 'VARCHAR'
+)"""
+
+
+def _std_orders(spark, sf):
+    from ..operators import standardize
+    raw = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"),
+                                            F.expr(RAW_RECORD_SQL).alias("doc"))
+    return standardize.standardize(raw, "doc", ["id"])
+
+
+@register("record_rejects", f"""WITH {_ISSUES_SQL}
+SELECT id, count(*) AS n_issues, string_agg(loc || ':' || kind, ';' ORDER BY loc || ':' || kind) AS issues
+FROM issues GROUP BY id""")
+def record_rejects(spark, sf):
+    from ..operators import standardize
+    rej = standardize.rejects(_std_orders(spark, sf))
+    text = F.array_join(F.array_sort(F.transform(
+        "_issues", lambda x: F.concat(x["loc"], F.lit(":"), x["kind"]))), ";")
+    return rej.select("id", F.size("_issues").cast("bigint").alias("n_issues"), text.alias("issues"))
+
+
+@register("rule_counts", f"""WITH {_ISSUES_SQL}
+SELECT regexp_replace(loc, '\\[[0-9]+\\]', '[]', 'g') AS loc, kind, count(*) AS n_issues
+FROM issues GROUP BY ALL""")
+def rule_counts(spark, sf):
+    from ..operators import standardize
+    return standardize.rule_counts(_std_orders(spark, sf))
+
+
+def _num_sql(path: str) -> str:
+    return f"""CASE json_type(doc, '{path}')
+      WHEN 'VARCHAR' THEN CAST(nullif(regexp_extract(doc->>'{path}', '[0-9]+(\\.[0-9]+)?', 0), '') AS DOUBLE)
+      WHEN 'BOOLEAN' THEN NULL WHEN 'NULL' THEN NULL
+      ELSE CAST(json_extract(doc, '{path}') AS DOUBLE) END"""
+
+
+@register("record_standardize", f"""WITH {_ISSUES_SQL},
+ok AS (SELECT * FROM raw WHERE id NOT IN (SELECT id FROM issues)),
+f AS (SELECT id, doc, doc->>'$.guaranteed_analysis_en.title' AS title FROM ok)
+SELECT id, doc->>'$.fertiliser_name' AS fertiliser_name,
+  CASE WHEN regexp_full_match(doc->>'$.npk', '[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?')
+       THEN doc->>'$.npk' END AS npk,
+  CASE WHEN regexp_full_match(doc->>'$.registration_number[0].identifier', '[0-9]{{7}}[A-Z]')
+       THEN doc->>'$.registration_number[0].identifier' END AS identifier,
+  CAST(json_array_length(doc, '$.weight') AS INTEGER) AS n_weights,
+  {_num_sql('$.weight[0].value')} AS weight_0,
+  {_num_sql('$.weight[1].value')} AS weight_1,
+  CASE WHEN json_type(doc, '$.density') = 'OBJECT' THEN {_num_sql('$.density.value')} END AS density_value,
+  CAST(CASE json_type(doc, '$.cautions_en') WHEN 'ARRAY' THEN json_array_length(doc, '$.cautions_en')
+       ELSE 0 END AS INTEGER) AS n_cautions,
+  {_num_sql('$.ingredients_en[0].value')} AS ingredient_value,
+  title,
+  CASE WHEN length(title) > 0 THEN regexp_matches(title, '(?i)\\bminim\\w*\\b')
+       ELSE CASE WHEN json_type(doc, '$.guaranteed_analysis_en.is_minimal') = 'BOOLEAN'
+                 THEN CAST(json_extract(doc, '$.guaranteed_analysis_en.is_minimal') AS BOOLEAN) END
+  END AS is_minimal
+FROM f""")
+def record_standardize(spark, sf):
+    from ..operators import standardize
+    r = standardize.accepted(_std_orders(spark, sf)).select("id", "record.*")
+    return r.select(
+        "id", "fertiliser_name", "npk",
+        F.col("registration_number")[0]["identifier"].alias("identifier"),
+        F.size("weight").alias("n_weights"),
+        F.col("weight")[0]["value"].alias("weight_0"), F.col("weight")[1]["value"].alias("weight_1"),
+        F.col("density.value").alias("density_value"), F.size("cautions_en").alias("n_cautions"),
+        F.col("ingredients_en")[0]["value"].alias("ingredient_value"),
+        F.col("guaranteed_analysis_en.title").alias("title"),
+        F.col("guaranteed_analysis_en.is_minimal").alias("is_minimal"))
