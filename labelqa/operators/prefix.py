@@ -22,7 +22,8 @@ DEFAULT_CHUNK = 4096
 
 
 def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
-                 chunk: int = DEFAULT_CHUNK, totals: dict | None = None) -> DataFrame:
+                 chunk: int = DEFAULT_CHUNK, totals: dict | None = None,
+                 chunk_col=None) -> DataFrame:
     """Add ``<v>_before`` (sum over earlier rows, 0 for the first) per value,
     ``rank_before`` (count of earlier rows) and group totals.
 
@@ -31,7 +32,7 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
     a group in one task.
     """
     totals = totals or {}
-    ck = F.floor(F.col(seq) / F.lit(chunk)).alias("_chunk")
+    ck = (F.floor(F.col(seq) / F.lit(chunk)) if chunk_col is None else chunk_col).alias("_chunk")
     rows = df.select("*", ck)
     w_in = (Window.partitionBy(by, "_chunk").orderBy(seq)
             .rowsBetween(Window.unboundedPreceding, -1))
@@ -61,3 +62,16 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
     extra.append((F.col("_n_in") + F.col("_n_off")).alias("rank_before"))
     keep = [c for c in df.columns]
     return out.select(*keep, *extra, *totals.keys())
+
+
+def rank_within(df: DataFrame, by: str, order: str, partitions: int | None = None) -> DataFrame:
+    """1-based rank of ``order`` (any sortable type, unique per group) within ``by``.
+
+    A range-partitioned sort on ``(by, order)`` spreads even a hot group over
+    several partitions; the partition id then serves as the chunk of
+    ``running_sums``, so no task ever holds a whole group.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = df.repartitionByRange(n, by, order)
+    r = running_sums(s, by, order, [], chunk_col=F.spark_partition_id())
+    return r.withColumn("rank", F.col("rank_before") + 1).drop("rank_before")

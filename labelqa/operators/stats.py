@@ -28,9 +28,24 @@ def prepare(scored: DataFrame) -> DataFrame:
     )
 
 
-def by_field(scored: DataFrame, digits: int = 6) -> DataFrame:
-    """A3-A5: per path, in first-appearance order (case order, then leaf order)."""
+def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> DataFrame:
+    """A3-A5: per path, in first-appearance order (case order, then leaf order).
+
+    With ``file_order`` the order is the row order of a read report (``pos``
+    is then a global row position and ``first_case`` is that row's case).
+    """
     p = prepare(scored)
+    if file_order:
+        p = p.withColumn("_k", F.struct("pos", "case_no"))
+        agg = p.groupBy("path").agg(
+            F.round(F.avg("_score2"), digits).alias("accuracy_mean"),
+            F.round(F.avg("_pass"), digits).alias("pass_rate"),
+            F.round(F.avg("_missing"), digits).alias("missing_rate"),
+            F.count(F.lit(1)).alias("occurrences"),
+            F.min("_k").alias("_first"))
+        return (agg.select("*", F.col("_first.case_no").alias("first_case"),
+                           F.col("_first.pos").alias("first_pos"))
+                .drop("_first").orderBy("first_pos"))
     agg = p.groupBy("path").agg(
         F.round(F.avg("_score2"), digits).alias("accuracy_mean"),
         F.round(F.avg("_pass"), digits).alias("pass_rate"),

@@ -110,16 +110,16 @@ def overall_lines(overall: DataFrame) -> DataFrame:
 
 
 def markdown_lines(spark, field_stats: DataFrame, case_stats: DataFrame,
-                   overall: DataFrame) -> DataFrame:
-    """``(section, k, line)`` for the whole document, in fixed section order.
+                   overall: DataFrame, total_cases) -> DataFrame:
+    """``(section, k1, k2, line)`` for the whole document, in section order.
 
-    ``field_stats`` must carry a ``rank`` column (first-appearance order).
+    ``field_stats`` is ``stats.by_field`` output (``first_case``/``first_pos``
+    give the first-appearance order); ``total_cases`` is an int or a scalar
+    column (``overall.select(...).scalar()``), never a join.
     """
-    total = overall.select(F.col("total_test_cases").alias("_total"))
-
     def fixed(section: int, lines: list[str]) -> DataFrame:
-        rows = [(section, i, s) for i, s in enumerate(lines)]
-        return spark.createDataFrame(rows, "section int, k long, line string")
+        rows = [(section, i, 0, s) for i, s in enumerate(lines)]
+        return spark.createDataFrame(rows, "section int, k1 long, k2 long, line string")
 
     head = [TITLE, ""]
     for s in FIELD_SECTION:
@@ -129,16 +129,26 @@ def markdown_lines(spark, field_stats: DataFrame, case_stats: DataFrame,
     for s in CASE_SECTION:
         mid += [s, ""]
     mid += CASE_HEADER
-    fields = (field_rows(field_stats.crossJoin(F.broadcast(total)), F.col("_total"))
-              .select(F.lit(1).alias("section"), F.col("rank").cast("long").alias("k"), "line"))
+    fields = field_rows(field_stats, total_cases).select(
+        F.lit(1).alias("section"), F.col("first_case").cast("long").alias("k1"),
+        F.col("first_pos").cast("long").alias("k2"), "line")
     cases = case_rows(case_stats).select(F.lit(3).alias("section"),
-                                         F.col("case_no").cast("long").alias("k"), "line")
-    tail = overall_lines(overall).select(F.lit(5).alias("section"),
-                                         F.col("k").cast("long"), "line")
+                                         F.col("case_no").cast("long").alias("k1"),
+                                         F.lit(0).cast("long").alias("k2"), "line")
+    tail = overall_lines(overall).select(F.lit(5).alias("section"), F.col("k").cast("long").alias("k1"),
+                                         F.lit(0).cast("long").alias("k2"), "line")
     return (fixed(0, head).unionByName(fields).unionByName(fixed(2, mid)).unionByName(cases)
             .unionByName(fixed(4, ["", OVERALL_SECTION, ""])).unionByName(tail))
 
 
 def write_markdown(lines: DataFrame, path: str) -> None:
-    """K2: range-partitioned sort, part files in order form the document."""
-    lines.orderBy("section", "k").select("line").write.mode("overwrite").text(path)
+    """K2: range-partitioned sort; part files in name order form the document."""
+    lines.orderBy("section", "k1", "k2").select("line").write.mode("overwrite").text(path)
+
+
+def read_markdown(spark, path: str) -> str:
+    """Concatenate written part files in order (for tests and small reports)."""
+    import glob
+    import os
+    parts = sorted(glob.glob(os.path.join(path, "part-*")))
+    return "".join(open(p, encoding="utf-8").read() for p in parts)
