@@ -5,6 +5,9 @@ case) and one ``expected_output.json``. Discovery lists files with the
 ``binaryFile`` source (only ``path`` and ``length`` are selected, so file
 contents are never read), groups by directory and numbers cases 1..n in
 directory order.
+
+Spark file sources produce no rows for zero-length files, so an empty image
+file is not counted (it could not be decoded either).
 """
 
 from __future__ import annotations
@@ -85,11 +88,15 @@ def discover(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
 
 
 def golden_texts(spark: SparkSession, root: str) -> DataFrame:
-    """``(dir, json)`` whole-file text of every golden file."""
-    t = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", GOLDEN_NAME).text(root))
-    return t.select(F.regexp_extract(F.input_file_name(), r"^(.*)/[^/]+$", 1).alias("dir"),
-                    F.col("value").alias("json"))
+    """``(dir, json)`` whole-file text of every golden file.
+
+    ``binaryFile`` + UTF-8 decode gives exactly one row per file whatever
+    columns a consumer prunes.
+    """
+    t = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+         .option("pathGlobFilter", GOLDEN_NAME).load(root))
+    return t.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("dir"),
+                    F.decode("content", "UTF-8").alias("json"))
 
 
 def image_bytes(spark: SparkSession, root: str) -> DataFrame:
@@ -100,6 +107,6 @@ def image_bytes(spark: SparkSession, root: str) -> DataFrame:
 
 def texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Whole-text files (stage outputs such as OCR markdown)."""
-    t = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", glob).text(root))
-    return t.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    t = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+         .option("pathGlobFilter", glob).load(root))
+    return t.select("path", F.decode("content", "UTF-8").alias("text"))
