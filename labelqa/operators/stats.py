@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import PASS, fixed2
 
+POS_BITS = 24
+
 
 def prepare(scored: DataFrame) -> DataFrame:
     """A1: derived Pass / Missing flags and the two-decimal score."""
@@ -35,28 +37,25 @@ def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> Da
     is then a global row position and ``first_case`` is that row's case).
     """
     p = prepare(scored)
-    if file_order:
-        p = p.withColumn("_k", F.struct("pos", "case_no"))
-        agg = p.groupBy("path").agg(
-            F.round(F.avg("_score2"), digits).alias("accuracy_mean"),
-            F.round(F.avg("_pass"), digits).alias("pass_rate"),
-            F.round(F.avg("_missing"), digits).alias("missing_rate"),
-            F.count(F.lit(1)).alias("occurrences"),
-            F.min("_k").alias("_first"))
-        return (agg.select("*", F.col("_first.case_no").alias("first_case"),
-                           F.col("_first.pos").alias("first_pos"))
-                .drop("_first").orderBy("first_pos"))
-    agg = p.groupBy("path").agg(
+    common = [
         F.round(F.avg("_score2"), digits).alias("accuracy_mean"),
         F.round(F.avg("_pass"), digits).alias("pass_rate"),
         F.round(F.avg("_missing"), digits).alias("missing_rate"),
         F.count(F.lit(1)).alias("occurrences"),
-        F.min(F.struct("case_no", "pos")).alias("_first"),
-    )
-    # first_case/first_pos give the report order; the sort is a range
-    # partitioned sort of the (small) aggregate, not a single-task window.
-    return (agg.select("*", F.col("_first.case_no").alias("first_case"),
-                       F.col("_first.pos").alias("first_pos"))
+    ]
+    if file_order:
+        # pos is a global row position: min / min_by over longs stay hash aggregates
+        agg = p.groupBy("path").agg(*common, F.min_by("case_no", "pos").alias("first_case"),
+                                    F.min("pos").alias("first_pos"))
+        return agg.orderBy("first_pos")
+    # First appearance = smallest (case_no, pos), packed into one long so the
+    # aggregate keeps a fixed-width buffer (hash aggregate, no sort of all
+    # rows). Bounds: 0 <= pos < 2^24 leaves per record, 0 <= case_no < 2^39.
+    key = F.col("case_no").cast("long") * F.lit(1 << POS_BITS) + F.col("pos").cast("long")
+    agg = p.groupBy("path").agg(*common, F.min(key).alias("_first"))
+    # the sort is a range-partitioned sort of the aggregate, not a single-task window
+    return (agg.select("*", F.shiftright("_first", POS_BITS).alias("first_case"),
+                       F.col("_first").bitwiseAND((1 << POS_BITS) - 1).cast("int").alias("first_pos"))
             .drop("_first").orderBy("first_case", "first_pos"))
 
 

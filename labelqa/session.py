@@ -69,3 +69,16 @@ def durable(df: DataFrame, name: str, spark: SparkSession | None = None) -> Data
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than cores.
+
+    Small inputs (one file, one row group) otherwise run CPU-heavy per-row
+    work in a single task. On large inputs the scan already yields far more
+    partitions than cores and this is a no-op (no extra shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
