@@ -69,6 +69,23 @@ def score_leaves(expected: DataFrame, actual: DataFrame, keys: list[str],
 
 # ------------------------------------------------------------ record checks
 
+def key_value_scores(df: DataFrame, expected_json: str, actual_json: str,
+                     keep: list[str]) -> DataFrame:
+    """Per top-level expected key, similarity of the whole rendered value.
+
+    Values are rendered as JSON text (strings unquoted), not Python ``str``;
+    an absent produced key scores against the empty string. The key list of
+    one record is exploded in place (bounded by the record), no shuffle.
+    """
+    keys = df.select(*keep, expected_json, actual_json,
+                     F.explode(F.json_object_keys(expected_json)).alias("key"))
+    path = F.concat(F.lit("$['"), F.col("key"), F.lit("']"))
+    e = F.call_function("get_json_object", F.col(expected_json), path)
+    a = F.call_function("get_json_object", F.col(actual_json), path)
+    return keys.select(*keep, "key", e.alias("expected"), a.alias("actual"),
+                       similarity(e, a).alias("score"))
+
+
 def missing_keys(expected_keys: Column, actual_keys: Column) -> Column:
     """Expected top-level keys absent from the produced record."""
     return F.array_except(expected_keys, F.coalesce(actual_keys, F.array().cast("array<string>")))

@@ -783,3 +783,46 @@ def record_standardize(spark, sf):
         F.col("ingredients_en")[0]["value"].alias("ingredient_value"),
         F.col("guaranteed_analysis_en.title").alias("title"),
         F.col("guaranteed_analysis_en.is_minimal").alias("is_minimal"))
+
+
+# ---------------------------------------------------------------- E8
+
+def _perturbed_order_doc() -> "F.Column":
+    k = F.col("o_orderkey")
+    status = F.when(k % 3 == 0, F.lower("o_orderstatus")).otherwise(F.col("o_orderstatus"))
+    tags = F.when(k % 4 == 0, F.array("o_orderstatus", "o_orderpriority")).otherwise(
+        F.array("o_orderpriority", "o_orderstatus"))
+    doc = F.struct(
+        k.alias("key"),
+        F.struct(status.alias("status"), F.col("o_totalprice").alias("total"),
+                 (F.col("o_orderpriority") == "1-URGENT").alias("urgent")).alias("info"),
+        tags.alias("tags"))
+    return F.to_json(doc, {"ignoreNullFields": "false"})
+
+
+@register("key_value_scores", f"""
+WITH d AS (
+  SELECT o_orderkey,
+    CAST(json_object('key', o_orderkey,
+      'info', json_object('status', o_orderstatus, 'total', o_totalprice,
+                          'urgent', o_orderpriority = '1-URGENT'),
+      'tags', json_array(o_orderpriority, o_orderstatus), 'empty', json_array(),
+      'none', json_object(), 'note', NULL) AS VARCHAR) AS e,
+    CAST(json_object('key', o_orderkey,
+      'info', json_object('status', CASE WHEN o_orderkey % 3 = 0 THEN lower(o_orderstatus) ELSE o_orderstatus END,
+                          'total', o_totalprice, 'urgent', o_orderpriority = '1-URGENT'),
+      'tags', CASE WHEN o_orderkey % 4 = 0 THEN json_array(o_orderstatus, o_orderpriority)
+                   ELSE json_array(o_orderpriority, o_orderstatus) END) AS VARCHAR) AS a
+  FROM orders),
+k AS (SELECT o_orderkey, e, a, unnest(json_keys(e)) AS key FROM d),
+v AS (SELECT o_orderkey, key,
+        CASE WHEN json_type(e, '$.' || key) = 'NULL' THEN NULL ELSE json_extract_string(e, '$.' || key) END AS expected,
+        CASE WHEN json_type(a, '$.' || key) = 'NULL' THEN NULL ELSE json_extract_string(a, '$.' || key) END AS actual
+      FROM k)
+SELECT o_orderkey, key, expected, actual,
+  {_SIM.format(e="coalesce(expected, '')", a="coalesce(actual, '')")} AS score
+FROM v""")
+def key_value_scores(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", _order_doc().alias("e"),
+                                          _perturbed_order_doc().alias("a"))
+    return scoring.key_value_scores(o, "e", "a", ["o_orderkey"])

@@ -170,3 +170,52 @@ def test_score_stream(spark, tmp_dir):
     q.awaitTermination(120)
     got = {(r.case_no, r.path): r.score for r in spark.read.parquet(sink).collect()}
     assert got == {(1, "a"): 100.0, (1, "b"): 50.0, (2, "a"): 100.0, (2, "c"): 0.0}
+
+
+def test_analyze_pages_end_to_end(spark):
+    from labelqa.plans import analyze
+    pages = spark.createDataFrame(
+        [("d1", 1, "d1/p1.png", bytearray(b"Grade 10-5-20")), ("d1", 2, "d1/p2.png", bytearray(b"net 12 kg")),
+         ("d2", 1, "d2/p1.png", bytearray(b"unreadable")), ("d3", 1, "d3/p1.png", bytearray(b"x"))],
+        "doc string, seq long, path string, content binary")
+
+    def make_ocr():
+        def ocr(rec):
+            text = bytes(rec["content"]).decode()
+            if text == "unreadable":
+                raise ValueError("ocr failed")
+            return text
+        return ocr
+
+    def make_llm():
+        def llm(rec):
+            t = rec["text"]
+            if t == "x":
+                return {"npk": 5}                      # rejected: non-string grade
+            return {"npk": t.split()[1], "weight": [{"value": t.split()[-2], "unit": "kg"}]}
+        return llm
+
+    a = analyze.analyze_pages(pages, make_ocr, make_llm)
+    recs = {r.doc: r for r in a.records.collect()}
+    assert recs["d1"].record.npk == "10-5-20" and recs["d1"].record.weight[0].value == 12.0
+    assert recs["d3"].record is None and recs["d3"]._issues[0].kind == "string_type"
+    assert [r.path for r in a.page_failures.collect()] == ["d2/p1.png"]
+    assert "d2" not in recs
+
+
+def test_key_value_scores_and_artefacts(spark, tmp_dir):
+    from labelqa.operators import scoring
+    from labelqa.sinks import artefacts
+    df = spark.createDataFrame([(1, '{"a": "x", "b": [1, 2], "c": null}', '{"a": "x", "b": [1, 3]}')],
+                               "id long, e string, a string")
+    got = {r.key: r.score for r in scoring.key_value_scores(df, "e", "a", ["id"]).collect()}
+    assert got["a"] == 100.0 and got["c"] == 100.0 and 0 < got["b"] < 100
+    rec = spark.createDataFrame([(1, None, "x")], "id long, npk string, lot string")
+    assert rec.select(artefacts.record_json(F.struct("npk", "lot"))).collect()[0][0] == '{"npk":null,"lot":"x"}'
+    rows = spark.createDataFrame([("1", "ocr", "text", None), ("2", "ocr", "t2", None),
+                                  ("2", "record", None, "ValueError: bad")],
+                                 "doc string, stage string, content string, error string")
+    path = os.path.join(tmp_dir, "artefacts")
+    artefacts.write_artefacts(artefacts.artefact_rows(rows, "doc", "ocr", "content", error="error"), path, "r1")
+    kept = spark.read.parquet(path)
+    assert sorted(r.doc for r in kept.collect()) == ["2", "2"]            # K5: failures only
