@@ -13,6 +13,7 @@ Two paths, both narrow (no shuffle, no groupBy):
 
 from __future__ import annotations
 
+import functools
 import json
 
 import pandas as pd
@@ -66,14 +67,29 @@ def children_type() -> T.ArrayType:
 
 
 def typed_leaves(col, dtype: T.DataType) -> Column:
-    """Leaves of a struct/array column with schema ``dtype`` in document order."""
-    col = F.col(col) if isinstance(col, str) else col
+    """Leaves of a struct/array column with schema ``dtype`` in document order.
+
+    With a column name the expression is built once per (name, schema) and
+    reused: it only names the column, and building it costs many driver ->
+    JVM calls.
+    """
+    if isinstance(col, str):
+        return _typed_leaves_cached(col, dtype.json())
+    return _typed_leaves(col, dtype)
+
+
+def _typed_leaves(col: Column, dtype: T.DataType) -> Column:
     raw = _walk(col, dtype, None)
     return F.transform(raw, lambda x, i: F.struct(
         i.alias("pos"), x["path"].alias("path"), x["value"].alias("value"),
         x["kind"].alias("kind")))
 
 
+@functools.lru_cache(maxsize=64)
+def _typed_leaves_cached(name: str, dtype_json: str) -> Column:
+    return _typed_leaves(F.col(name), T._parse_datatype_json_string(dtype_json))
+
+
 def explode_leaves(df: DataFrame, leaves_col: str, keep: list[str]) -> DataFrame:
     """Long form ``(keep..., pos, path, value, kind)``; narrow ``inline``."""
     return df.select(*keep, F.inline(F.col(leaves_col)))

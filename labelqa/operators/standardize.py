@@ -86,19 +86,50 @@ def kind(x: Column, obj: Column | None = None, arr: Column | None = None) -> Col
         c = c.when(obj.isNotNull(), F.lit("object"))
     if arr is not None:
         c = c.when(arr.isNotNull(), F.lit("array"))
-    return c.otherwise(F.lower(F.regexp_extract(F.schema_of_variant(x), r"^[A-Za-z]+", 0)))
+    name = F.substring_index(F.substring_index(F.schema_of_variant(x), "<", 1), "(", 1)
+    return c.otherwise(F.lower(name))
 
 
 def _empty() -> Column:
     return F.array().cast(ISSUES_T)
 
 
-def issue(cond: Column, loc: Column, k: str) -> Column:
-    return F.when(cond, F.array(F.struct(loc.alias("loc"), F.lit(k).alias("kind")))).otherwise(_empty())
+class Issues:
+    """Issue candidates of a record: single nullable structs and arrays.
+
+    Materialised once as ``concat(filter(array(singles), not null), arrays)``
+    instead of concatenating many one-element arrays per record.
+    """
+
+    def __init__(self, singles=(), arrays=()):
+        self.singles, self.arrays = list(singles), list(arrays)
+
+    def __add__(self, other: "Issues") -> "Issues":
+        return Issues(self.singles + other.singles, self.arrays + other.arrays)
+
+    def only_if(self, cond: Column) -> "Issues":
+        return Issues([F.when(cond, x) for x in self.singles],
+                      [F.when(cond, a) for a in self.arrays])
+
+    def to_array(self) -> Column:
+        parts = []
+        if self.singles:
+            parts.append(F.filter(F.array(*self.singles), lambda x: x.isNotNull()))
+        parts += [F.coalesce(a, _empty()) for a in self.arrays]
+        if not parts:
+            return _empty()
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def issue(cond: Column, loc: Column, k: str) -> Issues:
+    return Issues([F.when(cond, F.struct(loc.alias("loc"), F.lit(k).alias("kind")))])
 
 
-def cat(*parts: Column) -> Column:
-    return F.concat(*[F.coalesce(p, _empty()) for p in parts])
+def cat(*parts: Issues) -> Issues:
+    out = Issues()
+    for p in parts:
+        out = out + p
+    return out
 
 
 def str_val(x: Column, k: Column) -> Column:
@@ -120,14 +151,14 @@ def _convert(conv: str, x: Column, k: Column) -> Column:
             "grade": rules.grade(s)}[conv]
 
 
-def _leaf_issues(conv: str, required: bool, nonnull: bool, k: Column, loc: Column) -> Column:
+def _leaf_issues(conv: str, required: bool, nonnull: bool, k: Column, loc: Column) -> Issues:
     parts = []
     if required:
         parts.append(issue(k == "absent", loc, "missing"))
     if conv not in ("num", "enum"):
         ok = ["string", "absent"] if nonnull else ["string", "null", "absent"]
         parts.append(issue(~k.isin(*ok), loc, "string_type"))
-    return cat(*parts) if parts else _empty()
+    return cat(*parts)
 
 
 def _tagged(o: Column, model: str) -> Column:
@@ -141,7 +172,7 @@ def _model_value(t: Column, model: str) -> Column:
                       for n, conv, *_ in MODELS[model]])
 
 
-def _model_issues(t: Column, model: str, loc: Column) -> Column:
+def _model_issues(t: Column, model: str, loc: Column) -> Issues:
     return cat(*[_leaf_issues(conv, req, nn, t[n]["k"], F.concat(loc, F.lit("." + n)))
                  for n, conv, req, nn in MODELS[model]])
 
@@ -175,17 +206,17 @@ def _list_result(name: str, model: str | None, base: Column, absent_null: bool):
     k, it = F.col(f"__{name}_k"), F.col(f"__{name}_it")
     if model:
         vals = F.transform(it, lambda r: F.when(r["k"] == "object", _model_value(r["t"], model)))
-        el_iss = F.flatten(F.transform(it, lambda r, i: F.when(
-            r["k"] == "object", _model_issues(r["t"], model, _idx(base, i)))
-            .otherwise(issue(F.lit(True), _idx(base, i), "model_type"))))
+        el_iss = F.flatten(F.transform(it, lambda r, i: (
+            _model_issues(r["t"], model, _idx(base, i)).only_if(r["k"] == "object")
+            + issue(r["k"] != "object", _idx(base, i), "model_type")).to_array()))
     else:
         vals = F.transform(it, lambda r: str_val(r["x"], r["k"]))
         el_iss = F.flatten(F.transform(it, lambda r, i: _leaf_issues(
-            "str", False, True, r["k"], _idx(base, i))))
+            "str", False, True, r["k"], _idx(base, i)).to_array()))
     value = (F.when(k == "array", vals).when(k == "null", F.array())
              .when(k == "absent", F.lit(None) if absent_null else F.array()))
     issues = cat(issue(~k.isin("array", "null", "absent"), base, "list_type"),
-                 F.when(k == "array", el_iss))
+                 Issues(arrays=[F.when(k == "array", el_iss)]))
     return value, issues
 
 
@@ -230,7 +261,7 @@ def _compiled():
             k, t = F.col(f"__{name}_k"), F.col(f"__{name}_t")
             results[name] = (F.when(k == "object", _model_value(t, arg)),
                              cat(issue(~k.isin("object", "null", "absent"), base, "model_type"),
-                                 F.when(k == "object", _model_issues(t, arg, base))))
+                                 _model_issues(t, arg, base).only_if(k == "object")))
         elif shape in ("models", "strings"):
             results[name] = _list_result(name, arg if shape == "models" else None, base,
                                          arg == "absent_null")
@@ -249,14 +280,14 @@ def _compiled():
                             "bool_type"))
             results[name] = (F.when(k == "object", value),
                              cat(issue(~k.isin("object", "null", "absent"), base, "model_type"),
-                                 F.when(k == "object", iss)))
+                                 iss.only_if(k == "object")))
 
     fields = [results[f.name][0].cast(f.dataType).alias(f.name) for f in INSPECTION.fields]
     issues = (F.when(F.col("__v").isNull(), F.array(F.struct(F.lit("").alias("loc"),
                                                                F.lit("invalid_json").alias("kind"))))
               .when(top.isNull(), F.array(F.struct(F.lit("").alias("loc"),
                                                     F.lit("model_type").alias("kind"))))
-              .otherwise(cat(*[results[n][1] for n, *_ in FIELDS])))
+              .otherwise(cat(*[results[n][1] for n, *_ in FIELDS]).to_array()))
     top_col = F.try_variant_get(F.col("__v"), "$", TOP_V).alias("__top")
     # one-row inline = Generate node: record and issues are computed once, and
     # a later filter on _issues cannot be pushed below it (no re-evaluation)
@@ -310,4 +341,4 @@ def specification(df: DataFrame, raw: str, keep: list[str]) -> DataFrame:
     s = s.select("*", *[kind(F.col(f"__{k}")).alias(f"__{k}_k") for k in SPEC_KEYS])
     return s.select(*keep, *[num_val(F.col(f"__{k}"), F.col(f"__{k}_k")).alias(k) for k in SPEC_KEYS],
                     cat(*[issue(F.col(f"__{k}_k") == "absent", F.lit(k), "missing")
-                          for k in SPEC_KEYS]).alias("_issues"))
+                          for k in SPEC_KEYS]).to_array().alias("_issues"))

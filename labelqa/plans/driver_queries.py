@@ -35,6 +35,17 @@ def register(name: str, sql: str | None = None):
 # by the case row), so expected and produced leaves meet in the same row
 # and scoring adds no shuffle.
 
+CUSTOMER_EXPECTED = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("segment", T.StringType()),
+    T.StructField("nation", T.IntegerType()), T.StructField("balance", T.DoubleType())])
+CUSTOMER_PRODUCED = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("segment", T.StringType()),
+    T.StructField("nation", T.DoubleType()), T.StructField("balance", T.DoubleType())])
+SUPPLIER_RECORD = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("nation", T.IntegerType()),
+    T.StructField("balance", T.DoubleType())])
+
+
 def _customer_scores(c: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     expected = F.struct(
@@ -45,11 +56,13 @@ def _customer_scores(c: DataFrame) -> DataFrame:
         F.when(k % 5 == 1, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("segment"),
         F.col("c_nationkey").cast("double").alias("nation"),
         F.when(k % 3 == 0, F.floor("c_acctbal").cast("double")).otherwise(F.col("c_acctbal")).alias("balance"))
-    e_leaves = leaves.typed_leaves(expected, _struct_type(c, expected))
-    a_leaves = leaves.typed_leaves(produced, _struct_type(c, produced))
+    rec = c.select((k * 2).alias("case_no"), k.alias("k"), expected.cast(CUSTOMER_EXPECTED).alias("__e"),
+                   produced.cast(CUSTOMER_PRODUCED).alias("__p"))
+    a_leaves = leaves.typed_leaves("__p", CUSTOMER_PRODUCED)
     # the extractor did not return the segment for some cases
-    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "segment") & (k % 5 == 0)))
-    rec = c.select((k * 2).alias("case_no"), e_leaves.alias("e"), a_leaves.alias("a"))
+    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "segment") & (F.col("k") % 5 == 0)))
+    rec = rec.select("case_no", leaves.typed_leaves("__e", CUSTOMER_EXPECTED).alias("e"),
+                     a_leaves.alias("a"))
     return scoring.score_records(rec, "e", "a", ["case_no"])
 
 
@@ -61,17 +74,15 @@ def _supplier_scores(s: DataFrame) -> DataFrame:
         F.when(k % 4 == 0, F.upper("s_name")).otherwise(F.col("s_name")).alias("name"),
         F.col("s_nationkey").alias("nation"),
         F.when(k % 3 == 1, F.col("s_acctbal") + F.lit(1.0)).otherwise(F.col("s_acctbal")).alias("balance"))
-    e_leaves = leaves.typed_leaves(expected, _struct_type(s, expected))
-    a_leaves = leaves.typed_leaves(produced, _struct_type(s, produced))
-    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "nation") & (k % 6 == 0)))
-    rec = s.select((k * 2 + 1).alias("case_no"), e_leaves.alias("e"), a_leaves.alias("a"))
+    rec = s.select((k * 2 + 1).alias("case_no"), k.alias("k"), expected.cast(SUPPLIER_RECORD).alias("__e"),
+                   produced.cast(SUPPLIER_RECORD).alias("__p"))
+    a_leaves = leaves.typed_leaves("__p", SUPPLIER_RECORD)
+    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "nation") & (F.col("k") % 6 == 0)))
+    rec = rec.select("case_no", leaves.typed_leaves("__e", SUPPLIER_RECORD).alias("e"),
+                     a_leaves.alias("a"))
     return scoring.score_records(rec, "e", "a", ["case_no"])
 
 
-def _struct_type(df: DataFrame, col) -> T.DataType:
-    return df.select(col.alias("x")).schema["x"].dataType
-
-
 SCORE_COLS = ["case_no", "pos", "path", "expected", "actual", "hit", "score", "pass_fail"]
 
 
@@ -320,25 +331,24 @@ def _customer_phone(k="c_custkey", n="c_nationkey"):
 
 
 @register("phone_standardize", f"""
-WITH cand AS (
-  SELECT 'documents' AS src, doc_id AS id,
-         unnest(regexp_extract_all(text, '{PHONE_CANDIDATE_RE}')) AS raw
-  FROM documents
+WITH c AS (SELECT doc_id, regexp_extract_all(text, '{PHONE_CANDIDATE_RE}') AS arr FROM documents),
+cand AS (
+  SELECT 'documents' AS src, doc_id AS id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos,
+         unnest(arr) AS raw
+  FROM c
   UNION ALL
-  SELECT 'customer', c_custkey, {_customer_phone()} FROM customer
+  SELECT 'customer', c_custkey, 0, {_customer_phone()} FROM customer
 )
-SELECT src, id, raw, {_phone_sql('raw')} AS e164, count(*) AS n
-FROM cand GROUP BY src, id, raw""")
+SELECT src, id, pos, raw, {_phone_sql('raw')} AS e164 FROM cand""")
 def phone_standardize(spark, sf):
+    # candidates keep their position in the text: narrow, no grouping shuffle
     docs = table(spark, sf, "documents").select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-        F.explode(F.regexp_extract_all("text", F.lit(PHONE_CANDIDATE_RE), 0)).alias("raw"))
+        F.posexplode(F.regexp_extract_all("text", F.lit(PHONE_CANDIDATE_RE), 0)).alias("pos", "raw"))
     cust = table(spark, sf, "customer").select(
-        F.lit("customer").alias("src"), F.col("c_custkey").alias("id"),
-        F.expr(_customer_phone().replace("CAST(", "CAST(").replace("VARCHAR", "STRING")).alias("raw"))
-    cand = docs.unionByName(cust)
-    return (cand.groupBy("src", "id", "raw").agg(F.count(F.lit(1)).alias("n"))
-            .select("src", "id", "raw", phone.to_e164("raw").alias("e164"), "n"))
+        F.lit("customer").alias("src"), F.col("c_custkey").alias("id"), F.lit(0).alias("pos"),
+        F.expr(_customer_phone().replace("VARCHAR", "STRING")).alias("raw"))
+    return docs.unionByName(cust).select("src", "id", "pos", "raw", phone.to_e164("raw").alias("e164"))
 
 
 _TITLE_SQL = """CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 5 = 1 THEN ''
