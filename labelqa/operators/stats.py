@@ -10,8 +10,6 @@ Pass/Fail keeps the unrounded comparison.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,16 +83,13 @@ def overall(scored: DataFrame, digits: int = 6) -> DataFrame:
 def grouping_sets(scored: DataFrame, digits: int = 6) -> DataFrame:
     """Field, case and overall rows in one Expand + one shuffle."""
     p = prepare(scored)
-    view = f"__labelqa_scored_{uuid.uuid4().hex}"
-    p.createOrReplaceTempView(view)
-    return p.sparkSession.sql(f"""
-        SELECT CASE grouping_id(path, case_no) WHEN 1 THEN 'field'
-                    WHEN 2 THEN 'case' ELSE 'overall' END AS level,
-               path, case_no,
-               round(avg(_score2), {digits}) AS accuracy_mean,
-               round(avg(_pass), {digits}) AS pass_rate,
-               round(avg(_missing), {digits}) AS missing_rate,
-               count(1) AS n
-        FROM {view}
-        GROUP BY GROUPING SETS ((path), (case_no), ())
-    """)
+    g = p.groupingSets([["path"], ["case_no"], []], "path", "case_no").agg(
+        F.grouping_id("path", "case_no").alias("_gid"),
+        F.round(F.avg("_score2"), digits).alias("accuracy_mean"),
+        F.round(F.avg("_pass"), digits).alias("pass_rate"),
+        F.round(F.avg("_missing"), digits).alias("missing_rate"),
+        F.count(F.lit(1)).alias("n"))
+    level = (F.when(F.col("_gid") == 1, F.lit("field")).when(F.col("_gid") == 2, F.lit("case"))
+             .otherwise(F.lit("overall")))
+    return g.select(level.alias("level"), "path", "case_no", "accuracy_mean", "pass_rate",
+                    "missing_rate", "n")

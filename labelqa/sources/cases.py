@@ -12,7 +12,7 @@ file is not counted (it could not be decoded either).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the case layout.
@@ -64,10 +64,12 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 def number_cases(cases: DataFrame) -> DataFrame:
     """Case numbers 1..n in directory order.
 
-    The case table holds one row per directory (small); the global ordering
-    window runs on it, never on file-level or leaf-level rows.
+    A distributed rank (range-partitioned sort + per-partition offsets), so
+    even millions of cases never meet in one task.
     """
-    return cases.select("*", F.row_number().over(Window.orderBy("case_dir")).alias("case_no"))
+    from ..operators.prefix import rank_within
+    g = cases.withColumn("__all", F.lit(0))
+    return rank_within(g, "__all", "case_dir").withColumnRenamed("rank", "case_no").drop("__all")
 
 
 def discover(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
