@@ -38,8 +38,9 @@ def py_double(c) -> Column:
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     fixed = F.when(exp >= 0, big).otherwise(small)
     mant = F.when(F.length(frac) > 0, F.concat(lead, F.lit("."), frac)).otherwise(lead)
+    e_abs = F.abs(exp).cast("string")
     expo = F.concat(F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
-                    F.lpad(F.abs(exp).cast("string"), 2, "0"))
+                    F.when(F.length(e_abs) < 2, F.lpad(e_abs, 2, "0")).otherwise(e_abs))
     py = F.concat(sign, F.when((exp >= -4) & (exp < 16), fixed).otherwise(F.concat(mant, expo)))
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
