@@ -376,7 +376,7 @@ WITH agg AS (
   SELECT l_orderkey, count(*) AS n, list_sort(list_distinct(list(l_returnflag))) AS flags
   FROM lineitem GROUP BY l_orderkey)
 SELECT o_orderkey, coalesce(n, 0) AS n_items,
-       len(coalesce(flags, [])) AS n_flags, array_to_string(coalesce(flags, []), ',') AS flags
+       CAST(len(coalesce(flags, [])) AS INTEGER) AS n_flags, array_to_string(coalesce(flags, []), ',') AS flags
 FROM orders LEFT JOIN agg ON o_orderkey = l_orderkey""")
 def null_list_default(spark, sf):
     # per-order list of distinct return flags: bounded by the flag domain,
@@ -504,7 +504,7 @@ EXPECTED_EVENT_KEYS = ["k", "user_id", "event_type"]
 
 @register("key_presence", """
 WITH k AS (SELECT event_id, json_keys(props) AS keys FROM events)
-SELECT event_id, len(keys) AS n_keys,
+SELECT event_id, CAST(len(keys) AS INTEGER) AS n_keys,
   array_to_string(list_sort(list_filter(['k', 'user_id', 'event_type'], lambda x: NOT list_contains(keys, x))), ',')
     AS missing,
   len(list_filter(['k', 'user_id', 'event_type'], lambda x: NOT list_contains(keys, x))) = 0 AS ok
