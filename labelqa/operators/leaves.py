@@ -155,3 +155,36 @@ def json_leaves(col) -> Column:
     """Leaves of JSON text; null for null or unparseable text."""
     col = F.col(col) if isinstance(col, str) else col
     return _json_leaves_udf(col)
+
+
+def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
+    """Long form ``(keep..., pos, path, value, kind)`` of JSON text, directly.
+
+    Same walk as ``json_leaves`` but emitted as rows by ``mapInPandas``: no
+    nested array is built per document, which is cheaper when the long table
+    is what is wanted. Unparseable or null text yields no rows.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join(f"{c} {types[c]}" for c in keep)
+    schema += ", pos int, path string, value string, kind string"
+
+    def run(batches):
+        for pdf in batches:
+            out = {c: [] for c in keep}
+            pos, path, value, kind = [], [], [], []
+            for rec in pdf.itertuples(index=False):
+                rows = _leaves_of_text(getattr(rec, col))
+                if not rows:
+                    continue
+                for c in keep:
+                    out[c].extend([getattr(rec, c)] * len(rows))
+                for r in rows:
+                    pos.append(r["pos"])
+                    path.append(r["path"])
+                    value.append(r["value"])
+                    kind.append(r["kind"])
+            res = pd.DataFrame(out)
+            res["pos"], res["path"], res["value"], res["kind"] = pos, path, value, kind
+            yield res
+
+    return df.select(*keep, col).mapInPandas(run, schema)

@@ -494,7 +494,7 @@ def leaf_fields(spark, sf):
     od = table(spark, sf, "orders").select(
         F.lit("orders").alias("src"), F.col("o_orderkey").alias("id"), _order_doc().alias("doc"))
     docs = ev.unionByName(od)
-    return docs.select("src", "id", F.inline(leaves.json_leaves("doc")))
+    return leaves.json_leaf_rows(docs, ["src", "id"], "doc")
 
 
 # ---------------------------------------------------------------- E7, E9, E10

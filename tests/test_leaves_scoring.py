@@ -133,3 +133,11 @@ def test_similarity_matches_python(spark, pairs):
     want = [py_similarity(a, b) for a, b in pairs]
     assert got == want
     assert all(0.0 <= g <= 100.0 for g in got)
+
+
+def test_leaf_rows_equal_leaf_arrays(spark):
+    docs = ['{"a": {"b": [1, 2.5, null]}, "c": true}', "[1, [2, {\"x\": \"y\"}]]", "bad", None, "{}"]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i long, j string")
+    rows = sorted(tuple(r) for r in leaves.json_leaf_rows(df, ["i"], "j").collect())
+    arr = sorted(tuple(r) for r in df.select("i", F.inline(leaves.json_leaves("j"))).collect())
+    assert rows == arr and len(rows) == 7

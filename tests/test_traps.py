@@ -65,3 +65,14 @@ def test_t13_unicode_word_boundary(spark):
     assert got == [False, True, False, False]
     got = [r[0] for r in df.select(F.col("t").rlike(word_pattern("the"))).collect()]
     assert got == [False, False, False, True]
+
+
+def test_one_pass_word_presence_equals_per_word(spark):
+    from labelqa.operators.scoring import patterns_present, word_pattern
+    words = ["the", "there", "25", "New York", "é", "a_b"]
+    texts = ["the the", "there", "éthe", "the_end", "THE", "x 25.", "New York", "New  York",
+             "é!", "a_b c", "", None, "therethe there", "25x 25"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    one = df.select(patterns_present(F.col("t"), words).alias("f")).collect()
+    per = df.select(F.array(*[F.col("t").rlike(word_pattern(w)) for w in words]).alias("f")).collect()
+    assert [r.f for r in one] == [r.f for r in per]
