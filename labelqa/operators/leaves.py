@@ -183,6 +183,8 @@ def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
                     path.append(r["path"])
                     value.append(r["value"])
                     kind.append(r["kind"])
+            if not pos:
+                continue
             res = pd.DataFrame(out)
             res["pos"], res["path"], res["value"], res["kind"] = pos, path, value, kind
             yield res
