@@ -45,6 +45,8 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
     for name, (agg, col) in totals.items():
         fn = {"sum": F.sum, "max": F.max, "count": F.count}[agg]
         partial.append(fn(col).alias(f"_t_{name}"))
+    # chunk totals straight from the rows: map-side partial aggregation, so
+    # this shuffle carries one partial row per (task, group, chunk), not rows
     chunks = rows.groupBy(by, "_chunk").agg(
         *[F.sum(v).alias(f"_{v}_c") for v in values],
         F.count(F.lit(1)).alias("_n_c"), *partial)
