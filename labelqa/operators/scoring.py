@@ -102,24 +102,11 @@ def word_pattern(word: str) -> str:
     return r"(^|[^\p{L}\p{N}_])" + re.escape(word) + r"($|[^\p{L}\p{N}_])"
 
 
-WORD_CHARS = r"[\p{L}\p{N}_]"
-
-
 def patterns_present(text: Column, words: list[str]) -> Column:
     """One boolean per word (array, in the given order); plan-time list.
 
-    Single-token words are found in one pass over the text: one regex with
-    all of them as alternatives (longest first) extracts every word-bounded
-    occurrence; a lookahead keeps the boundary after a match available to
-    the next one. Words containing non-word characters get their own test.
+    One ``rlike`` per word: each stops at the first occurrence, which
+    measured faster than a single pass extracting every occurrence of all
+    words (common words occur many times per text).
     """
-    import re
-    single = [w for w in words if re.fullmatch(r"\w+", w)]
-    flags = {}
-    if single:
-        alt = "|".join(re.escape(w) for w in sorted(set(single), key=len, reverse=True))
-        pattern = rf"(?:^|[^\p{{L}}\p{{N}}_])({alt})(?={WORD_CHARS.replace('[', '[^', 1)}|$)"
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))
-        for w in single:
-            flags[w] = F.when(text.isNotNull(), F.coalesce(F.array_contains(found, w), F.lit(False)))
-    return F.array(*[flags[w] if w in flags else text.rlike(word_pattern(w)) for w in words])
+    return F.array(*[text.rlike(word_pattern(w)) for w in words])

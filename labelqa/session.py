@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python paths see whole documents: bound rows per Arrow batch
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     # Python dict semantics for repeated keys: the later value wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
