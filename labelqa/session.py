@@ -46,17 +46,25 @@ def get_spark(master: str | None = None, app: str = "labelqa",
     return spark
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is used as is.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster the setting names a shared file system and is used as is
+    (it is read, never changed). Only when it is unset (local runs, tests) a
+    scratch folder is created once per application.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
-        path = tempfile.mkdtemp(prefix="labelqa-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        app = sc.applicationId
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="labelqa-ckpt-")
+        path = _SCRATCH[app]
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
@@ -80,7 +88,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     work in a single task. On large inputs the scan already yields far more
     partitions than cores and this is a no-op (no extra shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
