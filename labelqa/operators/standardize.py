@@ -194,8 +194,11 @@ def _list_stages(name: str, src: Column, model: str | None, stage_offset: int,
     if model:
         s0[e] = F.try_variant_get(src, "$", f"array<{_vstruct(model)}>")
         stages[stage_offset + 1][k] = kind(F.col(x), arr=F.col(a))
-        stages[stage_offset + 1][it] = F.transform(F.col(a), lambda v, i: F.struct(
-            kind(v, obj=F.col(e)[i]).alias("k"), _tagged(F.col(e)[i], model).alias("t")))
+        # zip the raw elements with their object probes: one lambda variable
+        # per element, cheap field access instead of re-indexing the probe
+        zipped = F.arrays_zip(F.col(a).alias("v"), F.col(e).alias("o"))
+        stages[stage_offset + 1][it] = F.transform(zipped, lambda z: F.struct(
+            kind(z["v"], obj=z["o"]).alias("k"), _tagged(z["o"], model).alias("t")))
     else:
         stages[stage_offset + 1][k] = kind(F.col(x), arr=F.col(a))
         stages[stage_offset + 1][it] = F.transform(F.col(a), lambda v: F.struct(

@@ -37,7 +37,9 @@ def report_rows(scored: DataFrame) -> DataFrame:
 def write_csv(scored: DataFrame, path: str, run_id: str | None = None) -> None:
     """Header row, quoted fields; one folder per run instead of a minute stamp."""
     rows = report_rows(scored).orderBy(REPORT_COLUMNS[0], "_pos").drop("_pos")
-    w = rows.write.mode("overwrite").option("header", True).option("escape", '"')
+    # empty strings written as nothing, like nulls (same bytes as a Python csv writer)
+    w = (rows.write.mode("overwrite").option("header", True).option("escape", '"')
+         .option("emptyValue", ""))
     w.csv(path if run_id is None else f"{path}/run_id={run_id}")
 
 

@@ -21,6 +21,19 @@ GOLDEN_NAME = "expected_output.json"
 IMAGE_RE = r"(?i)\.(png|jpg)$"
 
 
+SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+def norm_path(c):
+    """Path text without scheme and its slashes (``file:/a`` = ``file:///a`` = ``/a``)."""
+    return F.concat(F.lit("/"), F.regexp_replace(c, SCHEME_RE, ""))
+
+
+def _norm_root(root: str) -> str:
+    import re
+    return "/" + re.sub(SCHEME_RE, "", root.rstrip("/")).lstrip("/")
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, dir, name, length)`` of every file below ``root``."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -32,9 +45,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _case_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of directories ``label_*`` directly below ``root``."""
     f = list_files(spark, root)
+    parent = norm_path(F.regexp_extract("dir", r"^(.*)/[^/]+$", 1))
     f = f.select("*", F.regexp_extract("dir", r"([^/]+)$", 1).alias("case_dir"))
-    return f.filter(F.col("case_dir").startswith(CASE_DIR_PREFIX))
+    return f.filter(F.col("case_dir").startswith(CASE_DIR_PREFIX) & (parent == _norm_root(root)))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:

@@ -73,6 +73,7 @@ def test_discovery(spark, tmp_dir):
         "label_002": {"image001.png": "", "expected_output.json": "{}"},
         "label_003": {"b.jpg": "", "a.png": "", "expected_output.json": "{}", "notes.jpeg": ""},
         "other": {"x.png": ""},
+        "other/label_009": {"x.png": "", "expected_output.json": "{}"},   # nested: not a case
     })
     found = cases.discover(spark, tmp_dir).orderBy("case_no").collect()
     assert [(r.case_no, r.case_dir, r.n_images) for r in found] == [

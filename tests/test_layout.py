@@ -90,3 +90,15 @@ def test_admit_images(spark):
     assert (got["a.png"].width, got["a.png"].height, got["a.png"].admitted) == (3, 2, True)
     assert got["b.png"].admitted is False and got["b.png"].error == "Invalid image data"
     assert got["c.jpg"].admitted is False
+
+
+def test_admit_images_decoded(spark, tmp_dir):
+    import os
+    os.makedirs(os.path.join(tmp_dir, "label_001"))
+    with open(os.path.join(tmp_dir, "label_001", "a.png"), "wb") as fh:
+        fh.write(png_bytes(3, 2))
+    with open(os.path.join(tmp_dir, "label_001", "b.jpg"), "wb") as fh:
+        fh.write(b"not an image")
+    got = {os.path.basename(r.path): r for r in layout.admit_images_decoded(spark, tmp_dir).collect()}
+    assert (got["a.png"].width, got["a.png"].height, got["a.png"].admitted) == (3, 2, True)
+    assert got["b.jpg"].admitted is False and got["b.jpg"].error == "Invalid image data"
