@@ -56,11 +56,12 @@ def _customer_scores(c: DataFrame) -> DataFrame:
         F.when(k % 5 == 1, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("segment"),
         F.col("c_nationkey").cast("double").alias("nation"),
         F.when(k % 3 == 0, F.floor("c_acctbal").cast("double")).otherwise(F.col("c_acctbal")).alias("balance"))
-    rec = c.select((k * 2).alias("case_no"), k.alias("k"), expected.cast(CUSTOMER_EXPECTED).alias("__e"),
+    rec = c.select((k * 2).alias("case_no"), (F.col("c_acctbal") < 0).alias("__debt"),
+                   expected.cast(CUSTOMER_EXPECTED).alias("__e"),
                    produced.cast(CUSTOMER_PRODUCED).alias("__p"))
     a_leaves = leaves.typed_leaves("__p", CUSTOMER_PRODUCED)
-    # the extractor did not return the segment for some cases
-    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "segment") & (F.col("k") % 5 == 0)))
+    # the extractor returns no segment for accounts in debt
+    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "segment") & F.col("__debt")))
     rec = rec.select("case_no", leaves.typed_leaves("__e", CUSTOMER_EXPECTED).alias("e"),
                      a_leaves.alias("a"))
     return scoring.score_records(rec, "e", "a", ["case_no"])
@@ -74,10 +75,12 @@ def _supplier_scores(s: DataFrame) -> DataFrame:
         F.when(k % 4 == 0, F.upper("s_name")).otherwise(F.col("s_name")).alias("name"),
         F.col("s_nationkey").alias("nation"),
         F.when(k % 3 == 1, F.col("s_acctbal") + F.lit(1.0)).otherwise(F.col("s_acctbal")).alias("balance"))
-    rec = s.select((k * 2 + 1).alias("case_no"), k.alias("k"), expected.cast(SUPPLIER_RECORD).alias("__e"),
+    rec = s.select((k * 2 + 1).alias("case_no"), (F.col("s_acctbal") < 0).alias("__debt"),
+                   expected.cast(SUPPLIER_RECORD).alias("__e"),
                    produced.cast(SUPPLIER_RECORD).alias("__p"))
     a_leaves = leaves.typed_leaves("__p", SUPPLIER_RECORD)
-    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "nation") & (F.col("k") % 6 == 0)))
+    # the extractor returns no nation for suppliers in debt
+    a_leaves = F.filter(a_leaves, lambda x: ~((x["path"] == "nation") & F.col("__debt")))
     rec = rec.select("case_no", leaves.typed_leaves("__e", SUPPLIER_RECORD).alias("e"),
                      a_leaves.alias("a"))
     return scoring.score_records(rec, "e", "a", ["case_no"])
@@ -113,7 +116,7 @@ act AS (
   FROM customer
   UNION ALL SELECT c_custkey * 2, 'segment',
          CASE WHEN c_custkey % 5 = 1 THEN lower(c_mktsegment) ELSE c_mktsegment END
-  FROM customer WHERE c_custkey % 5 <> 0
+  FROM customer WHERE NOT c_acctbal < 0
   UNION ALL SELECT c_custkey * 2, 'nation', CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) FROM customer
   UNION ALL SELECT c_custkey * 2, 'balance',
          CAST(CASE WHEN c_custkey % 3 = 0 THEN floor(c_acctbal) ELSE c_acctbal END AS VARCHAR)
@@ -121,7 +124,7 @@ act AS (
   UNION ALL SELECT s_suppkey * 2 + 1, 'name',
          CASE WHEN s_suppkey % 4 = 0 THEN upper(s_name) ELSE s_name END FROM supplier
   UNION ALL SELECT s_suppkey * 2 + 1, 'nation', CAST(s_nationkey AS VARCHAR)
-  FROM supplier WHERE s_suppkey % 6 <> 0
+  FROM supplier WHERE NOT s_acctbal < 0
   UNION ALL SELECT s_suppkey * 2 + 1, 'balance',
          CAST(CASE WHEN s_suppkey % 3 = 1 THEN s_acctbal + 1.0E0 ELSE s_acctbal END AS VARCHAR)
   FROM supplier
