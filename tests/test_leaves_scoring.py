@@ -141,3 +141,38 @@ def test_leaf_rows_equal_leaf_arrays(spark):
     rows = sorted(tuple(r) for r in leaves.json_leaf_rows(df, ["i"], "j").collect())
     arr = sorted(tuple(r) for r in df.select("i", F.inline(leaves.json_leaves("j"))).collect())
     assert rows == arr and len(rows) == 7
+
+
+REC = T.StructType([
+    T.StructField("s", T.StringType()),
+    T.StructField("d", T.DoubleType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("b", T.BooleanType()),
+    T.StructField("w", T.ArrayType(T.StructType([T.StructField("value", T.DoubleType()),
+                                                  T.StructField("unit", T.StringType())]))),
+    T.StructField("g", T.StructType([T.StructField("t", T.StringType()),
+                                     T.StructField("l", T.ArrayType(T.StringType()))])),
+])
+
+_dbl = st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64))
+_txt = st.one_of(st.none(), st.text(max_size=6))
+_row = st.tuples(
+    _txt, _dbl, st.one_of(st.none(), st.integers(-2**62, 2**62)), st.one_of(st.none(), st.booleans()),
+    st.one_of(st.none(), st.lists(st.one_of(st.none(), st.tuples(_dbl, _txt)), max_size=3)),
+    st.one_of(st.none(), st.tuples(_txt, st.one_of(st.none(), st.lists(_txt, max_size=3)))),
+)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(_row, min_size=1, max_size=15))
+def test_typed_flatten_property(spark, rows):
+    """Catalyst flatten == Python walk of the same record's JSON."""
+    df = spark.createDataFrame(rows, REC)
+    typed = df.select(leaves.typed_leaves(F.struct(*df.columns), REC).alias("l")).collect()
+    js = df.select(leaves.json_leaves(F.to_json(F.struct(*df.columns),
+                                                {"ignoreNullFields": "false"})).alias("l")).collect()
+    for a, b in zip(typed, js):
+        ta, tb = [tuple(x) for x in a.l], [tuple(x) for x in b.l]
+        assert [x[:2] + x[3:] for x in ta] == [x[:2] + x[3:] for x in tb]   # pos, path, kind
+        for x, y in zip(ta, tb):   # values: same text, or JDK 17 non-shortest digits
+            assert x[2] == y[2] or (x[3] == "float" and float(x[2]) == float(y[2]))

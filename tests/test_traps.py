@@ -76,3 +76,31 @@ def test_one_pass_word_presence_equals_per_word(spark):
     one = df.select(patterns_present(F.col("t"), words).alias("f")).collect()
     per = df.select(F.array(*[F.col("t").rlike(word_pattern(w)) for w in words]).alias("f")).collect()
     assert [r.f for r in one] == [r.f for r in per]
+
+
+def test_t9_sentinel_text_is_a_real_value(spark):
+    from labelqa.operators import scoring
+    e = spark.createDataFrame([(1, 0, "a", "FIELD_NOT_FOUND", "str")],
+                              "case_no int, pos int, path string, value string, kind string")
+    a = spark.createDataFrame([(1, "a", "FIELD_NOT_FOUND", "str")],
+                              "case_no int, path string, value string, kind string")
+    r = scoring.score_leaves(e, a, ["case_no"]).collect()[0]
+    assert r.hit and r.score == 100.0 and r.pass_fail == "Pass"
+
+
+def test_t12_dollar_accepts_one_trailing_newline(spark):
+    from labelqa.functions import rules
+    df = spark.createDataFrame([("1234567A\n",), ("10-5-20\n",), ("1234567A\n\n",)], "v string")
+    got = df.select(rules.registration_id("v").alias("r"), rules.grade("v").alias("g")).collect()
+    assert got[0].r == "1234567A\n" and got[1].g == "10-5-20\n" and got[2].r is None
+
+
+def test_t20_non_string_website_rejects_record(spark):
+    import json
+    from labelqa.operators import standardize as S
+    df = spark.createDataFrame([(1, json.dumps({"organizations": [{"website": 12, "phone_number": 5}]}))],
+                               "id long, raw string")
+    r = S.standardize(df, "raw", ["id"]).collect()[0]
+    assert r.record is None
+    assert sorted((x.loc, x.kind) for x in r._issues) == [
+        ("organizations[0].phone_number", "string_type"), ("organizations[0].website", "string_type")]
