@@ -43,6 +43,7 @@ def get_spark(master: str | None = None, app: str = "labelqa",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -94,3 +95,31 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:  # no RDD access (e.g. a remote session): leave as is
         return df
     return df.repartition(target) if current < target else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``labelqa`` importable in Python workers (UDFs, ``mapInPandas``).
+
+    Functions of the package are pickled by reference, so workers must
+    import it; the package is zipped once per application and distributed
+    with ``addPyFile`` (Spark's own file distribution).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="labelqa-pkg-"), "labelqa.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
