@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import phone, rules
-from ..operators import leaves, scoring, stats
+from ..operators import extract, layout, leaves, scoring, standardize, stats
+from ..sinks.reports import field_rows
 from ..sources.tables import table
 
 ORACLE: dict[str, str] = {}
@@ -196,7 +197,6 @@ SELECT path, '| ' || path || ' | ' || printf('%.2f', accuracy_mean) || ' | ' ||
        || CAST((SELECT count(DISTINCT case_no) FROM prep) AS VARCHAR) || ' |' AS line
 FROM fs""")
 def markdown_field_rows(spark, sf):
-    from ..sinks.reports import field_rows
     scored = field_scores_df(spark, sf)
     total = stats.overall(scored).select("total_test_cases").scalar()
     return field_rows(stats.by_field(scored), total).select("path", "line")
@@ -399,7 +399,6 @@ def null_list_default(spark, sf):
 # the key, height from the size; ordered by key within the brand.
 
 def _manifest(spark, sf):
-    from ..operators import layout  # noqa: F401
     return table(spark, sf, "part").select(
         F.col("p_brand").alias("doc"), F.col("p_partkey").alias("seq"),
         (F.lit(100) + (F.col("p_partkey") * 37) % 500).cast("bigint").alias("width"),
@@ -419,7 +418,6 @@ SELECT doc, seq, width, height, CAST(0 AS BIGINT) AS x,
   CAST(sum(height) OVER (PARTITION BY doc) AS BIGINT) AS canvas_height
 FROM m""")
 def composite_layout(spark, sf):
-    from ..operators import layout
     return layout.composite_layout(_manifest(spark, sf))
 
 
@@ -430,7 +428,6 @@ SELECT doc, seq, row_number() OVER (PARTITION BY doc ORDER BY seq) AS page_no,
   612.0E0 / width AS scale_x, 792.0E0 / height AS scale_y
 FROM m""")
 def page_layout(spark, sf):
-    from ..operators import layout
     return layout.page_layout(_manifest(spark, sf))
 
 
@@ -449,7 +446,6 @@ SELECT conv_id, turn, page_no, CAST(start_pos AS BIGINT) AS start_pos,
        CAST(start_pos + len AS BIGINT) AS end_pos, n_pages, CAST(total_len AS BIGINT) AS total_len
 FROM s""")
 def page_text_concat(spark, sf):
-    from ..operators import layout
     conv = table(spark, sf, "conversations")
     return layout.page_spans(conv, "conv_id", "turn", "text")
 
@@ -596,14 +592,12 @@ FROM fan f JOIN models m ON f.model = m.model
 WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.doc_id = f.doc_id AND d.engine = f.engine
                                          AND d.model = f.model)""")
 def work_remaining(spark, sf):
-    from ..operators import extract
     docs = table(spark, sf, "documents").select("doc_id")
     todo, _ = extract.plan_work(spark, docs, "doc_id", ENGINES, REQUESTED_MODELS, _done(spark, sf))
     return todo
 
 
 def _request_sql() -> str:
-    from ..operators import extract
     head = (extract.TASK + "\n\nRequirements:" + extract.REQUIREMENTS + "\nText:\n").replace("'", "''")
     return (f"SELECT doc_id, '{head}' || coalesce(text, '') AS request, "
             f"CAST(length('{head}' || coalesce(text, '')) AS INTEGER) AS request_len FROM documents")
@@ -611,7 +605,6 @@ def _request_sql() -> str:
 
 @register("request_text", _request_sql())
 def request_text(spark, sf):
-    from ..operators import extract
     d = table(spark, sf, "documents").select("doc_id", extract.request_text(F.col("text")).alias("request"))
     return d.select("doc_id", "request", F.length("request").alias("request_len"))
 
@@ -619,7 +612,7 @@ def request_text(spark, sf):
 # ---------------------------------------------------------------- I4b, I1/I4a/P6/P8
 
 def _pattern_sql() -> str:
-    from ..operators import extract as X
+    X = extract
     strip = ("replace(regexp_replace(regexp_replace(regexp_replace(html, "
              "'(?s)<script[^>]*>.*?</script>', ' ', 'g'), '(?s)<style[^>]*>.*?</style>', ' ', 'g'), "
              "'<[^>]+>', ' ', 'g'), '&amp;', '&')")
@@ -648,7 +641,7 @@ SELECT src, id, title, {fields} FROM p"""
 
 @register("pattern_extract", _pattern_sql())
 def pattern_extract(spark, sf):
-    from ..operators import extract as X
+    X = extract
     pages = table(spark, sf, "pages").select(
         F.lit("pages").alias("src"), F.col("page_id").alias("id"),
         X._first(F.col("html"), X.TITLE_RE, 1).alias("title"), X.html_text(F.col("html")).alias("t"))
@@ -672,7 +665,6 @@ def word_count_extractor():
 
 @register("apply_extractor")
 def apply_extractor(spark, sf):
-    from ..operators import extract
     docs = table(spark, sf, "documents")
     return extract.apply_extractor(docs, word_count_extractor, "doc_id", ["text"])
 
@@ -731,7 +723,6 @@ issues AS (
 
 
 def _std_orders(spark, sf):
-    from ..operators import standardize
     raw = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"),
                                             F.expr(RAW_RECORD_SQL).alias("doc"))
     return standardize.standardize(raw, "doc", ["id"])
@@ -741,7 +732,6 @@ def _std_orders(spark, sf):
 SELECT id, count(*) AS n_issues, string_agg(loc || ':' || kind, ';' ORDER BY loc || ':' || kind) AS issues
 FROM issues GROUP BY id""")
 def record_rejects(spark, sf):
-    from ..operators import standardize
     rej = standardize.rejects(_std_orders(spark, sf))
     text = F.array_join(F.array_sort(F.transform(
         "_issues", lambda x: F.concat(x["loc"], F.lit(":"), x["kind"]))), ";")
@@ -752,7 +742,6 @@ def record_rejects(spark, sf):
 SELECT regexp_replace(loc, '\\[[0-9]+\\]', '[]', 'g') AS loc, kind, count(*) AS n_issues
 FROM issues GROUP BY ALL""")
 def rule_counts(spark, sf):
-    from ..operators import standardize
     return standardize.rule_counts(_std_orders(spark, sf))
 
 
@@ -785,7 +774,6 @@ SELECT id, doc->>'$.fertiliser_name' AS fertiliser_name,
   END AS is_minimal
 FROM f""")
 def record_standardize(spark, sf):
-    from ..operators import standardize
     r = standardize.accepted(_std_orders(spark, sf)).select("id", "record.*")
     return r.select(
         "id", "fertiliser_name", "npk",
