@@ -8,8 +8,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_PARTS: dict[tuple[str, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Read one table; small single-file tables are spread over all cores."""
-    from ..session import spread
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    """Read one table; small single-file tables are spread over all cores.
+
+    The scan's partition count is looked up once per application and path
+    (planning a scan just to count its partitions is not free).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if not spread_rows:
+        return df
+    try:
+        sc = spark.sparkContext
+        key = (sc.applicationId, path)
+        if key not in _PARTS:
+            _PARTS[key] = df.rdd.getNumPartitions()
+        target = sc.defaultParallelism
+    except Exception:  # no RDD access (remote session): leave as is
+        return df
+    return df.repartition(target) if _PARTS[key] < target else df
