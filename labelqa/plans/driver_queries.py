@@ -313,24 +313,21 @@ PHONE_CANDIDATE_RE = r"\+?\(?[0-9][0-9 ().\-]{6,18}[0-9]"
 
 
 def _phone_sql(col: str) -> str:
-    s = f"trim({col})"
-    d = f"regexp_replace({s}, '[^0-9]', '', 'g')"
-    nat = (f"CASE WHEN length({d}) = 11 AND starts_with({d}, '1') THEN substr({d}, 2, 10) "
-           f"WHEN length({d}) = 10 THEN {d} END")
-    dom = f"CASE WHEN regexp_full_match({nat}, '{phone.PLANS[0][1]}') THEN '+1' || {nat} END"
-    intl = "CASE " + " ".join(
-        f"WHEN regexp_full_match({d}, '{code}{pat}') THEN '+' || {d}" for code, pat in phone.PLANS
-    ) + " END"
-    ok = f"regexp_full_match({s}, '\\+?[0-9 ().\\-/\\[\\]~]*') AND length({d}) > 0"
-    return f"CASE WHEN {ok} THEN (CASE WHEN starts_with({s}, '+') THEN {intl} ELSE {dom} END) END"
+    return phone.to_e164_sql(col)
 
 
 def _customer_phone(k="c_custkey", n="c_nationkey"):
-    return f"""CASE {n} % 4
+    return f"""CASE {n} % 8
       WHEN 0 THEN '(' || CAST(200 + {k} % 800 AS VARCHAR) || ') 555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
       WHEN 1 THEN '1-' || CAST(200 + {k} % 800 AS VARCHAR) || '-555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
       WHEN 2 THEN '+44 20 7946 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
-      ELSE CAST(100 + {k} % 900 AS VARCHAR) || ' 555 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') || ' ext' END"""
+      WHEN 3 THEN CAST(100 + {k} % 900 AS VARCHAR) || ' 555 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') || ' ext'
+      WHEN 4 THEN 'Tel: 1-800-' || CASE {k} % 3 WHEN 0 THEN 'GOT-JUNK' WHEN 1 THEN 'FLOWERS' ELSE 'CALL-NOW' END
+      WHEN 5 THEN '(' || CAST(200 + {k} % 800 AS VARCHAR) || ') 555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+                  || ' ext. ' || CAST({k} % 100 AS VARCHAR)
+      WHEN 6 THEN '011 44 20 7946 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+      ELSE 'Phone ' || CAST(200 + {k} % 800 AS VARCHAR) || '.555.' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')
+           || ' or fax' END"""
 
 
 @register("phone_standardize", f"""

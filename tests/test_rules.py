@@ -90,6 +90,13 @@ def test_empty_if_null(spark):
     ("123-456-7890", None),
     ("098-765-4321", None),
     ("1-800-539-5283 or 713-461-1493", None),
+    ("Tel: 800 640 9605", "+18006409605"),          # leading text dropped
+    ("800 640 9605 ext. 12", "+18006409605"),       # extension dropped
+    ("800-640-9605 x7", "+18006409605"),
+    ("1-800-GOT-JUNK", "+18004685865"),             # vanity letters
+    ("011 44 20 7946 0958", "+442079460958"),       # international prefix
+    ("800 640 9605 A", "+18006409605"),             # fewer than three letters are ignored
+    ("800 640 9605 ext", None),                     # three letters become digits: too long
     (None, None),
 ])
 def test_phone(spark, raw, expected):
