@@ -10,13 +10,16 @@ rows are cut into chunks of at most ``chunk`` consecutive ``seq`` values:
    ``chunk`` times smaller than the input;
 4. offsets joined back on ``(doc, chunk)``, a key that cannot be hot.
 
-``seq`` must be integral and unique within a group.
+``seq`` must be unique within a group. An integral ``seq`` is chunked by
+value (``seq // chunk``); any other orderable ``seq`` (a struct of keys, a
+string) is chunked by a range-partitioned sort on ``(by, seq)``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CHUNK = 4096
 
@@ -32,6 +35,14 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
     a group in one task.
     """
     totals = totals or {}
+    integral = isinstance(df.schema[seq].dataType, (T.ByteType, T.ShortType, T.IntegerType,
+                                                     T.LongType))
+    if chunk_col is None and not integral:
+        # any orderable seq (e.g. a struct of keys): a range-partitioned sort
+        # splits even a hot group, and the partition id is the chunk
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, by, seq)
+        chunk_col = F.spark_partition_id()
     ck = (F.floor(F.col(seq) / F.lit(chunk)) if chunk_col is None else chunk_col).alias("_chunk")
     rows = df.select("*", ck)
     w_in = (Window.partitionBy(by, "_chunk").orderBy(seq)

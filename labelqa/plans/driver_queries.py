@@ -824,3 +824,30 @@ def key_value_scores(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", _order_doc().alias("e"),
                                           _perturbed_order_doc().alias("a"))
     return scoring.key_value_scores(o, "e", "a", ["o_orderkey"])
+
+
+# ---------------------------------------------------------------- D2 with hot documents
+# Line items as the images of three documents (one per return flag): each
+# document holds about a third of all rows. The chunked running sums keep
+# every window task bounded by the chunk size.
+
+@register("hot_document_layout", """
+WITH m AS (SELECT l_returnflag AS doc, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  CAST(100 + l_partkey % 500 AS BIGINT) AS width,
+                  CAST(floor(l_quantity) AS BIGINT) + 1 AS height
+           FROM lineitem)
+SELECT doc, l_orderkey, l_linenumber, l_partkey, l_suppkey, width, height, CAST(0 AS BIGINT) AS x,
+  CAST(coalesce(sum(height) OVER (PARTITION BY doc ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS y,
+  CAST(max(width) OVER (PARTITION BY doc) AS BIGINT) AS canvas_width,
+  CAST(sum(height) OVER (PARTITION BY doc) AS BIGINT) AS canvas_height
+FROM m""")
+def hot_document_layout(spark, sf):
+    # image order = (order, line, part, supplier), a unique key of the table
+    m = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("doc"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"),
+        (F.lit(100) + F.col("l_partkey") % 500).cast("bigint").alias("width"),
+        (F.floor("l_quantity").cast("bigint") + 1).alias("height"))
+    return layout.composite_layout(m).select("doc", "seq.*", "width", "height", "x", "y",
+                                             "canvas_width", "canvas_height")

@@ -102,3 +102,21 @@ def test_admit_images_decoded(spark, tmp_dir):
     got = {os.path.basename(r.path): r for r in layout.admit_images_decoded(spark, tmp_dir).collect()}
     assert (got["a.png"].width, got["a.png"].height, got["a.png"].admitted) == (3, 2, True)
     assert got["b.jpg"].admitted is False and got["b.jpg"].error == "Invalid image data"
+
+
+def test_running_sums_struct_order_hot_group(spark):
+    random.seed(11)
+    rows = [("hot" if i % 10 else "cold", random.randint(0, 50), i % 7, random.randint(1, 9))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "doc string, a long, b long, h long").select(
+        "doc", F.struct("a", "b", F.monotonically_increasing_id().alias("u")).alias("seq"), "h")
+    got = prefix.running_sums(df, "doc", "seq", ["h"], totals={"total": ("sum", "h")}).collect()
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r.doc, []).append(r)
+    for d, rs in by_doc.items():
+        rs.sort(key=lambda r: (r.seq.a, r.seq.b, r.seq.u))
+        acc = 0
+        for r in rs:
+            assert r.h_before == acc and r.total == sum(x.h for x in rs)
+            acc += r.h
