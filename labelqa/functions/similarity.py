@@ -53,3 +53,21 @@ def fixed4(c) -> Column:
 def _format(c, pattern: str) -> Column:
     # format_number with a pattern string is reachable through SQL only.
     return F.call_function("format_number", _c(c), F.lit(pattern))
+
+
+def pass_fail_bounded(a, b, threshold: float = PASS_THRESHOLD) -> Column:
+    """E4 without the full O(n*m) distance: the label only.
+
+    A pair can pass only if ``lev <= (1 - threshold/100) * maxlen``, so the
+    distance is computed with the bounded (O(n*k)) form and an upper bound
+    one above that; the exact score formula then decides, giving the same
+    label as ``pass_fail(similarity(a, b))``.
+    """
+    a = F.coalesce(_c(a), F.lit(""))
+    b = F.coalesce(_c(b), F.lit(""))
+    longest = F.greatest(F.length(a), F.length(b))
+    k = F.floor((F.lit(1.0) - F.lit(threshold) / F.lit(100.0)) * longest).cast("int") + F.lit(1)
+    d = F.call_function("levenshtein", a, b, k)
+    score = (F.lit(1.0) - d / longest) * F.lit(100.0)
+    ok = (longest == 0) | (a == b) | ((d >= 0) & (score >= F.lit(float(threshold))))
+    return F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL))

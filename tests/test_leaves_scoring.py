@@ -176,3 +176,16 @@ def test_typed_flatten_property(spark, rows):
         assert [x[:2] + x[3:] for x in ta] == [x[:2] + x[3:] for x in tb]   # pos, path, kind
         for x, y in zip(ta, tb):   # values: same text, or JDK 17 non-shortest digits
             assert x[2] == y[2] or (x[3] == "float" and float(x[2]) == float(y[2]))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="abcé ", max_size=15)),
+                          st.one_of(st.none(), st.text(alphabet="abcé ", max_size=15))),
+                min_size=1, max_size=30),
+       st.sampled_from([80.0, 50.0, 95.0]))
+def test_bounded_label_equals_full(spark, pairs, threshold):
+    from labelqa.functions.similarity import pass_fail, pass_fail_bounded, similarity
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select(pass_fail(similarity("a", "b"), threshold).alias("x"),
+                    pass_fail_bounded("a", "b", threshold).alias("y")).collect()
+    assert all(r.x == r.y for r in got)
