@@ -47,27 +47,40 @@ PUNCT = r"\-x ().\/\[\]~*"
 VIABLE_RE = rf"^\+*([{PUNCT}]*[0-9]){{3,}}[{PUNCT}A-Za-z0-9]*$"
 
 
+def _let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and use it in ``fn`` (Catalyst does not share
+    sub-expressions across CASE branches; a one-element transform does)."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def to_e164(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    s = F.regexp_extract(c, START_RE, 0)
-    s = F.regexp_replace(s, TRAILING_RE, "")
-    s = F.regexp_replace(s, EXTENSION_RE, "")
-    letters = F.length(F.regexp_replace(s, "[^A-Za-z]", ""))
-    mapped = F.when(letters >= 3, F.translate(F.upper(s), KEYPAD_LETTERS, KEYPAD_DIGITS)).otherwise(s)
-    digits = F.regexp_replace(mapped, "[^0-9]", "")
-    plus = s.startswith("+")
-    idd = ~plus & digits.startswith(INTERNATIONAL_PREFIX)
-    intl_digits = F.when(idd, F.substring(digits, len(INTERNATIONAL_PREFIX) + 1, 64)).otherwise(digits)
-    n = F.length(digits)
-    national = (F.when((n == 11) & digits.startswith("1"), F.substring(digits, 2, 10))
-                .when(n == 10, digits))
-    domestic = F.when(national.rlike(f"^{PLANS[0][1]}$"), F.concat(F.lit("+1"), national))
-    intl = None
-    for code, pattern in PLANS:
-        cond = intl_digits.rlike(f"^{code}{pattern}$")
-        val = F.concat(F.lit("+"), intl_digits)
-        intl = F.when(cond, val) if intl is None else intl.when(cond, val)
-    return F.when(s.rlike(VIABLE_RE), F.when(plus | idd, intl).otherwise(domestic))
+    cleaned = F.regexp_replace(F.regexp_replace(F.regexp_extract(c, START_RE, 0), TRAILING_RE, ""),
+                               EXTENSION_RE, "")
+
+    def with_text(s: Column) -> Column:
+        letters = F.length(F.regexp_replace(s, "[^A-Za-z]", ""))
+        mapped = F.when(letters >= 3, F.translate(F.upper(s), KEYPAD_LETTERS, KEYPAD_DIGITS)).otherwise(s)
+        parts = F.struct(F.regexp_replace(mapped, "[^0-9]", "").alias("d"),
+                         s.startswith("+").alias("plus"), s.rlike(VIABLE_RE).alias("viable"))
+        return _let(parts, with_digits)
+
+    def with_digits(p: Column) -> Column:
+        digits, plus = p["d"], p["plus"]
+        idd = ~plus & digits.startswith(INTERNATIONAL_PREFIX)
+        intl_digits = F.when(idd, F.substring(digits, len(INTERNATIONAL_PREFIX) + 1, 64)).otherwise(digits)
+        n = F.length(digits)
+        national = (F.when((n == 11) & digits.startswith("1"), F.substring(digits, 2, 10))
+                    .when(n == 10, digits))
+        domestic = F.when(national.rlike(f"^{PLANS[0][1]}$"), F.concat(F.lit("+1"), national))
+        intl = None
+        for code, pattern in PLANS:
+            cond = intl_digits.rlike(f"^{code}{pattern}$")
+            val = F.concat(F.lit("+"), intl_digits)
+            intl = F.when(cond, val) if intl is None else intl.when(cond, val)
+        return F.when(p["viable"], F.when(plus | idd, intl).otherwise(domestic))
+
+    return F.when(c.isNotNull(), _let(cleaned, with_text))
 
 
 def to_e164_sql(col: str) -> str:
