@@ -18,15 +18,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def py_double(c) -> Column:
-    c = _c(c).cast("double")
-    s = c.cast("string")
-    sci = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
-    sign = F.regexp_extract(s, sci, 1)
-    lead = F.regexp_extract(s, sci, 2)
-    frac = F.regexp_extract(s, sci, 3)
-    frac = F.when(frac == "0", F.lit("")).otherwise(frac)
-    exp = F.regexp_extract(s, sci, 4).try_cast("int")
+SCI_RE = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+
+
+def _python_layout(t: Column) -> Column:
+    """Spark's ``d.dddE±n`` text (a lambda variable) in Python's layout."""
+    sign = F.regexp_extract(t, SCI_RE, 1)
+    lead = F.regexp_extract(t, SCI_RE, 2)
+    frac0 = F.regexp_extract(t, SCI_RE, 3)
+    frac = F.when(frac0 == "0", F.lit("")).otherwise(frac0)
+    exp = F.regexp_extract(t, SCI_RE, 4).try_cast("int")
     digits = F.concat(lead, frac)
     nd = F.length(digits)
     # fixed notation for -4 <= exp < 16
@@ -41,14 +42,21 @@ def py_double(c) -> Column:
     e_abs = F.abs(exp).cast("string")
     expo = F.concat(F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
                     F.when(F.length(e_abs) < 2, F.lpad(e_abs, 2, "0")).otherwise(e_abs))
-    py = F.concat(sign, F.when((exp >= -4) & (exp < 16), fixed).otherwise(F.concat(mant, expo)))
+    return F.concat(sign, F.when((exp >= -4) & (exp < 16), fixed).otherwise(F.concat(mant, expo)))
+
+
+def py_double(c) -> Column:
+    c = _c(c).cast("double")
+    s = c.cast("string")
+    # only scientific texts need re-assembly (|x| < 1e-3 or >= 1e7); the
+    # rewrite runs once per such value (one-element transform as a let)
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(c), F.lit("nan"))
         .when(c == float("inf"), F.lit("inf"))
         .when(c == float("-inf"), F.lit("-inf"))
-        .when(s.rlike(sci), py)
-        .otherwise(s)
+        .when((F.abs(c) >= F.lit(1e-3)) & (F.abs(c) < F.lit(1e7)) | (c == 0), s)
+        .otherwise(F.transform(F.array(s), _python_layout)[0])
     )
 
 
