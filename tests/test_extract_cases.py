@@ -222,3 +222,19 @@ def test_key_value_scores_and_artefacts(spark, tmp_dir):
     artefacts.write_artefacts(artefacts.artefact_rows(rows, "doc", "ocr", "content", error="error"), path, "r1")
     kept = spark.read.parquet(path)
     assert sorted(r.doc for r in kept.collect()) == ["2", "2"]            # K5: failures only
+
+
+def test_small_operators(spark, tmp_dir):
+    from labelqa.operators import layout
+    names = spark.createDataFrame([("image_001.png",), ("a.b.jpg",), ("noext",)], "n string")
+    assert [r[0] for r in names.select(extract.strip_extension(F.col("n"))).collect()] == [
+        "image_001", "a.b", "noext"]
+    docs = spark.createDataFrame([("d1",), ("d2",)], "doc string")
+    man = spark.createDataFrame([("d1", 1, 10, 10)], "doc string, seq long, width long, height long")
+    assert [r.doc for r in layout.empty_documents(docs, man).collect()] == ["d2"]   # D4
+    make_tree(tmp_dir, {"label_001": {"a.png": "png-bytes", "ocr.md": "# text\nline",
+                                      "expected_output.json": "{}"}})
+    imgs = cases.image_bytes(spark, tmp_dir).collect()
+    assert len(imgs) == 1 and bytes(imgs[0].content) == b"png-bytes"
+    md = cases.texts(spark, tmp_dir, "*.md").collect()
+    assert [r.text for r in md] == ["# text\nline"]
