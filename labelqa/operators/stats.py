@@ -31,8 +31,10 @@ def prepare(scored: DataFrame) -> DataFrame:
 def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> DataFrame:
     """A3-A5: per path, in first-appearance order (case order, then leaf order).
 
-    With ``file_order`` the order is the row order of a read report (``pos``
-    is then a global row position and ``first_case`` is that row's case).
+    With ``file_order`` the order is the row order of a read report:
+    ``(file, pos)`` (see ``sources.reports.report_scores``); ``first_case``
+    is the case of the first row. This path orders by a struct (sort
+    aggregate); it serves report files, the scored table uses the packed key.
     """
     p = prepare(scored)
     common = [
@@ -42,10 +44,10 @@ def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> Da
         F.count(F.lit(1)).alias("occurrences"),
     ]
     if file_order:
-        # pos is a global row position: min / min_by over longs stay hash aggregates
-        agg = p.groupBy("path").agg(*common, F.min_by("case_no", "pos").alias("first_case"),
-                                    F.min("pos").alias("first_pos"))
-        return agg.orderBy("first_pos")
+        agg = p.groupBy("path").agg(*common, F.min(F.struct("file", "pos", "case_no")).alias("_f"))
+        return (agg.select("*", F.col("_f.case_no").alias("first_case"),
+                           F.col("_f.pos").alias("first_pos"), F.col("_f.file").alias("_file"))
+                .orderBy("_file", "first_pos").drop("_f", "_file"))
     # First appearance = smallest (case_no, pos), packed into one long so the
     # aggregate keeps a fixed-width buffer (hash aggregate, no sort of all
     # rows). Bounds: 0 <= pos < 2^24 leaves per record, 0 <= case_no < 2^39.

@@ -18,12 +18,15 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 def report_scores(report: DataFrame) -> DataFrame:
     """Report rows as the scored-leaf table used by ``operators.stats``.
 
-    ``pos`` is the row's position in the file order (first appearance, A3);
-    a row is missing when its actual value is the sentinel (A1).
+    ``pos`` is the row's position within its file and ``file`` the file
+    name: (file, pos) is the file order used for first appearance (A3);
+    Spark packs file splits by size, so a row id alone would not follow
+    file names. A row is missing when its actual value is the sentinel (A1).
     """
     c = REPORT_COLUMNS
     return report.select(
         F.col(c[0]).alias("case_no"),
+        F.input_file_name().alias("file"),
         F.monotonically_increasing_id().alias("pos"),
         F.col(c[1]).alias("path"), F.col(c[2]).alias("pass_fail"),
         F.col(c[3]).alias("score"), F.col(c[4]).alias("speed"),

@@ -71,6 +71,12 @@ def test_csv_round_trip(spark, tmp_dir):
     again = stats.by_field(src.report_scores(back), file_order=True).collect()
     assert [r.path for r in again] == ["name", "npk", "note", "extra"]
     assert again[1].missing_rate == 0.5
+    # several part files: file-name order, whatever the split packing
+    multi = os.path.join(tmp_dir, "multi")
+    rows = sink.report_rows(scored(spark)).orderBy("Test Case", "_pos").drop("_pos")
+    rows.repartitionByRange(3, "Test Case").write.option("header", True).option("escape", '"').csv(multi)
+    again = stats.by_field(src.report_scores(src.read_report(spark, multi)), file_order=True).collect()
+    assert [r.path for r in again] == ["name", "npk", "note", "extra"]
 
 
 def reference_markdown(field_rows, case_rows, pass_rate, speed, total):
