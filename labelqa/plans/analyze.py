@@ -47,3 +47,23 @@ def analyze_texts(docs: DataFrame, make_extractor, doc: str = "doc",
     records = standardize.standardize(ok, "result", [doc])
     empty = docs.sparkSession.createDataFrame([], "path string, result string, error string")
     return Analysis(records, page_failures if page_failures is not None else empty, bad_docs)
+
+
+def records_from_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """P2 without external calls: text -> pattern fields (I4b) -> record JSON
+    (K6) -> standardised record and issues (I5, N*), all in the JVM."""
+    from ..sinks.artefacts import record_json
+
+    f = F.col("_f")
+    weight = F.when(f["weight_value"].isNotNull(),
+                    F.array(F.struct(f["weight_value"].alias("value"), f["weight_unit"].alias("unit"))))
+    rec = F.struct(
+        F.array(F.struct(f["website"].alias("website"), f["phone_number"].alias("phone_number")))
+        .alias("organizations"),
+        F.when(f["registration"].isNotNull(), F.array(F.struct(f["registration"].alias("identifier"))))
+        .alias("registration_number"),
+        weight.alias("weight"),
+        f["npk"].alias("npk"))
+    raw = docs.select(key, extract.pattern_fields(F.col(text)).alias("_f")).select(
+        key, record_json(rec).alias("raw"))
+    return standardize.standardize(raw, "raw", [key])

@@ -851,3 +851,35 @@ def hot_document_layout(spark, sf):
         (F.floor("l_quantity").cast("bigint") + 1).alias("height"))
     return layout.composite_layout(m).select("doc", "seq.*", "width", "height", "x", "y",
                                              "canvas_width", "canvas_height")
+
+
+# ---------------------------------------------------------------- P2 over the given texts
+
+def _document_records_sql() -> str:
+    base = _pattern_sql()
+    return f"""
+WITH pe AS ({base})
+SELECT src, id, TRUE AS accepted, CAST(0 AS INTEGER) AS n_issues, npk, website, phone_number,
+       registration, weight_value, weight_unit
+FROM pe"""
+
+
+@register("document_records", _document_records_sql())
+def document_records(spark, sf):
+    from . import analyze
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.lit("pages:"), F.col("page_id").cast("string")).alias("key"),
+        extract.html_text(F.col("html")).alias("t"))
+    docs = table(spark, sf, "documents").select(
+        F.concat(F.lit("documents:"), F.col("doc_id").cast("string")).alias("key"), F.col("text").alias("t"))
+    std = analyze.records_from_texts(pages.unionByName(docs), "key", "t")
+    r = F.col("record")
+    return std.select(
+        F.split_part("key", F.lit(":"), F.lit(1)).alias("src"),
+        F.split_part("key", F.lit(":"), F.lit(2)).cast("bigint").alias("id"),
+        (F.size("_issues") == 0).alias("accepted"), F.size("_issues").alias("n_issues"),
+        r["npk"].alias("npk"), r["organizations"][0]["website"].alias("website"),
+        r["organizations"][0]["phone_number"].alias("phone_number"),
+        F.try_element_at(r["registration_number"], F.lit(1))["identifier"].alias("registration"),
+        F.try_element_at(r["weight"], F.lit(1))["value"].alias("weight_value"),
+        F.try_element_at(r["weight"], F.lit(1))["unit"].alias("weight_unit"))
