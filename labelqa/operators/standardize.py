@@ -295,16 +295,23 @@ def _compiled():
     # one-row inline = Generate node: record and issues are computed once, and
     # a later filter on _issues cannot be pushed below it (no re-evaluation)
     final = F.inline(F.array(F.struct(F.struct(*fields).alias("__rec"), issues.alias("_issues"))))
-    return top_col, [[c.alias(n) for n, c in st.items()] for st in stages if st], final
+    final_issues = F.inline(F.array(F.struct(issues.alias("_issues"))))
+    return top_col, [[c.alias(n) for n, c in st.items()] for st in stages if st], final, final_issues
 
 
-def standardize(df: DataFrame, raw: str, keep: list[str]) -> DataFrame:
-    """``keep + record + _issues`` from the JSON text column ``raw``."""
-    top_col, stages, final = _compiled()
+def standardize(df: DataFrame, raw: str, keep: list[str], with_record: bool = True) -> DataFrame:
+    """``keep + record + _issues`` from the JSON text column ``raw``.
+
+    ``with_record=False`` returns ``keep + _issues`` only and skips building
+    the record values (rejection reports and rule counts need only issues).
+    """
+    top_col, stages, final, final_issues = _compiled()
     d = df.select(*keep, F.try_parse_json(F.col(raw)).alias("__v"))
     d = d.select("*", top_col)
     for cols in stages:
         d = d.select("*", *cols)
+    if not with_record:
+        return d.select(*keep, final_issues)
     out = d.select(*keep, final)
     return out.select(*keep, F.when(F.size("_issues") == 0, F.col("__rec")).alias("record"),
                       "_issues")

@@ -719,17 +719,17 @@ issues AS (
 )"""
 
 
-def _std_orders(spark, sf):
+def _std_orders(spark, sf, with_record=True):
     raw = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"),
                                             F.expr(RAW_RECORD_SQL).alias("doc"))
-    return standardize.standardize(raw, "doc", ["id"])
+    return standardize.standardize(raw, "doc", ["id"], with_record=with_record)
 
 
 @register("record_rejects", f"""WITH {_ISSUES_SQL}
 SELECT id, count(*) AS n_issues, string_agg(loc || ':' || kind, ';' ORDER BY loc || ':' || kind) AS issues
 FROM issues GROUP BY id""")
 def record_rejects(spark, sf):
-    rej = standardize.rejects(_std_orders(spark, sf))
+    rej = standardize.rejects(_std_orders(spark, sf, with_record=False))
     text = F.array_join(F.array_sort(F.transform(
         "_issues", lambda x: F.concat(x["loc"], F.lit(":"), x["kind"]))), ";")
     return rej.select("id", F.size("_issues").cast("bigint").alias("n_issues"), text.alias("issues"))
@@ -739,7 +739,7 @@ def record_rejects(spark, sf):
 SELECT regexp_replace(loc, '\\[[0-9]+\\]', '[]', 'g') AS loc, kind, count(*) AS n_issues
 FROM issues GROUP BY ALL""")
 def rule_counts(spark, sf):
-    return standardize.rule_counts(_std_orders(spark, sf))
+    return standardize.rule_counts(_std_orders(spark, sf, with_record=False))
 
 
 def _num_sql(path: str) -> str:

@@ -108,3 +108,13 @@ def test_specification(spark):
     assert (got[1].humidity, got[1].ph, got[1].solubility) == (30.0, 6.5, 10.0)
     assert (got[2].humidity, got[2].ph, got[2].solubility) == (None, None, None)
     assert sorted(x.loc for x in got[3]._issues) == ["ph", "solubility"]
+
+
+def test_issues_only_mode_matches(spark):
+    docs = [{"weight": [{"value": 1}]}, {"npk": "1-2-3"}, {"cautions_en": [None]}, "[1]"]
+    df = spark.createDataFrame([(i, d if isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)],
+                               "id long, raw string")
+    full = {r.id: r._issues for r in S.standardize(df, "raw", ["id"]).collect()}
+    only = S.standardize(df, "raw", ["id"], with_record=False)
+    assert only.columns == ["id", "_issues"]
+    assert {r.id: r._issues for r in only.collect()} == full
