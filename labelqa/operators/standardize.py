@@ -292,11 +292,11 @@ def _compiled():
                                                     F.lit("model_type").alias("kind"))))
               .otherwise(cat(*[results[n][1] for n, *_ in FIELDS]).to_array()))
     top_col = F.try_variant_get(F.col("__v"), "$", TOP_V).alias("__top")
-    # one-row inline = Generate node: record and issues are computed once, and
-    # a later filter on _issues cannot be pushed below it (no re-evaluation)
-    final = F.inline(F.array(F.struct(F.struct(*fields).alias("__rec"), issues.alias("_issues"))))
+    # one-row inline = Generate node: issues are computed once, and a later
+    # filter on _issues cannot be pushed below it (no re-evaluation)
     final_issues = F.inline(F.array(F.struct(issues.alias("_issues"))))
-    return top_col, [[c.alias(n) for n, c in st.items()] for st in stages if st], final, final_issues
+    return top_col, [[c.alias(n) for n, c in st.items()] for st in stages if st], F.struct(*fields), \
+        final_issues
 
 
 def standardize(df: DataFrame, raw: str, keep: list[str], with_record: bool = True) -> DataFrame:
@@ -305,16 +305,18 @@ def standardize(df: DataFrame, raw: str, keep: list[str], with_record: bool = Tr
     ``with_record=False`` returns ``keep + _issues`` only and skips building
     the record values (rejection reports and rule counts need only issues).
     """
-    top_col, stages, final, final_issues = _compiled()
+    top_col, stages, record, final_issues = _compiled()
     d = df.select(*keep, F.try_parse_json(F.col(raw)).alias("__v"))
     d = d.select("*", top_col)
     for cols in stages:
         d = d.select("*", *cols)
     if not with_record:
         return d.select(*keep, final_issues)
-    out = d.select(*keep, final)
-    return out.select(*keep, F.when(F.size("_issues") == 0, F.col("__rec")).alias("record"),
-                      "_issues")
+    # issues come out of a one-row Generate (a filter on them stays above it);
+    # the record is built in the projection above, so a filter on _issues
+    # runs before any record is assembled and unused fields can be pruned
+    g = d.select("*", final_issues)
+    return g.select(*keep, F.when(F.size("_issues") == 0, record).alias("record"), "_issues")
 
 
 def rejects(std: DataFrame) -> DataFrame:
