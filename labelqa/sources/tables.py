@@ -8,25 +8,26 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_PARTS: dict[tuple[str, str], int] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Read one table; small single-file tables are spread over all cores.
+    """Read one (read-only) driver table; small single-file tables are spread
+    over all cores.
 
-    The scan's partition count is looked up once per application and path
-    (planning a scan just to count its partitions is not free).
+    The DataFrame is built once per application and path: the given tables
+    never change during a run, and re-resolving a parquet source (footers,
+    schema, partition count) for every query is pure driver overhead.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if not spread_rows:
-        return df
     try:
-        sc = spark.sparkContext
-        key = (sc.applicationId, path)
-        if key not in _PARTS:
-            _PARTS[key] = df.rdd.getNumPartitions()
-        target = sc.defaultParallelism
-    except Exception:  # no RDD access (remote session): leave as is
-        return df
-    return df.repartition(target) if _PARTS[key] < target else df
+        key = (spark.sparkContext.applicationId, path, spread_rows)
+    except Exception:  # no SparkContext access (remote session)
+        return spark.read.parquet(path)
+    if key not in _TABLES:
+        df = spark.read.parquet(path)
+        if spread_rows:
+            from ..session import spread
+            df = spread(df)
+        _TABLES[key] = df
+    return _TABLES[key]
