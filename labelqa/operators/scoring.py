@@ -49,11 +49,15 @@ def score_records(df: DataFrame, expected: str, actual: str, keep: list[str],
         e["value"].alias("expected"), e["kind"].alias("expected_kind"),
         F.try_element_at(amap, e["path"]).alias("_a")))
     long = df.select(*keep, F.inline(pairs))
-    long = long.select(
+    hit = F.col("_a").isNotNull()
+    e_txt = compare_text(F.col("expected"), F.col("expected_kind"))
+    a_txt = compare_text(F.col("_a.v"), F.col("_a.k"))
+    score = F.when(hit, similarity(e_txt, a_txt)).otherwise(F.lit(0.0))
+    # one projection: actual, hit, score and label together
+    return long.select(
         *keep, "pos", "path", "expected", "expected_kind",
-        F.col("_a.v").alias("actual"), F.col("_a.k").alias("actual_kind"),
-        F.col("_a").isNotNull().alias("hit"))
-    return _finish(long, threshold)
+        F.col("_a.v").alias("actual"), F.col("_a.k").alias("actual_kind"), hit.alias("hit"),
+        score.alias("score"), pass_fail(score, threshold).alias("pass_fail"))
 
 
 def score_leaves(expected: DataFrame, actual: DataFrame, keys: list[str],
