@@ -127,3 +127,17 @@ def texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     t = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
          .option("pathGlobFilter", glob).load(root))
     return t.select("path", F.decode("content", "UTF-8").alias("text"))
+
+
+def compact_texts(spark: SparkSession, root: str, out: str, glob: str = GOLDEN_NAME,
+                  files_per_partition: int = 10000) -> DataFrame:
+    """Small-files fix: whole-text files below ``root`` written
+    once as parquet ``(dir, name, text)``; later runs read the table instead
+    of listing and opening every small file again."""
+    t = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+         .option("pathGlobFilter", glob).load(root))
+    rows = t.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("dir"),
+                    F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+                    F.decode("content", "UTF-8").alias("text"))
+    rows.write.mode("overwrite").option("maxRecordsPerFile", files_per_partition).parquet(out)
+    return spark.read.parquet(out)

@@ -238,3 +238,15 @@ def test_small_operators(spark, tmp_dir):
     assert len(imgs) == 1 and bytes(imgs[0].content) == b"png-bytes"
     md = cases.texts(spark, tmp_dir, "*.md").collect()
     assert [r.text for r in md] == ["# text\nline"]
+
+
+def test_compact_texts(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "labels")
+    make_tree(root, {f"label_{i:03d}": {"a.png": "x", "expected_output.json": json.dumps({"i": i})}
+                     for i in range(1, 6)})
+    out = os.path.join(tmp_dir, "compact")
+    t = cases.compact_texts(spark, root, out)
+    got = sorted(json.loads(r.text)["i"] for r in t.collect())
+    assert got == [1, 2, 3, 4, 5] and {r.name for r in t.collect()} == {"expected_output.json"}
+    same = sorted(json.loads(r.json)["i"] for r in cases.golden_texts(spark, root).collect())
+    assert same == got
