@@ -250,3 +250,43 @@ def test_compact_texts(spark, tmp_dir):
     assert got == [1, 2, 3, 4, 5] and {r.name for r in t.collect()} == {"expected_output.json"}
     same = sorted(json.loads(r.json)["i"] for r in cases.golden_texts(spark, root).collect())
     assert same == got
+
+
+def test_incremental_stages(spark, tmp_dir):
+    from labelqa.plans import stages
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, body string")
+    calls = os.path.join(tmp_dir, "calls")
+    os.makedirs(calls)
+
+    def engine(tag, fail_on):
+        def make():
+            def run(rec):
+                open(os.path.join(calls, f"{tag}-{rec['doc_id']}-{os.getpid()}-{id(rec)}"), "w").close()
+                if rec["doc_id"] in fail_on:
+                    raise RuntimeError("engine failed")
+                return f"{tag}:{rec['body']}"
+            return run
+        return make
+
+    text_store, rec_store = os.path.join(tmp_dir, "texts"), os.path.join(tmp_dir, "records")
+    failed = stages.text_stage(spark, docs, "doc_id", ["body"],
+                               {"e1": engine("e1", {3}), "e2": engine("e2", set())}, text_store)
+    assert [r.doc_id for r in failed.collect()] == [3]
+    assert spark.read.parquet(text_store).count() == 11
+    assert len(os.listdir(calls)) == 12          # each (doc, engine) called exactly once
+    # second run: only the failed pair is retried (and now succeeds)
+    again = stages.text_stage(spark, docs, "doc_id", ["body"],
+                              {"e1": engine("e1", set()), "e2": engine("e2", set())}, text_store)
+    assert again.count() == 0 and spark.read.parquet(text_store).count() == 12
+
+    def model():
+        def run(rec):
+            return {"npk": "1-2-3", "source": rec["text"]}
+        return run
+    assert stages.record_stage(spark, text_store, "doc_id", {"m1": model}, rec_store).count() == 0
+    recs = spark.read.parquet(rec_store)
+    assert recs.count() == 12
+    assert {r.llm_key for r in recs.filter("doc_id = 2 AND engine = 'e2'").collect()} == {"llm_m1_ocr_e2_2"}
+    # nothing left to do
+    stages.record_stage(spark, text_store, "doc_id", {"m1": model}, rec_store)
+    assert spark.read.parquet(rec_store).count() == 12
