@@ -189,3 +189,15 @@ def test_bounded_label_equals_full(spark, pairs, threshold):
     got = df.select(pass_fail(similarity("a", "b"), threshold).alias("x"),
                     pass_fail_bounded("a", "b", threshold).alias("y")).collect()
     assert all(r.x == r.y for r in got)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="ab é", max_size=8), st.text(alphabet="ab é", max_size=8)),
+                min_size=1, max_size=30))
+def test_similarity_properties(spark, pairs):
+    """Symmetric, within 0..100, and 100 exactly when the texts are equal."""
+    from labelqa.functions.similarity import similarity
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for r in df.select("a", "b", similarity("a", "b").alias("s"), similarity("b", "a").alias("t")).collect():
+        assert r.s == r.t and 0.0 <= r.s <= 100.0
+        assert (r.s == 100.0) == (r.a == r.b)

@@ -78,3 +78,29 @@ def test_standardize_matches_model(spark, docs):
         else:
             rec = as_plain(r.record)
             assert {k: rec[k] for k in FIELDS} == want_rec, d
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(record, min_size=5, max_size=20))
+def test_standardize_is_idempotent(spark, docs):
+    """A second pass over accepted records' JSON changes nothing.
+
+    Only T18 applies: an absent cautions list is null, written as JSON null,
+    and an explicit null becomes [] on the second pass.
+    """
+    from pyspark.sql import functions as F
+    from labelqa.sinks.artefacts import record_json
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id long, raw string")
+    first = S.accepted(S.standardize(df, "raw", ["id"]))
+    again = S.standardize(first.select("id", record_json(F.col("record")).alias("raw")), "raw", ["id"])
+    a = {r.id: as_plain(r.record) for r in first.collect()}
+    b = {r.id: (as_plain(r.record), r._issues) for r in again.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        first_rec, (second_rec, issues) = a[k], b[k]
+        assert issues == []
+        for f in ("cautions_en", "cautions_fr"):
+            if first_rec[f] is None:
+                assert second_rec[f] == []
+                first_rec[f] = second_rec[f] = None
+        assert second_rec == first_rec
