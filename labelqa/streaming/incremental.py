@@ -53,3 +53,46 @@ def score_stream(spark: SparkSession, source: str, expected: DataFrame, sink: st
          .option("checkpointLocation", checkpoint).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+# ------------------------------------------------------------ incremental stats
+
+def _partials(scored: DataFrame) -> DataFrame:
+    from ..operators.stats import POS_BITS, prepare
+    p = prepare(scored)
+    key = F.col("case_no").cast("long") * F.lit(1 << POS_BITS) + F.col("pos").cast("long")
+    return p.groupBy("path").agg(
+        F.sum("_score2").alias("sum_score"), F.sum("_pass").alias("sum_pass"),
+        F.sum("_missing").alias("sum_missing"), F.count(F.lit(1)).alias("n"),
+        F.min(key).alias("first_key"))
+
+
+def stats_partials_stream(scored_stream: DataFrame, sink: str, checkpoint: str,
+                          available_now: bool = True):
+    """Per micro-batch, append per-path partial sums of scored leaves to ``sink``.
+
+    Partials are append-only and tiny (one row per path and batch); exact
+    statistics at any time come from ``field_stats_from_partials``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _partials(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+
+    w = scored_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
+def field_stats_from_partials(spark: SparkSession, sink: str, digits: int = 6) -> DataFrame:
+    """A4/A5 from accumulated partials: same numbers as ``stats.by_field``."""
+    from ..operators.stats import POS_BITS
+    p = spark.read.parquet(sink).groupBy("path").agg(
+        F.sum("sum_score").alias("s"), F.sum("sum_pass").alias("sp"),
+        F.sum("sum_missing").alias("sm"), F.sum("n").alias("n"), F.min("first_key").alias("k"))
+    return p.select(
+        "path", F.round(F.col("s") / F.col("n"), digits).alias("accuracy_mean"),
+        F.round(F.col("sp") / F.col("n"), digits).alias("pass_rate"),
+        F.round(F.col("sm") / F.col("n"), digits).alias("missing_rate"),
+        F.col("n").alias("occurrences"),
+        F.shiftright("k", POS_BITS).alias("first_case"),
+        F.col("k").bitwiseAND((1 << POS_BITS) - 1).cast("int").alias("first_pos"),
+    ).orderBy("first_case", "first_pos")

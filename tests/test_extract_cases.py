@@ -290,3 +290,22 @@ def test_incremental_stages(spark, tmp_dir):
     # nothing left to do
     stages.record_stage(spark, text_store, "doc_id", {"m1": model}, rec_store)
     assert spark.read.parquet(rec_store).count() == 12
+
+
+def test_stats_from_stream_partials(spark, tmp_dir):
+    from labelqa.operators import stats
+    rows = [(c, p, f"f{p}", float((c * 7 + p * 13) % 101), (c + p) % 3 != 0) for c in range(1, 9) for p in range(4)]
+    src = os.path.join(tmp_dir, "scored")
+    os.makedirs(src)
+    for part in range(3):   # three files = up to three micro-batches
+        with open(os.path.join(src, f"p{part}.json"), "w") as fh:
+            for c, p, path, score, hit in rows[part::3]:
+                fh.write(json.dumps({"case_no": c, "pos": p, "path": path, "score": score, "hit": hit,
+                                     "pass_fail": "Pass" if score >= 80 else "Fail"}) + "\n")
+    schema = "case_no long, pos int, path string, score double, hit boolean, pass_fail string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
+    sink, ckpt = os.path.join(tmp_dir, "partials"), os.path.join(tmp_dir, "ck3")
+    incremental.stats_partials_stream(stream, sink, ckpt).awaitTermination(120)
+    got = [tuple(r) for r in incremental.field_stats_from_partials(spark, sink).collect()]
+    want = [tuple(r) for r in stats.by_field(spark.read.schema(schema).json(src)).collect()]
+    assert got == want and len(got) == 4
