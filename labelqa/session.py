@@ -54,11 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system and is used as is
-    (it is read, never changed). Only when it is unset (local runs, tests) a
-    scratch folder is created once per application.
+    (it is read, never changed); a cluster run without it is an error. Only
+    local runs (tests, benchmarks) fall back to a scratch folder, created
+    once per application.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not path and not str(sc.master).startswith("local"):
+        # a machine-local folder is not shared between cluster nodes
+        raise ValueError("set spark.checkpoint.dir to a shared folder for cluster runs")
     if not path:
         app = sc.applicationId
         if app not in _SCRATCH:
