@@ -15,8 +15,12 @@ the sentinel text (T9); the sentinel is written only by the report sink.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.similarity import PASS_THRESHOLD, pass_fail, similarity
 
@@ -74,13 +78,25 @@ def score_leaves(expected: DataFrame, actual: DataFrame, keys: list[str],
 # ------------------------------------------------------------ record checks
 
 def key_value_scores(df: DataFrame, expected_json: str, actual_json: str,
-                     keep: list[str]) -> DataFrame:
+                     keep: list[str], render: str = "json") -> DataFrame:
     """Per top-level expected key, similarity of the whole rendered value.
 
-    Values are rendered as JSON text (strings unquoted), not Python ``str``;
-    an absent produced key scores against the empty string. The key list of
-    one record is exploded in place (bounded by the record), no shuffle.
+    ``render="json"``: values as JSON text (strings unquoted), all in the JVM.
+    ``render="python"``: values as Python ``str()`` of the parsed value
+    (``{'a': 1}``, ``['x']``, ``None``, ``True``), exactly what the
+    reference compares; a small pandas UDF renders each document's top-level
+    values, the similarity stays in the JVM. An absent produced key scores
+    against the empty string. The key list of one record is exploded in
+    place (bounded by the record), no shuffle.
     """
+    if render == "python":
+        e = _python_values(F.col(expected_json))
+        a = _python_values(F.col(actual_json))
+        rec = df.select(*keep, e.alias("_e"), a.alias("_a"))
+        x = rec.select(*keep, "_a", F.explode("_e").alias("key", "expected"))
+        act = F.try_element_at(F.col("_a"), F.col("key"))
+        return x.select(*keep, "key", "expected", act.alias("actual"),
+                        similarity(F.col("expected"), act).alias("score"))
     keys = df.select(*keep, expected_json, actual_json,
                      F.explode(F.json_object_keys(expected_json)).alias("key"))
     path = F.concat(F.lit("$['"), F.col("key"), F.lit("']"))
@@ -90,6 +106,28 @@ def key_value_scores(df: DataFrame, expected_json: str, actual_json: str,
                        similarity(e, a).alias("score"))
 
 
+def _render_values(text):
+    """Top-level ``(key, str(value))`` pairs of a JSON object (Python ``str``)."""
+    if text is None:
+        return None
+    try:
+        doc = json.loads(text)
+    except ValueError:
+        return None
+    if not isinstance(doc, dict):
+        return None
+    return {k: str(v) for k, v in doc.items()}
+
+
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def _python_values_udf(s: pd.Series) -> pd.Series:
+    return s.map(_render_values)
+
+
+def _python_values(col: Column) -> Column:
+    return _python_values_udf(col)
+
+
 def missing_keys(expected_keys: Column, actual_keys: Column) -> Column:
     """Expected top-level keys absent from the produced record."""
     return F.array_except(expected_keys, F.coalesce(actual_keys, F.array().cast("array<string>")))

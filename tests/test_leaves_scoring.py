@@ -201,3 +201,16 @@ def test_similarity_properties(spark, pairs):
     for r in df.select("a", "b", similarity("a", "b").alias("s"), similarity("b", "a").alias("t")).collect():
         assert r.s == r.t and 0.0 <= r.s <= 100.0
         assert (r.s == 100.0) == (r.a == r.b)
+
+
+def test_key_value_scores_python_rendering(spark):
+    import json as _json
+    e = {"a": {"x": 1, "y": [1.0, None]}, "b": ["p", "q"], "c": None, "d": True, "e": 10}
+    a = {"a": {"x": 1, "y": [1, None]}, "b": ["p"], "d": True, "e": 10.0}
+    df = spark.createDataFrame([(1, _json.dumps(e), _json.dumps(a))], "id long, e string, a string")
+    got = {r.key: (r.expected, r.actual, r.score)
+           for r in scoring.key_value_scores(df, "e", "a", ["id"], render="python").collect()}
+    for k, v in e.items():
+        want_e, want_a = str(v), (str(a[k]) if k in a else None)
+        assert got[k][:2] == (want_e, want_a)
+        assert got[k][2] == py_similarity(want_e, want_a)
