@@ -138,6 +138,12 @@ def contains_value(arr: Column, value, unit) -> Column:
     return F.exists(arr, lambda e: e["value"].eqNullSafe(value) & e["unit"].eqNullSafe(unit))
 
 
+def contains_rendered(arr: Column, text: str) -> Column:
+    """Does a text occur in the rendered list (nulls kept, like a
+    record's string form)? Rendering is JSON text."""
+    return F.contains(F.to_json(arr, {"ignoreNullFields": "false"}), F.lit(text))
+
+
 def word_pattern(word: str) -> str:
     """``\\bword\\b`` with Unicode word characters, same in Java, RE2 and Python."""
     import re

@@ -214,3 +214,14 @@ def test_key_value_scores_python_rendering(spark):
         want_e, want_a = str(v), (str(a[k]) if k in a else None)
         assert got[k][:2] == (want_e, want_a)
         assert got[k][2] == py_similarity(want_e, want_a)
+
+
+def test_membership_helpers(spark):
+    df = spark.createDataFrame(
+        [([(1.5, "kg"), (None, "lb")], [("X", "+18003279462")])],
+        "w array<struct<value:double,unit:string>>, o array<struct<name:string,phone_number:string>>")
+    r = df.select(scoring.contains_value(F.col("w"), F.lit(None).cast("double"), F.lit("lb")).alias("a"),
+                  scoring.contains_value(F.col("w"), F.lit(1.5), F.lit("lb")).alias("b"),
+                  scoring.contains_rendered(F.col("o"), "+18003279462").alias("c"),
+                  scoring.contains_rendered(F.col("o"), "www.x.com").alias("d")).collect()[0]
+    assert (r.a, r.b, r.c, r.d) == (True, False, True, False)
