@@ -9,10 +9,17 @@ from ..functions.similarity import MISSING
 from ..schema import REPORT, REPORT_COLUMNS
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Explicit schema, quoted multi-line fields; malformed input fails the job."""
-    return (spark.read.schema(REPORT).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "FAILFAST").csv(path))
+def read_report(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Explicit schema, quoted multi-line fields; malformed input fails the job.
+
+    A missing path fails at read time; with ``strict`` a report without
+    rows is an error too (one-row probe, nothing collected).
+    """
+    df = (spark.read.schema(REPORT).option("header", True).option("multiLine", True)
+          .option("escape", '"').option("mode", "FAILFAST").csv(path))
+    if strict and df.limit(1).count() == 0:
+        raise ValueError(f"CSV file is empty at {path}")
+    return df
 
 
 def report_scores(report: DataFrame) -> DataFrame:

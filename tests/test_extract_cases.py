@@ -309,3 +309,16 @@ def test_stats_from_stream_partials(spark, tmp_dir):
     got = [tuple(r) for r in incremental.field_stats_from_partials(spark, sink).collect()]
     want = [tuple(r) for r in stats.by_field(spark.read.schema(schema).json(src)).collect()]
     assert got == want and len(got) == 4
+
+
+def test_strict_modes(spark, tmp_dir):
+    from labelqa.sources import reports
+    docs = spark.createDataFrame([(1,)], "doc_id long")
+    with pytest.raises(ValueError, match="not supported"):
+        extract.plan_work(spark, docs, "doc_id", ["e"], ["gpt-4o", "other"], strict=True)
+    empty = os.path.join(tmp_dir, "empty.csv")
+    with open(empty, "w") as fh:
+        fh.write("Test Case,Field Name,Pass/Fail,Accuracy Score,Pipeline Speed (seconds),Expected Value,Actual Value\n")
+    with pytest.raises(ValueError, match="empty"):
+        reports.read_report(spark, empty, strict=True)
+    assert reports.read_report(spark, empty).count() == 0
