@@ -322,3 +322,28 @@ def test_strict_modes(spark, tmp_dir):
     with pytest.raises(ValueError, match="empty"):
         reports.read_report(spark, empty, strict=True)
     assert reports.read_report(spark, empty).count() == 0
+
+
+def test_record_stage_retries_failures(spark, tmp_dir):
+    from labelqa.plans import stages
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(4)], "doc_id long, body string")
+    text_store, rec_store = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "r")
+
+    def ocr():
+        return lambda rec: rec["body"]
+    stages.text_stage(spark, docs, "doc_id", ["body"], {"e": ocr}, text_store)
+
+    def flaky(bad):
+        def make():
+            def run(rec):
+                if rec["text"] in bad:
+                    raise ValueError("model failed")
+                return {"text": rec["text"]}
+            return run
+        return make
+    failed = stages.record_stage(spark, text_store, "doc_id", {"m": flaky({"t1", "t2"})}, rec_store)
+    assert sorted(r.doc_id for r in failed.collect()) == [1, 2]
+    assert spark.read.parquet(rec_store).count() == 2
+    failed = stages.record_stage(spark, text_store, "doc_id", {"m": flaky(set())}, rec_store)
+    assert failed.count() == 0
+    assert sorted(r.doc_id for r in spark.read.parquet(rec_store).collect()) == [0, 1, 2, 3]
