@@ -42,3 +42,11 @@ def test_layout_windows_are_chunked(spark):
     assert "_chunk" in p
     win = [s for s in p.splitlines() if s.strip().startswith("+- Window") or s.strip().startswith("Window")]
     assert win and all("_chunk" in s or "doc" in s for s in win)
+
+
+def test_explicit_broadcast_only_for_the_fixed_registry(spark):
+    """Hints appear only where the broadcast side is a fixed two-row table."""
+    for name, q in entry.queries().items():
+        logical = q(spark, SF)._jdf.queryExecution().logical().toString()
+        hinted = "BROADCAST" in logical.upper() and "HINT" in logical.upper()
+        assert hinted == (name == "work_remaining"), name
