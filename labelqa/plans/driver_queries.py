@@ -883,3 +883,24 @@ def document_records(spark, sf):
         F.try_element_at(r["registration_number"], F.lit(1))["identifier"].alias("registration"),
         F.try_element_at(r["weight"], F.lit(1))["value"].alias("weight_value"),
         F.try_element_at(r["weight"], F.lit(1))["unit"].alias("weight_unit"))
+
+
+# ---------------------------------------------------------------- streaming form of A4
+
+@register("field_stats_streamed", ORACLE["field_stats"])
+def field_stats_streamed(spark, sf):
+    """Field scores of the given tables arrive as files; statistics are kept
+    as per-micro-batch partials (Structured Streaming) and combined on read."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming import incremental
+    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-stats-{uuid.uuid4().hex}")
+    scores = field_scores_df(spark, sf)
+    scores.select("case_no", "pos", "path", "score", "hit", "pass_fail").write.parquet(f"{base}/in")
+    stream = (spark.readStream.schema(spark.read.parquet(f"{base}/in").schema)
+              .option("maxFilesPerTrigger", 4).parquet(f"{base}/in"))
+    q = incremental.stats_partials_stream(stream, f"{base}/partials", f"{base}/ckpt")
+    q.awaitTermination()
+    return incremental.field_stats_from_partials(spark, f"{base}/partials")
