@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, simhash_dedup, token_output
+from . import decontaminate, mixing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_output, warc
 from .common import documents, ready, text_of
 
 
@@ -15,11 +15,27 @@ def op1_quality_rules(spark, sf_dir):
         "doc_id", *(f"r.{f}" for f in quality_rules.FIELDS), "r.base_failed", "r.kept")
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(documents(ready(spark), sf_dir))
+
+
+def op3_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(documents(ready(spark), sf_dir))
+    many = lambda k: F.size(F.filter("fixed", lambda s: s["kind_no"] == k)).cast("long")
+    return found.select("doc_id", many(0).alias("n_assign"), many(1).alias("n_access"), many(2).alias("n_hex"),
+                        F.sha2(secret_scan.printed(F.col("fixed")), 256).alias("base_sha256"), secret_scan.printed(F.col("spans")).alias("spans"))
+
+
 def op4_simhash_dedup(spark, sf_dir):
     rows = simhash_dedup.near_duplicates(documents(ready(spark), sf_dir))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark, sf_dir):
+    read = warc.round_trip(documents(ready(spark), sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_training_order(spark, sf_dir):
     return token_output.training_order(documents(ready(spark), sf_dir))
 
@@ -33,7 +49,7 @@ def op10_decontaminate(spark, sf_dir):
     return found.withColumn("contaminated", F.lit(True))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_simhash_dedup, op6_training_order, op7_mixing, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_secret_scan, op4_simhash_dedup, op5_warc, op6_training_order, op7_mixing, op10_decontaminate)}
 
 ORACLE = {
     "op7_mixing": mixing.mixture_sql(),
