@@ -69,14 +69,14 @@ def _base_sql() -> str:
     text = "coalesce(text,'')"
     only = lambda chars: f"len(regexp_replace(t,'[^{chars}]','','g'))"
     return f"""with d as (select row_number() over () as r, doc_id, {text} as t from documents),
-w as (select r, regexp_extract_all(t,'[^\x20\x09-\x0D]+') as ws from d),
+w as (select r, regexp_extract_all(t,'[^\\x20\\x09-\\x0D]+') as ws from d),
 u as (select r, unnest(ws) as word, unnest(range(len(ws))) as i from w),
 g as (select r, i, word, word = lag(word) over o as again, case when lead(word,2) over o is not null then {{'a':word,'b':lead(word) over o,'c':lead(word,2) over o}} end as tri from u window o as (partition by r order by i)),
 n as (select *, tri is not null and count(*) over (partition by r, tri) > 1 as twice from g),
 c as (select r, again, twice or coalesce(lag(twice) over o,false) or coalesce(lag(twice,2) over o,false) as inside from n window o as (partition by r order by i)),
 k as (select r, count(*) filter (where inside) as n_repeat_words, count(*) filter (where again) as n_adjacent from c group by r),
-l as (select r, list_filter(string_split(t,chr(10)), x -> regexp_matches(x,'[^\x20\x09-\x0D]')) as ls from d),
-f as (select doc_id, len(ws)::bigint as n_words, len(regexp_replace(t,'[\x20\x09-\x0D]','','g'))::bigint as word_chars, {only('#*$%&|<>')}::bigint as n_symbols,
+l as (select r, list_filter(string_split(t,chr(10)), lambda x: regexp_matches(x,'[^\\x20\\x09-\\x0D]')) as ls from d),
+f as (select doc_id, len(ws)::bigint as n_words, len(regexp_replace(t,'[\\x20\\x09-\\x0D]','','g'))::bigint as word_chars, {only('#*$%&|<>')}::bigint as n_symbols,
  (len(ls)-len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n_repeat_words,0)::bigint as n_repeat_words, coalesce(n_adjacent,0) as n_adjacent, len(ls) as n_lines,
  {only('!')} as n_exclaims, {only('A-Z')} as n_upper, {only('a-z')} as n_lower from d join w using (r) join l using (r) left join k using (r)),
 b as (select *, n_words < 50 or 100*n_repeat_words > 50*n_words as base_failed from f)
