@@ -122,8 +122,9 @@ def read_records(index: DataFrame, path: str, gap: int = 64 << 10, most: int = 4
     files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, archive int").format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     files = files.select("archive", F.col("path").alias("file"))
     wanted = index.select("archive", "offset", "length").join(files, "archive")
-    # long archives are read by several tasks
-    wanted = wanted.withColumn("part", F.floor(F.col("offset") / (8 * most))).repartition("archive", "part").sortWithinPartitions("archive", "offset").drop("part")
+    # long archives are read by several tasks; index rows are small, their reads are not
+    parts = index.agg((F.coalesce(F.sum("length"), F.lit(0)) / (4 * most)).cast("int").alias("n")).first()["n"] + 1
+    wanted = wanted.withColumn("part", F.floor(F.col("offset") / (4 * most))).repartition(parts, "archive", "part").sortWithinPartitions("archive", "offset").drop("part")
     names = [f.split()[0] for f in RECORD.split(", ")]
 
     def number(urn):
