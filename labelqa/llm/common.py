@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,36 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def packed(raw):
+    """A binary column as zstd, for shuffles that carry whole texts."""
+    @F.arrow_udf("binary")
+    def pack(texts: pa.Array) -> pa.Array:
+        codec = pa.Codec("zstd", compression_level=1)
+        return pa.array([codec.compress(t or b"", asbytes=True) for t in texts.to_pylist()], pa.binary())
+
+    return pack(raw)
+
+
+def unpack(data: bytes, size: int) -> bytes:
+    return pa.Codec("zstd").decompress(data, size, asbytes=True)
+
+
+def unpacked(data, size):
+    """The text of a packed column; null stays null."""
+    @F.arrow_udf("string")
+    def back(parts: pa.Array, sizes: pa.Array) -> pa.Array:
+        return pa.array([None if d is None else unpack(d, n).decode() for d, n in zip(parts.to_pylist(), sizes.to_pylist(), strict=True)], pa.string())
+
+    return back(data, size)
+
+
+def part_files(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """``path, length`` and the integer of ``key=<n>/`` of the files that a
+    partitioned write left; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return files.select("path", "length", F.regexp_extract("path", f"/{key}=([0-9]+)/", 1).cast("int").alias(key))
+
+
 def open_uri(uri: str):
     """A random-access file by its URI, in any store that Arrow can open.
 
@@ -57,4 +88,4 @@ def open_uri(uri: str):
     return where.open_input_file(path)
 
 
-__all__ = ["WORD_BREAKS", "documents", "durable", "open_uri", "ready", "shared_path", "store", "text_of"]
+__all__ = ["WORD_BREAKS", "documents", "durable", "open_uri", "packed", "part_files", "ready", "shared_path", "store", "text_of", "unpack", "unpacked"]

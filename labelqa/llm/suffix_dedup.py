@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import packed, store, unpack
 
 LEAST, GRAM, GROUP = 200, 40, 4096
 CHUNK = 1 << 19
@@ -252,8 +252,8 @@ def _fetch(batches):
     """(ident, size, packed, marks) -> the bytes of the open and known stretches."""
     for batch in batches:
         out = []
-        for ident, size, packed, marks in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            raw = _unpacked(packed, size)
+        for ident, size, data, marks in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            raw = unpack(data, size)
             for m in marks:
                 if m["kind"] != SPAN:
                     s, anchor, more = m["s"], m["meta"] >> 8, m["meta"] & 255
@@ -344,21 +344,6 @@ def _windows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.full(n, row["ident"])), pa.array(np.arange(n) + row["s"]), pa.array(np.full(n, row["kind"], np.int32))], ["h1", "h2", "ident", "s", "kind"])
 
 
-def _packed(raw):
-    """The text as zstd: it is what the shuffles by document carry."""
-
-    @F.arrow_udf("binary")
-    def pack(texts: pa.Array) -> pa.Array:
-        codec = pa.Codec("zstd", compression_level=1)
-        return pa.array([codec.compress(t or b"", asbytes=True) for t in texts.to_pylist()], pa.binary())
-
-    return pack(raw)
-
-
-def _unpacked(packed: bytes, size: int) -> bytes:
-    return pa.Codec("zstd").decompress(packed, size, asbytes=True)
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, ident, raw): ident is the id where ids tell rows apart."""
     raw = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
@@ -368,7 +353,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _by_document(keyed: DataFrame) -> DataFrame:
-    return keyed.select("doc_id", "ident", F.octet_length("raw").alias("size"), _packed(F.col("raw")).alias("packed"))
+    return keyed.select("doc_id", "ident", F.octet_length("raw").alias("size"), packed(F.col("raw")).alias("packed"))
 
 
 def repeated_spans(keyed: DataFrame, group: int = GROUP) -> DataFrame:
@@ -400,8 +385,8 @@ def _cut(batches):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         out = []
-        for doc, size, packed, marks, grown in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-            raw = _unpacked(packed, size)
+        for doc, size, data, marks, grown in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            raw = unpack(data, size)
             spans = [(m["s"], m["s"] + m["meta"]) for m in marks or () if m["kind"] == SPAN] + [(g["s"], g["s"] + g["size"]) for g in grown or ()]
             kept, removed, runs, end = hashlib.sha256(), 0, 0, 0
             last = -1

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import open_uri, shared_path, text_of
+from .common import open_uri, part_files, shared_path, text_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed: the vocabulary was built with it
@@ -136,7 +136,7 @@ def shard_index(spark, path: str, seq_len: int = SEQ_LEN) -> DataFrame:
     from pyspark.sql import Window
 
     stride = record_type(seq_len).itemsize + len(END)
-    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, shard int").format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = part_files(spark, path, "shard")
     files = files.select("shard", F.col("path").alias("file"), (F.col("length") / stride).cast("long").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("shard", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return files.withColumn("first_slot", before)
@@ -150,7 +150,8 @@ def read_sequences(spark, path: str, seq_len: int = SEQ_LEN, chunk_bytes: int =
     held = np.dtype([("record", record), ("end", "<u2")])
     chunk = max(1, chunk_bytes // stride)
     index = shard_index(spark, path, seq_len).where(F.col("first_slot") + F.col("n") > first)
-    index = index.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(chunk).cast("long")))).repartition("file", "at")
+    index = index.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(chunk).cast("long"))))
+    index = index.repartition(max(1, index.count() // 2), "file", "at")     # a few chunks a task
 
     def read(batches):
         for batch in batches:

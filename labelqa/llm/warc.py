@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import open_uri, shared_path, store
+from .common import open_uri, packed, part_files, shared_path, store, unpacked
 
 LEAST_BYTES, ARCHIVE_BYTES = 1000, 32 << 20
 SEPARATOR, HTTP = "\r\n\r\n", "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -35,16 +35,24 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 def classified(pages: DataFrame) -> DataFrame:
     """``page_id, url, digest, n, type, refers_to``: no payload is shuffled."""
-    rows = pages.select("page_id", "url", F.sha1(_payload()).alias("digest"), F.octet_length(_payload()).cast("long").alias("n"))
+    rows = pages.select("page_id", _url().alias("url"), F.sha1(_payload()).alias("digest"), F.octet_length(_payload()).cast("long").alias("n"))
     keeper = (rows.where((F.col("n") >= LEAST_BYTES) & F.col("page_id").isNotNull()).groupBy("digest", "n")
               .agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     rows = rows.join(keeper, ["digest", "n"], "left")
-    revisit = F.col("page_id") < F.col("keeper")
-    return rows.select("page_id", "url", "digest", "n", F.when(revisit, "revisit").otherwise("response").alias("type"), F.when(revisit, F.col("keeper")).alias("refers_to"))
+    refers_to = F.when(F.col("page_id") < F.col("keeper"), F.col("keeper"))
+    return rows.select("page_id", "url", "digest", "n", refers_to.alias("refers_to")).withColumn("type", _type())
 
 
 def _payload():
-    return F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
+    return F.coalesce(F.col("html"), F.lit("")).cast("binary")
+
+
+def _url():
+    return F.translate(F.col("url"), "\r\n", "")
+
+
+def _type():
+    return F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")
 
 
 def _line(name: str, value):
@@ -52,39 +60,46 @@ def _line(name: str, value):
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """The text of each record without its separator, and its index fields."""
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    kinds = classified(pages).where("type = 'revisit'").select("page_id", "digest", "refers_to").distinct()
-    # page_id is the key; the digest only tells rows of the same id apart
-    rows = rows.join(kinds, ["page_id", "digest"], "left").withColumn("type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
-    block = F.concat(F.lit(HTTP), F.when(F.col("type") == "response", F.col("html")).otherwise(""))
-    url = F.translate(F.col("url"), "\r\n", "")
-    head = F.concat(
+def head():
+    """The headers of a record, from the columns of ``classified``."""
+    body = F.when(F.col("type") == "response", F.col("n")).otherwise(0)
+    return F.concat(
         F.lit("WARC/1.1\r\n"), _line("WARC-Type", F.col("type")),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id"), F.lit(">"))), _line("WARC-Target-URI", url),
+        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id"), F.lit(">"))), _line("WARC-Target-URI", F.col("url")),
         F.lit("WARC-Date: 1970-01-01T00:00:00Z\r\n"), _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        _line("WARC-Payload-Length", F.octet_length("html")),
+        _line("WARC-Payload-Length", F.col("n")),
         F.when(F.col("type") == "revisit", F.lit(f"WARC-Profile: {PROFILE}\r\n")).otherwise(""),
         _line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to"), F.lit(">"))),
-        F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block), F.lit("\r\n\r\n"))
-    return rows.select("page_id", url.alias("url"), "digest", F.concat(head, block).alias("value"))
+        F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), (body + len(HTTP)).cast("string"), F.lit("\r\n\r\n"))
+
+
+ORDER = ("archive", "page_id", "digest", "url")
 
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes ``path/archive=<n>/`` and returns the stored index:
-    ``archive, offset, length, page_id, url, digest``."""
+    ``archive, offset, length, page_id, url, digest``. The payloads are
+    shuffled once, as zstd, to the task of their archive; what each record is
+    meets them there, by a window over the shuffle's own order."""
     size = pages.agg(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
     archives = max(1, -(-size // archive_bytes))
-    made = records(pages).withColumn("archive", F.pmod(F.xxhash64("page_id", "digest"), F.lit(archives)).cast("int"))
-    made = made.repartition(archives, "archive").sortWithinPartitions("archive", "page_id", "digest", "url")
-    made.select("archive", "value").write.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
+    archive = F.pmod(F.xxhash64("page_id", "digest"), F.lit(archives)).cast("int").alias("archive")
+    kinds = store(classified(pages).select("*", archive), "warc-kinds")
+    body = _payload()
+    carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body).alias("data"))
+    carried = carried.select("page_id", "url", "digest", "n", "data", F.lit(None).cast("long").alias("refers_to"), archive)
+    revisits = kinds.where("type = 'revisit'").select("page_id", F.lit(None).cast("string").alias("url"), "digest", "n", F.lit(None).cast("binary").alias("data"), "refers_to", "archive")
+    met = carried.union(revisits).repartition(archives, "archive").sortWithinPartitions(*ORDER)
+    told = Window.partitionBy("archive", "page_id", "digest")
+    met = met.withColumn("refers_to", F.max("refers_to").over(told)).where("data is not null").withColumn("type", _type())
+    text = F.concat(head(), F.lit(HTTP), F.coalesce(unpacked(F.when(F.col("type") == "response", F.col("data")), F.col("n")), F.lit("")))
+    rows = met.select(*ORDER, text.alias("value")).sortWithinPartitions(*ORDER)
+    rows.select("archive", "value").write.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
     # equal rows in the order of the archive have equal lengths, so ties change nothing
-    lengths = made.select("archive", "page_id", "url", "digest", (F.octet_length("value") + len(SEPARATOR)).cast("long").alias("length"))
-    w = Window.partitionBy("archive").orderBy("page_id", "digest", "url")
-    offset = F.coalesce(F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return store(lengths.withColumn("offset", offset), "warc-index")
+    length = F.octet_length(head()) + len(HTTP) + F.when(F.col("type") == "response", F.col("n")).otherwise(0) + len(SEPARATOR)
+    w = Window.partitionBy("archive").orderBy(*ORDER[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    index = kinds.select(*ORDER, length.cast("long").alias("length"))
+    return store(index.withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0))), "warc-index")
 
 
 def parse(raw: bytes) -> dict:
@@ -119,8 +134,7 @@ def read_records(index: DataFrame, path: str, gap: int = 64 << 10, most: int = 4
     """The records that ``index`` names, read by sorted, coalesced ranges. The
     digest of a response is taken from the bytes read and held against its header."""
     spark = index.sparkSession
-    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, archive int").format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    files = files.select("archive", F.col("path").alias("file"))
+    files = part_files(spark, path, "archive").select("archive", F.col("path").alias("file"))
     wanted = index.select("archive", "offset", "length").join(files, "archive")
     # long archives are read by several tasks; index rows are small, their reads are not
     parts = index.agg((F.coalesce(F.sum("length"), F.lit(0)) / (4 * most)).cast("int").alias("n")).first()["n"] + 1
