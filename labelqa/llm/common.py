@@ -43,11 +43,11 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def packed(raw):
+def packed(raw, level: int = 1):
     """A binary column as zstd, for shuffles that carry whole texts."""
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
-        codec = pa.Codec("zstd", compression_level=1)
+        codec = pa.Codec("zstd", compression_level=level)
         return pa.array([codec.compress(t or b"", asbytes=True) for t in texts.to_pylist()], pa.binary())
 
     return pack(raw)

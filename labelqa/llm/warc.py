@@ -67,8 +67,7 @@ def head():
         F.lit("WARC/1.1\r\n"), _line("WARC-Type", F.col("type")),
         _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id"), F.lit(">"))), _line("WARC-Target-URI", F.col("url")),
         F.lit("WARC-Date: 1970-01-01T00:00:00Z\r\n"), _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        _line("WARC-Payload-Length", F.col("n")),
-        F.when(F.col("type") == "revisit", F.lit(f"WARC-Profile: {PROFILE}\r\n")).otherwise(""),
+        F.when(F.col("type") == "revisit", F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Payload-Length: "), F.col("n").cast("string"), F.lit("\r\n"))).otherwise(""),
         _line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to"), F.lit(">"))),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), (body + len(HTTP)).cast("string"), F.lit("\r\n\r\n"))
 
@@ -78,28 +77,29 @@ ORDER = ("archive", "page_id", "digest", "url")
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes ``path/archive=<n>/`` and returns the stored index:
-    ``archive, offset, length, page_id, url, digest``. The payloads are
+    ``archive, offset, length, page_id, url, digest`` and what each record is. The payloads are
     shuffled once, as zstd, to the task of their archive; what each record is
     meets them there, by a window over the shuffle's own order."""
     size = pages.agg(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
     archives = max(1, -(-size // archive_bytes))
     archive = F.pmod(F.xxhash64("page_id", "digest"), F.lit(archives)).cast("int").alias("archive")
-    kinds = store(classified(pages).select("*", archive), "warc-kinds")
+    # the index comes first: lengths follow from the small columns; equal rows in
+    # the order of an archive have equal lengths, so ties change nothing
+    length = F.octet_length(head()) + len(HTTP) + F.when(F.col("type") == "response", F.col("n")).otherwise(0) + len(SEPARATOR)
+    w = Window.partitionBy("archive").orderBy(*ORDER[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    index = classified(pages).select("*", archive).withColumn("length", length.cast("long"))
+    index = store(index.withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0))), "warc-index")
     body = _payload()
-    carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body).alias("data"))
+    carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body, level=5).alias("data"))
     carried = carried.select("page_id", "url", "digest", "n", "data", F.lit(None).cast("long").alias("refers_to"), archive)
-    revisits = kinds.where("type = 'revisit'").select("page_id", F.lit(None).cast("string").alias("url"), "digest", "n", F.lit(None).cast("binary").alias("data"), "refers_to", "archive")
+    revisits = index.where("type = 'revisit'").select("page_id", F.lit(None).cast("string").alias("url"), "digest", "n", F.lit(None).cast("binary").alias("data"), "refers_to", "archive")
     met = carried.union(revisits).repartition(archives, "archive").sortWithinPartitions(*ORDER)
     told = Window.partitionBy("archive", "page_id", "digest")
     met = met.withColumn("refers_to", F.max("refers_to").over(told)).where("data is not null").withColumn("type", _type())
     text = F.concat(head(), F.lit(HTTP), F.coalesce(unpacked(F.when(F.col("type") == "response", F.col("data")), F.col("n")), F.lit("")))
     rows = met.select(*ORDER, text.alias("value")).sortWithinPartitions(*ORDER)
     rows.select("archive", "value").write.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
-    # equal rows in the order of the archive have equal lengths, so ties change nothing
-    length = F.octet_length(head()) + len(HTTP) + F.when(F.col("type") == "response", F.col("n")).otherwise(0) + len(SEPARATOR)
-    w = Window.partitionBy("archive").orderBy(*ORDER[1:]).rowsBetween(Window.unboundedPreceding, -1)
-    index = kinds.select(*ORDER, length.cast("long").alias("length"))
-    return store(index.withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0))), "warc-index")
+    return index
 
 
 def parse(raw: bytes) -> dict:
@@ -160,8 +160,8 @@ def read_records(index: DataFrame, path: str, gap: int = 64 << 10, most: int = 4
                     out = []
                     for row in group:
                         rec = parse(raw[row["offset"] - base:row["offset"] - base + row["length"]])
-                        digest, n = rec["warc-payload-digest"].removeprefix("sha1:"), int(rec["warc-payload-length"])
-                        if rec["warc-type"] == "response" and (hashlib.sha1(rec["payload"]).hexdigest(), len(rec["payload"])) != (digest, n):
+                        digest, n = rec["warc-payload-digest"].removeprefix("sha1:"), int(rec.get("warc-payload-length", len(rec["payload"])))
+                        if rec["warc-type"] == "response" and hashlib.sha1(rec["payload"]).hexdigest() != digest:
                             raise ValueError("a payload does not fit its digest")
                         out.append((number(rec.get("warc-record-id")), rec.get("warc-target-uri"), n, digest, rec["warc-type"], number(rec.get("warc-refers-to")), rec["payload"] if payloads else None))
                     columns = list(zip(*out, strict=True))
