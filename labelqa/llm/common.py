@@ -6,6 +6,7 @@ import os
 import uuid
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,27 +44,35 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def packed(raw, level: int = 1):
-    """A binary column as zstd, for shuffles that carry whole texts."""
+def _zstd(dictionary: bytes):
+    return zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if dictionary else None
+
+
+def packed(raw, level: int = 1, dictionary: bytes = b""):
+    """A binary column as zstd, for shuffles that carry whole texts. Bytes
+    that many texts share can be given as a (small) ``dictionary``."""
+
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
-        codec = pa.Codec("zstd", compression_level=level)
-        return pa.array([codec.compress(t or b"", asbytes=True) for t in texts.to_pylist()], pa.binary())
+        codec = zstandard.ZstdCompressor(level=level, dict_data=_zstd(dictionary))
+        return pa.array([codec.compress(t or b"") for t in texts.to_pylist()], pa.binary())
 
     return pack(raw)
 
 
-def unpack(data: bytes, size: int) -> bytes:
-    return pa.Codec("zstd").decompress(data, size, asbytes=True)
+def unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
-def unpacked(data, size):
+def unpacked(data, dictionary: bytes = b""):
     """The text of a packed column; null stays null."""
+
     @F.arrow_udf("string")
-    def back(parts: pa.Array, sizes: pa.Array) -> pa.Array:
-        return pa.array([None if d is None else unpack(d, n).decode() for d, n in zip(parts.to_pylist(), sizes.to_pylist(), strict=True)], pa.string())
+    def back(parts: pa.Array) -> pa.Array:
+        codec = zstandard.ZstdDecompressor(dict_data=_zstd(dictionary))
+        return pa.array([None if d is None else codec.decompress(d).decode() for d in parts.to_pylist()], pa.string())
 
-    return back(data, size)
+    return back(data)
 
 
 def part_files(spark: SparkSession, path: str, key: str) -> DataFrame:

@@ -249,11 +249,11 @@ def _meet(group: int):
 
 
 def _fetch(batches):
-    """(ident, size, packed, marks) -> the bytes of the open and known stretches."""
+    """(ident, packed, marks) -> the bytes of the open and known stretches."""
     for batch in batches:
         out = []
-        for ident, size, data, marks in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            raw = unpack(data, size)
+        for ident, data, marks in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            raw = unpack(data)
             for m in marks:
                 if m["kind"] != SPAN:
                     s, anchor, more = m["s"], m["meta"] >> 8, m["meta"] & 255
@@ -353,7 +353,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _by_document(keyed: DataFrame) -> DataFrame:
-    return keyed.select("doc_id", "ident", F.octet_length("raw").alias("size"), packed(F.col("raw")).alias("packed"))
+    return keyed.select("doc_id", "ident", packed(F.col("raw")).alias("packed"))
 
 
 def repeated_spans(keyed: DataFrame, group: int = GROUP) -> DataFrame:
@@ -364,7 +364,7 @@ def repeated_spans(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     mark = F.struct("s", "meta", "kind", F.when(F.col("kind") != SPAN, F.col("ah")).alias("ah"))
     marks = store(met.groupBy("ident").agg(F.collect_list(mark).alias("marks"), F.max("kind").alias("most")), "marks")
     wanted = marks.where(F.col("most") > SPAN).select("ident", "marks")
-    fetched = _by_document(keyed).join(wanted, "ident").select("ident", "size", "packed", "marks").mapInArrow(_fetch, FETCHED)
+    fetched = _by_document(keyed).join(wanted, "ident").select("ident", "packed", "marks").mapInArrow(_fetch, FETCHED)
     hot = bool(marks.where(F.col("most") > KNOWN).limit(1).count())
     if hot:         # otherwise there is no such group and nothing to split
         fetched = store(fetched, "fetched")
@@ -385,8 +385,8 @@ def _cut(batches):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         out = []
-        for doc, size, data, marks, grown in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-            raw = unpack(data, size)
+        for doc, data, marks, grown in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            raw = unpack(data)
             spans = [(m["s"], m["s"] + m["meta"]) for m in marks or () if m["kind"] == SPAN] + [(g["s"], g["s"] + g["size"]) for g in grown or ()]
             kept, removed, runs, end = hashlib.sha256(), 0, 0, 0
             last = -1
@@ -408,4 +408,4 @@ def without_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     keyed = _keyed(docs)
     found = repeated_spans(keyed, group)
     joined = _by_document(keyed).join(found, "ident", "left")
-    return joined.select("doc_id", "size", "packed", "marks", "grown").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.select("doc_id", "packed", "marks", "grown").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

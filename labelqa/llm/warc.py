@@ -89,14 +89,16 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     w = Window.partitionBy("archive").orderBy(*ORDER[1:]).rowsBetween(Window.unboundedPreceding, -1)
     index = classified(pages).select("*", archive).withColumn("length", length.cast("long"))
     index = store(index.withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0))), "warc-index")
+    # pages share much of their markup: a little of some of them helps to pack all
+    shared = b"".join(bytes(r[0]) for r in pages.where("html is not null").select(F.substring(_payload(), 1, 2048)).limit(32).collect())
     body = _payload()
-    carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body, level=5).alias("data"))
+    carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body, 5, shared).alias("data"))
     carried = carried.select("page_id", "url", "digest", "n", "data", F.lit(None).cast("long").alias("refers_to"), archive)
     revisits = index.where("type = 'revisit'").select("page_id", F.lit(None).cast("string").alias("url"), "digest", "n", F.lit(None).cast("binary").alias("data"), "refers_to", "archive")
     met = carried.union(revisits).repartition(archives, "archive").sortWithinPartitions(*ORDER)
     told = Window.partitionBy("archive", "page_id", "digest")
     met = met.withColumn("refers_to", F.max("refers_to").over(told)).where("data is not null").withColumn("type", _type())
-    text = F.concat(head(), F.lit(HTTP), F.coalesce(unpacked(F.when(F.col("type") == "response", F.col("data")), F.col("n")), F.lit("")))
+    text = F.concat(head(), F.lit(HTTP), F.coalesce(unpacked(F.when(F.col("type") == "response", F.col("data")), shared), F.lit("")))
     rows = met.select(*ORDER, text.alias("value")).sortWithinPartitions(*ORDER)
     rows.select("archive", "value").write.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
     return index
