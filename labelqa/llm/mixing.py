@@ -64,8 +64,8 @@ def cells_of(rows: DataFrame) -> DataFrame:
 
 def target_shares(cells: DataFrame, dim: str, flatten: float) -> DataFrame:
     part = cells.groupBy(dim).agg(F.pow(F.sum("words").cast("double"), F.lit(flatten)).alias("part"))
-    whole = part.agg(F.sum("part").alias("whole"))
-    return part.join(F.broadcast(whole)).select(dim, (F.col("part") / F.col("whole")).alias("share"))   # one row
+    whole = part.agg(F.sum("part").alias("whole")).first()["whole"] or 1.0      # one number
+    return part.select(dim, (F.col("part") / F.lit(whole)).alias("share"))
 
 
 def _same(a: DataFrame, b: DataFrame, names) -> Column:
@@ -96,9 +96,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
 def probabilities(cells: DataFrame, budget: float = BUDGET, **raking) -> DataFrame:
     """``(source, lang, topic, p)``: the chance of a document of the cell."""
     raked = rake(cells, **raking)
-    total = raked.agg(F.sum("words").alias("all_words"))
-    chance_of = F.round(F.least(F.lit(1.0), F.lit(budget) * F.col("all_words") * F.col("weight") / F.col("words")), 9)
-    return raked.join(F.broadcast(total)).select(*DIMENSIONS, chance_of.alias("p"))     # one row
+    total = raked.agg(F.sum("words").alias("n")).first()["n"] or 0      # one number
+    chance_of = F.round(F.least(F.lit(1.0), F.lit(budget * total) * F.col("weight") / F.col("words")), 9)
+    return raked.select(*DIMENSIONS, chance_of.alias("p"))
 
 
 def with_probability(rows: DataFrame, p: DataFrame) -> DataFrame:
