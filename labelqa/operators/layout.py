@@ -66,7 +66,7 @@ def empty_documents(docs: DataFrame, manifest: DataFrame, doc: str = "doc") -> D
 def page_spans(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ",
                chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """``[start, end)`` of each page's text in the joined document text."""
-    p = pages.select(doc, seq, F.length(text).cast("long").alias("_len"))
+    p = pages.select(doc, seq, F.coalesce(F.length(text), F.lit(0)).cast("long").alias("_len"))
     r = running_sums(p, doc, seq, ["_len"], chunk,
                      totals={"n_pages": ("count", "_len"), "_chars": ("sum", "_len")})
     start = F.col("_len_before") + F.col("rank_before") * len(sep)
@@ -77,10 +77,11 @@ def page_spans(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ",
 
 
 def join_page_texts(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ") -> DataFrame:
-    """D5 text for documents of bounded size: ordered join within one row."""
+    """D5 text for documents of bounded size: ordered join within one row. A
+    null page text counts as empty, as in ``page_spans``."""
     return pages.groupBy(doc).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(seq, text))),
-                                 lambda x: x[text]), sep).alias("text"))
+                                 lambda x: F.coalesce(x[text], F.lit(""))), sep).alias("text"))
 
 
 # ------------------------------------------------------------------ D1

@@ -137,6 +137,22 @@ def leaves_of(data) -> list[dict]:
     return rows
 
 
+ISSUE = "error"     # kind of the one row that stands for a record without leaves
+
+
+def _issue_of(s) -> str | None:
+    """Why a text has no leaves: null if it parses."""
+    if s is None:
+        return None
+    try:
+        leaves_of(json.loads(s))
+    except ValueError:
+        return "invalid_json"
+    except RecursionError:
+        return "nested_too_deep"
+    return None
+
+
 def _leaves_of_text(s):
     if s is None:
         return None
@@ -146,6 +162,17 @@ def _leaves_of_text(s):
         return None
 
 
+@F.pandas_udf(T.StringType())
+def _json_issue_udf(s: pd.Series) -> pd.Series:
+    return s.map(_issue_of)
+
+
+def json_issue(col) -> Column:
+    """``invalid_json`` or ``nested_too_deep`` where ``json_leaves`` is null
+    for a text that is not; null otherwise."""
+    return _json_issue_udf(F.col(col) if isinstance(col, str) else col)
+
+
 @F.pandas_udf(LEAVES)
 def _json_leaves_udf(s: pd.Series) -> pd.Series:
     return s.map(_leaves_of_text)
@@ -162,7 +189,8 @@ def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
 
     Same walk as ``json_leaves`` but emitted as rows by ``mapInPandas``: no
     nested array is built per document, which is cheaper when the long table
-    is what is wanted. Unparseable or null text yields no rows.
+    is what is wanted. Null text yields no rows; a text that cannot be read
+    yields one row with kind ``error`` and the reason as its value.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join(f"{c} {types[c]}" for c in keep)
@@ -172,12 +200,16 @@ def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
         for pdf in batches:
             out = {c: [] for c in keep}
             pos, path, value, kind = [], [], [], []
-            for rec in pdf.itertuples(index=False):
-                rows = _leaves_of_text(getattr(rec, col))
+            texts = pdf.iloc[:, len(keep)].tolist()
+            carried = [pdf.iloc[:, k].tolist() for k in range(len(keep))]
+            for k, text in enumerate(texts):
+                rows = _leaves_of_text(text)
+                if rows is None and text is not None:
+                    rows = [{"pos": -1, "path": None, "value": _issue_of(text), "kind": ISSUE}]
                 if not rows:
                     continue
-                for c in keep:
-                    out[c].extend([getattr(rec, c)] * len(rows))
+                for c, values in zip(keep, carried, strict=True):
+                    out[c].extend([values[k]] * len(rows))
                 for r in rows:
                     pos.append(r["pos"])
                     path.append(r["path"])

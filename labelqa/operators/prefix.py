@@ -10,9 +10,11 @@ rows are cut into chunks of at most ``chunk`` consecutive ``seq`` values:
    ``chunk`` times smaller than the input;
 4. offsets joined back on ``(doc, chunk)``, a key that cannot be hot.
 
-``seq`` must be unique within a group. An integral ``seq`` is chunked by
-value (``seq // chunk``); any other orderable ``seq`` (a struct of keys, a
-string) is chunked by a range-partitioned sort on ``(by, seq)``.
+``seq`` must be unique within a group. Dense integers (the usual image order)
+are chunked by value (``seq // chunk``); sparse integers and any other
+orderable ``seq`` (a string, a struct of keys) are sorted into range partitions
+and stored with the partition as their chunk, so both branches below read the
+same assignment. Rows of a null group or null ``seq`` are kept (nulls first).
 """
 
 from __future__ import annotations
@@ -21,29 +23,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import durable
+
 DEFAULT_CHUNK = 4096
 
 
 def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
                  chunk: int = DEFAULT_CHUNK, totals: dict | None = None,
-                 chunk_col=None) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Add ``<v>_before`` (sum over earlier rows, 0 for the first) per value,
     ``rank_before`` (count of earlier rows) and group totals.
 
     ``totals`` maps output name -> (agg, column) with agg in {"sum", "max",
-    "count"}; they are computed from chunk partials, never from all rows of
+    "count"} ("count" counts rows, null or not); they are computed from chunk partials, never from all rows of
     a group in one task.
     """
     totals = totals or {}
-    integral = isinstance(df.schema[seq].dataType, (T.ByteType, T.ShortType, T.IntegerType,
-                                                     T.LongType))
-    if chunk_col is None and not integral:
-        # any orderable seq (e.g. a struct of keys): a range-partitioned sort
-        # splits even a hot group, and the partition id is the chunk
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, by, seq)
-        chunk_col = F.spark_partition_id()
-    ck = (F.floor(F.col(seq) / F.lit(chunk)) if chunk_col is None else chunk_col).alias("_chunk")
+    if _dense(df, by, seq):
+        ck = F.floor(F.col(seq) / F.lit(chunk))
+    else:
+        # stored once: a range exchange planned twice would sample its bounds twice
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = durable(df.repartitionByRange(n, by, seq).withColumn("__range", F.spark_partition_id()), "ranges")
+        ck = F.col("__range")
+    ck = ck.alias("_chunk")
     rows = df.select("*", ck)
     w_in = (Window.partitionBy(by, "_chunk").orderBy(seq)
             .rowsBetween(Window.unboundedPreceding, -1))
@@ -54,7 +57,7 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
     )
     partial = []
     for name, (agg, col) in totals.items():
-        fn = {"sum": F.sum, "max": F.max, "count": F.count}[agg]
+        fn = {"sum": F.sum, "max": F.max, "count": lambda _: F.count(F.lit(1))}[agg]
         partial.append(fn(col).alias(f"_t_{name}"))
     # chunk totals straight from the rows: map-side partial aggregation, so
     # this shuffle carries one partial row per (task, group, chunk), not rows
@@ -70,21 +73,26 @@ def running_sums(df: DataFrame, by: str, seq: str, values: list[str],
         F.coalesce(F.sum("_n_c").over(w_c), F.lit(0)).alias("_n_off"),
         *[merge[agg](f"_t_{name}").over(w_all).alias(name) for name, (agg, _) in totals.items()],
     )
-    out = inner.join(offs, [by, "_chunk"], "inner")
+    offs = offs.withColumnRenamed(by, "__by").withColumnRenamed("_chunk", "__chunk")
+    out = inner.join(offs, inner[by].eqNullSafe(offs["__by"]) & inner["_chunk"].eqNullSafe(offs["__chunk"]), "inner")
     extra = [(F.col(f"_{v}_in") + F.col(f"_{v}_off")).alias(f"{v}_before") for v in values]
     extra.append((F.col("_n_in") + F.col("_n_off")).alias("rank_before"))
-    keep = [c for c in df.columns]
+    keep = [c for c in df.columns if c != "__range"]
     return out.select(*keep, *extra, *totals.keys())
 
 
-def rank_within(df: DataFrame, by: str, order: str, partitions: int | None = None) -> DataFrame:
-    """1-based rank of ``order`` (any sortable type, unique per group) within ``by``.
+def _dense(df: DataFrame, by: str, seq: str, spare: int = 16) -> bool:
+    """Is ``seq`` an integer that takes a fair part of the values it spans, in
+    every group? Then chunks by value hold rows in proportion to their number."""
+    if not isinstance(df.schema[seq].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return False
+    span = df.groupBy(by).agg(((F.max(seq).cast("double") - F.min(seq).cast("double") + 1) / F.count(F.lit(1))).alias("x"))
+    widest = span.agg(F.max("x").alias("x")).first()["x"]
+    return widest is None or widest <= spare
 
-    A range-partitioned sort on ``(by, order)`` spreads even a hot group over
-    several partitions; the partition id then serves as the chunk of
-    ``running_sums``, so no task ever holds a whole group.
-    """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, by, order)
-    r = running_sums(s, by, order, [], chunk_col=F.spark_partition_id())
+
+def rank_within(df: DataFrame, by: str, order: str, partitions: int | None = None) -> DataFrame:
+    """1-based rank of ``order`` (any sortable type, unique per group) within
+    ``by``; no task ever holds a whole group (see ``running_sums``)."""
+    r = running_sums(df, by, order, [], partitions=partitions)
     return r.withColumn("rank", F.col("rank_before") + 1).drop("rank_before")

@@ -45,13 +45,26 @@ def _finish(df: DataFrame, threshold: float) -> DataFrame:
 def score_records(df: DataFrame, expected: str, actual: str, keep: list[str],
                   threshold: float = PASS_THRESHOLD) -> DataFrame:
     """Score per row; ``expected``/``actual`` are leaf arrays (see ``leaves``)."""
-    amap = F.map_from_entries(F.transform(
-        F.col(actual), lambda a: F.struct(a["path"], F.struct(a["value"].alias("v"),
-                                                              a["kind"].alias("k")))))
+    def entries(part: Column) -> Column:
+        return F.map_from_entries(F.transform(
+            part, lambda a: F.struct(a["path"], F.struct(a["value"].alias("v"), a["kind"].alias("k")))))
+
+    # a map lookup scans its keys: large records get about sqrt(n) maps by hash of the path
+    n = F.greatest(F.lit(1), F.sqrt(F.size(actual)).cast("int"))
+    marked = F.transform(F.col(actual), lambda a: F.struct(F.pmod(F.xxhash64(a["path"]), n).alias("h"), a.alias("a")))
+    many = F.transform(F.sequence(F.lit(0), n - 1), lambda b: entries(
+        F.transform(F.filter(marked, lambda m: m["h"] == b), lambda m: m["a"])))
+    small = F.coalesce(F.size(actual), F.lit(0)) <= 64
+    df = df.select("*", F.when(small, F.array(entries(F.col(actual)))).otherwise(many).alias("__maps"))
+
+    def looked_up(path: Column) -> Column:
+        place = F.pmod(F.xxhash64(path), F.size("__maps")).cast("int")
+        return F.try_element_at(F.col("__maps")[place], path)
+
     pairs = F.transform(F.col(expected), lambda e: F.struct(
         e["pos"].alias("pos"), e["path"].alias("path"),
         e["value"].alias("expected"), e["kind"].alias("expected_kind"),
-        F.try_element_at(amap, e["path"]).alias("_a")))
+        looked_up(e["path"]).alias("_a")))
     long = df.select(*keep, F.inline(pairs))
     hit = F.col("_a").isNotNull()
     e_txt = compare_text(F.col("expected"), F.col("expected_kind"))
@@ -97,13 +110,13 @@ def key_value_scores(df: DataFrame, expected_json: str, actual_json: str,
         act = F.try_element_at(F.col("_a"), F.col("key"))
         return x.select(*keep, "key", "expected", act.alias("actual"),
                         similarity(F.col("expected"), act).alias("score"))
-    keys = df.select(*keep, expected_json, actual_json,
-                     F.explode(F.json_object_keys(expected_json)).alias("key"))
-    path = F.concat(F.lit("$['"), F.col("key"), F.lit("']"))
-    e = F.call_function("get_json_object", F.col(expected_json), path)
-    a = F.call_function("get_json_object", F.col(actual_json), path)
-    return keys.select(*keep, "key", e.alias("expected"), a.alias("actual"),
-                       similarity(e, a).alias("score"))
+    # each document is parsed once, whatever its number of keys
+    parsed = df.select(*keep, F.from_json(expected_json, "map<string,string>").alias("_e"),
+                       F.from_json(actual_json, "map<string,string>").alias("_a"))
+    rows = parsed.select(*keep, "_a", F.explode("_e").alias("key", "expected"))
+    act = F.try_element_at(F.col("_a"), F.col("key"))
+    return rows.select(*keep, "key", "expected", act.alias("actual"),
+                       similarity(F.col("expected"), act).alias("score"))
 
 
 def _render_values(text):

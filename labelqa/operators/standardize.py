@@ -75,6 +75,21 @@ TOP_V = "struct<" + ", ".join(f"{n}: variant" for n, *_ in FIELDS) + ">"
 
 # ------------------------------------------------------------ expressions
 
+#: Texts beyond this may not fit the engine's VARIANT; where one can't be
+#: parsed it is reported as ``too_large``, not as broken JSON.
+VARIANT_BYTES = 16 << 20
+# Texts taken as a boolean, in either case.
+TRUE_TEXTS, FALSE_TEXTS = ("1", "on", "t", "true", "y", "yes"), ("0", "off", "f", "false", "n", "no")
+
+
+def lax_boolean(x: Column, k: Column) -> Column:
+    """A boolean, a text or a number that stands for one; null otherwise."""
+    text, number = F.lower(F.try_variant_get(x, "$", "string")), F.try_variant_get(x, "$", "double")
+    return (F.when(k == "boolean", F.try_variant_get(x, "$", "boolean"))
+            .when((k == "string") & text.isin(*TRUE_TEXTS), True).when((k == "string") & text.isin(*FALSE_TEXTS), False)
+            .when(k.isin("bigint", "decimal", "double") & (number == 1), True)
+            .when(k.isin("bigint", "decimal", "double") & (number == 0), False))
+
 def kind(x: Column, obj: Column | None = None, arr: Column | None = None) -> Column:
     """'absent', 'null', 'object', 'array' or the variant scalar type name.
 
@@ -274,19 +289,21 @@ def _compiled():
             mx, mk = F.col(f"__{name}_min_x"), F.col(f"__{name}_min_k")
             nvals, niss = _list_result(f"{name}_n", "nutrient", F.lit(f"{name}.nutrients"), False)
             title = str_val(tx, tk)
-            incoming = F.when(mk == "boolean", F.try_variant_get(mx, "$", "boolean"))
+            incoming = lax_boolean(mx, mk)
             value = F.struct(title.alias("title"),
                              F.coalesce(nvals, F.array()).alias("nutrients"),  # N9
                              rules.is_minimal(title, incoming).alias("is_minimal"))
             iss = cat(_leaf_issues("str", False, False, tk, F.lit(f"{name}.title")), niss,
-                      issue(~mk.isin("boolean", "null", "absent"), F.lit(f"{name}.is_minimal"),
+                      issue(~mk.isin("null", "absent") & incoming.isNull(), F.lit(f"{name}.is_minimal"),
                             "bool_type"))
             results[name] = (F.when(k == "object", value),
                              cat(issue(~k.isin("object", "null", "absent"), base, "model_type"),
                                  iss.only_if(k == "object")))
 
     fields = [results[f.name][0].cast(f.dataType).alias(f.name) for f in INSPECTION.fields]
-    issues = (F.when(F.col("__v").isNull(), F.array(F.struct(F.lit("").alias("loc"),
+    large = F.array(F.struct(F.lit("").alias("loc"), F.lit("too_large").alias("kind")))
+    issues = (F.when(F.col("__v").isNull() & F.col("__large"), large)
+              .when(F.col("__v").isNull(), F.array(F.struct(F.lit("").alias("loc"),
                                                                F.lit("invalid_json").alias("kind"))))
               .when(top.isNull(), F.array(F.struct(F.lit("").alias("loc"),
                                                     F.lit("model_type").alias("kind"))))
@@ -306,7 +323,8 @@ def standardize(df: DataFrame, raw: str, keep: list[str], with_record: bool = Tr
     the record values (rejection reports and rule counts need only issues).
     """
     top_col, stages, record, final_issues = _compiled()
-    d = df.select(*keep, F.try_parse_json(F.col(raw)).alias("__v"))
+    d = df.select(*keep, F.try_parse_json(F.col(raw)).alias("__v"),
+                  (F.octet_length(raw) > VARIANT_BYTES).alias("__large"))
     d = d.select("*", top_col)
     for cols in stages:
         d = d.select("*", *cols)

@@ -10,12 +10,26 @@ Pass/Fail keeps the unrounded comparison.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.similarity import PASS, fixed2
 
-POS_BITS = 24
+POS_SPAN = 1 << 63       # every non-negative long is a position
+
+
+def first_key(case: str = "case_no", pos: str = "pos") -> Column:
+    """(case, position) in one decimal: ordered by case, then position, and
+    still a fixed-width buffer of a hash aggregate."""
+    return F.col(case).cast("decimal(19,0)") * F.lit(Decimal(POS_SPAN)) + F.col(pos).cast("decimal(19,0)")
+
+
+def first_columns(key: str, pos_type: str = "long") -> list[Column]:
+    return [F.expr(f"cast(({key} - pmod({key}, {POS_SPAN})) / {POS_SPAN} as long)").alias("first_case"),
+            F.expr(f"cast(pmod({key}, {POS_SPAN}) as {pos_type})").alias("first_pos")]
 
 
 def prepare(scored: DataFrame) -> DataFrame:
@@ -34,7 +48,7 @@ def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> Da
     With ``file_order`` the order is the row order of a read report:
     ``(file, pos)`` (see ``sources.reports.report_scores``); ``first_case``
     is the case of the first row. This path orders by a struct (sort
-    aggregate); it serves report files, the scored table uses the packed key.
+    aggregate); it serves report files, the scored table uses one decimal key.
     """
     p = prepare(scored)
     common = [
@@ -48,15 +62,13 @@ def by_field(scored: DataFrame, digits: int = 6, file_order: bool = False) -> Da
         return (agg.select("*", F.col("_f.case_no").alias("first_case"),
                            F.col("_f.pos").alias("first_pos"), F.col("_f.file").alias("_file"))
                 .orderBy("_file", "first_pos").drop("_f", "_file"))
-    # First appearance = smallest (case_no, pos), packed into one long so the
-    # aggregate keeps a fixed-width buffer (hash aggregate, no sort of all
-    # rows). Bounds: 0 <= pos < 2^24 leaves per record, 0 <= case_no < 2^39.
-    key = F.col("case_no").cast("long") * F.lit(1 << POS_BITS) + F.col("pos").cast("long")
-    agg = p.groupBy("path").agg(*common, F.min(key).alias("_first"))
+    if not isinstance(scored.schema["case_no"].dataType, T.IntegralType):     # e.g. text ids
+        agg = p.groupBy("path").agg(*common, F.min(F.struct("case_no", "pos")).alias("_f"))
+        return (agg.select("*", F.col("_f.case_no").alias("first_case"), F.col("_f.pos").alias("first_pos"))
+                .drop("_f").orderBy("first_case", "first_pos"))
+    agg = p.groupBy("path").agg(*common, F.min(first_key()).alias("_first"))
     # the sort is a range-partitioned sort of the aggregate, not a single-task window
-    return (agg.select("*", F.shiftright("_first", POS_BITS).alias("first_case"),
-                       F.col("_first").bitwiseAND((1 << POS_BITS) - 1).cast("int").alias("first_pos"))
-            .drop("_first").orderBy("first_case", "first_pos"))
+    return agg.select("*", *first_columns("_first", scored.schema["pos"].dataType.simpleString())).drop("_first").orderBy("first_case", "first_pos")
 
 
 def by_case(scored: DataFrame, digits: int = 6) -> DataFrame:

@@ -36,7 +36,12 @@ def analyze_pages(pages: DataFrame, make_ocr, make_extractor, doc: str = "doc",
     text = durable(text, "page-text")
     ok, bad_pages = extract.split_results(text)
     docs = layout.join_page_texts(ok.select(doc, seq, F.col("result").alias("text")), doc, seq, "text")
-    return analyze_texts(docs, make_extractor, doc, bad_pages)
+    # a document with a failed page is not read from the pages that are left
+    broken = bad_pages.groupBy(doc).agg(F.concat(F.lit("failed pages: "), F.count(F.lit(1)).cast("string")).alias("error"))
+    whole = docs.join(broken.select(F.col(doc).alias("__doc")), F.col(doc).eqNullSafe(F.col("__doc")), "left_anti")
+    out = analyze_texts(whole, make_extractor, doc, bad_pages)
+    failed = broken.select(doc, F.lit(None).cast("string").alias("result"), "error")
+    return Analysis(out.records, bad_pages, out.doc_failures.unionByName(failed, allowMissingColumns=True))
 
 
 def analyze_texts(docs: DataFrame, make_extractor, doc: str = "doc",

@@ -5,8 +5,9 @@ materialised, failures isolated) -> flatten both sides -> score -> CSV
 report -> statistics -> markdown report.
 
 The golden and produced JSON of a case meet in one row (one shuffle join on
-``case_no``); flattening and scoring are then narrow. Statistics use one
-grouping-sets pass.
+``case_no``); flattening and scoring are then narrow. The scores are stored
+once and the three statistics read them. A case whose extractor fails, or
+whose golden or produced text cannot be read, is in ``failures``.
 """
 
 from __future__ import annotations
@@ -43,10 +44,12 @@ def score_json(pairs: DataFrame, key: str = "case_no", speed: str | None = None)
 
 
 def run(spark: SparkSession, root: str, make_extractor, out_dir: str | None = None,
-        run_id: str = "latest") -> Assessment:
+        run_id: str | None = None) -> Assessment:
     """``make_extractor()`` returns ``fn(row) -> record dict`` for a case row
     ``{case_no, dir, case_dir}``; it is built once per partition."""
-    found = src.discover(spark, root)
+    if out_dir and not run_id:
+        raise ValueError("run_id names this run's reports: earlier ones are never replaced")
+    found = durable(src.discover(spark, root), "cases")
     gold = src.golden_texts(spark, root)
     produced = extract.apply_extractor(found, make_extractor, "case_no", ["dir", "case_dir"])
     produced = durable(produced.join(found.select("case_no", "dir"), "case_no"), "extracted")
@@ -54,6 +57,12 @@ def run(spark: SparkSession, root: str, make_extractor, out_dir: str | None = No
     pairs = (ok.join(gold, "dir")
              .select("case_no", F.col("json").alias("expected_json"),
                      F.col("result").alias("actual_json"), F.col("seconds").alias("speed")))
+    problem = F.coalesce(F.concat(F.lit("golden: "), leaves.json_issue("expected_json")),
+                         F.concat(F.lit("produced: "), leaves.json_issue("actual_json")))
+    pairs = durable(pairs.withColumn("error", problem), "pairs")
+    unread = pairs.where(F.col("error").isNotNull()).select("case_no", "error")
+    failed = failed.unionByName(unread, allowMissingColumns=True)
+    pairs = pairs.where(F.col("error").isNull()).drop("error")
     scores = durable(score_json(pairs, "case_no", "speed"), "scores")
     field = stats.by_field(scores)
     case = stats.by_case(scores)

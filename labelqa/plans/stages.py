@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ def _done(spark: SparkSession, store: str, cols: list[str]) -> DataFrame | None:
     """Rows already in a store (any file system); None before the first run."""
     try:
         return spark.read.parquet(store).select(*cols)
-    except Exception:  # the store does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":    # anything else is a broken store
+            raise
         return None
 
 

@@ -8,22 +8,19 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """Read one (read-only) driver table; small single-file tables are spread
     over all cores.
 
-    The DataFrame is built once per application and path: the given tables
+    The DataFrame is built once per session and path: the given tables
     never change during a run, and re-resolving a parquet source (footers,
     schema, partition count) for every query is pure driver overhead.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        key = (spark.sparkContext.applicationId, path, spread_rows)
-    except Exception:  # no SparkContext access (remote session)
-        return spark.read.parquet(path)
+    key = (spark, path, spread_rows)
     if key not in _TABLES:
         df = spark.read.parquet(path)
         if spread_rows:

@@ -7,7 +7,8 @@ checkpoint processes each new input file exactly once:
   records + issues, appended to parquet.
 * ``score_stream``: produced records scored against a static table of
   expected leaves (stream-static join on ``case_no``); re-delivered records
-  are dropped with ``dropDuplicatesWithinWatermark``.
+  are dropped with ``dropDuplicatesWithinWatermark``; a re-delivery is an
+  equal record, so a corrected record of the same case is scored as well.
 
 Both are stateless apart from the de-duplication state, which the
 watermark bounds. Run with ``trigger(availableNow=True)`` for batch-like
@@ -45,7 +46,7 @@ def score_stream(spark: SparkSession, source: str, expected: DataFrame, sink: st
     produced = (spark.readStream.schema(PRODUCED_SCHEMA).json(source)
                 .withColumn("ingest_ts", F.current_timestamp())
                 .withWatermark("ingest_ts", dedup_delay)
-                .dropDuplicatesWithinWatermark(["case_no"]))
+                .dropDuplicatesWithinWatermark(["case_no", "actual_json"]))
     rec = produced.select("case_no", leaves.json_leaves("actual_json").alias("a")).join(
         expected, "case_no")
     scored = scoring.score_records(rec, "e", "a", ["case_no"])
@@ -58,33 +59,34 @@ def score_stream(spark: SparkSession, source: str, expected: DataFrame, sink: st
 # ------------------------------------------------------------ incremental stats
 
 def _partials(scored: DataFrame) -> DataFrame:
-    from ..operators.stats import POS_BITS, prepare
+    from ..operators.stats import first_key, prepare
     p = prepare(scored)
-    key = F.col("case_no").cast("long") * F.lit(1 << POS_BITS) + F.col("pos").cast("long")
     return p.groupBy("path").agg(
         F.sum("_score2").alias("sum_score"), F.sum("_pass").alias("sum_pass"),
         F.sum("_missing").alias("sum_missing"), F.count(F.lit(1)).alias("n"),
-        F.min(key).alias("first_key"))
+        F.min(first_key()).alias("first_key"))
 
 
 def stats_partials_stream(scored_stream: DataFrame, sink: str, checkpoint: str,
                           available_now: bool = True):
-    """Per micro-batch, append per-path partial sums of scored leaves to ``sink``.
+    """Per micro-batch, the per-path partial sums of scored leaves, in a folder
+    of the batch below ``sink``: a batch that is retried replaces its own.
 
-    Partials are append-only and tiny (one row per path and batch); exact
-    statistics at any time come from ``field_stats_from_partials``.
+    Partials are tiny (one row per path and batch); exact statistics at any
+    time come from ``field_stats_from_partials``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _partials(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        _partials(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     w = scored_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def field_stats_from_partials(spark: SparkSession, sink: str, digits: int = 6) -> DataFrame:
+def field_stats_from_partials(spark: SparkSession, sink: str, digits: int = 6,
+                              pos_type: str = "int") -> DataFrame:
     """A4/A5 from accumulated partials: same numbers as ``stats.by_field``."""
-    from ..operators.stats import POS_BITS
+    from ..operators.stats import first_columns
     p = spark.read.parquet(sink).groupBy("path").agg(
         F.sum("sum_score").alias("s"), F.sum("sum_pass").alias("sp"),
         F.sum("sum_missing").alias("sm"), F.sum("n").alias("n"), F.min("first_key").alias("k"))
@@ -93,6 +95,5 @@ def field_stats_from_partials(spark: SparkSession, sink: str, digits: int = 6) -
         F.round(F.col("sp") / F.col("n"), digits).alias("pass_rate"),
         F.round(F.col("sm") / F.col("n"), digits).alias("missing_rate"),
         F.col("n").alias("occurrences"),
-        F.shiftright("k", POS_BITS).alias("first_case"),
-        F.col("k").bitwiseAND((1 << POS_BITS) - 1).cast("int").alias("first_pos"),
+        *first_columns("k", pos_type),
     ).orderBy("first_case", "first_pos")

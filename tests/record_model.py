@@ -108,7 +108,12 @@ class Model:
                              lambda e, l: self.model_obj(e, l, False, self.nutrient)) or []
         m = o.get("is_minimal", ABSENT)
         incoming = m if isinstance(m, bool) else None
-        if m is not ABSENT and m is not None and not isinstance(m, bool):
+        if isinstance(m, str):
+            incoming = {**dict.fromkeys(("1", "on", "t", "true", "y", "yes"), True),
+                        **dict.fromkeys(("0", "off", "f", "false", "n", "no"), False)}.get(m.lower())
+        elif isinstance(m, (int, float)) and m in (0, 1):
+            incoming = bool(m)
+        if m is not ABSENT and m is not None and incoming is None:
             self.bad(loc + ".is_minimal", "bool_type")
         flag = bool(MIN_RE.search(title)) if title else incoming
         return {"title": title, "nutrients": nutrients, "is_minimal": flag}

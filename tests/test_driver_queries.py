@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from labelqa.plans import driver_queries as dq
 from labelqa.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -38,11 +39,12 @@ def test_entry_smoke(spark):
     assert df.columns == entry.entry(spark).columns
 
 
-def test_every_query_but_one_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"apply_extractor"}
+def test_every_query_has_an_oracle():
+    assert set(dq.QUERIES) == set(dq.ORACLE)
+    assert set(dq.QUERIES) <= set(entry.queries()) and set(dq.ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(dq.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols, got = df.columns, [tuple(r) for r in df.collect()]

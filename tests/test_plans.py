@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from labelqa.plans import driver_queries as dq
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -15,7 +16,7 @@ def plan(spark, name):
 
 
 def test_no_cross_joins_or_row_udfs(spark):
-    for name in entry.queries():
+    for name in dq.QUERIES:
         p = plan(spark, name)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
         assert "BatchEvalPython" not in p, name          # no row-at-a-time Python UDF
@@ -46,7 +47,8 @@ def test_layout_windows_are_chunked(spark):
 
 def test_explicit_broadcast_only_for_the_fixed_registry(spark):
     """Hints appear only where the broadcast side is a fixed two-row table."""
-    for name, q in entry.queries().items():
+    for name in dq.QUERIES:
+        q = entry.queries()[name]
         logical = q(spark, SF)._jdf.queryExecution().logical().toString()
         hinted = "BROADCAST" in logical.upper() and "HINT" in logical.upper()
         assert hinted == (name == "work_remaining"), name

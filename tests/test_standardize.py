@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from labelqa.operators import standardize as S
@@ -61,8 +63,9 @@ def test_rejections(spark):
         {"ingredients_en": [{"value": 1}], "cautions_en": ["a", None]},
         {"registration_number": [{"type": "x"}], "density": "heavy"},
         {"instructions_fr": "not a list", "organizations": [None]},
-        {"guaranteed_analysis_en": {"is_minimal": "yes"}, "website": 1},
-        "[1, 2]", "{broken", '{"a": 1, "a": 2}',
+        {"guaranteed_analysis_en": {"is_minimal": "perhaps"}, "website": 1},
+        "[1, 2]", "{broken", '{"a": 1',
+        {"guaranteed_analysis_en": {"is_minimal": 2}}, {"guaranteed_analysis_en": {"is_minimal": []}},
     ])
 
     def issues(i):
@@ -75,7 +78,24 @@ def test_rejections(spark):
     assert issues(5) == [("guaranteed_analysis_en.is_minimal", "bool_type")]
     assert issues(6) == [("", "model_type")]
     assert issues(7) == [("", "invalid_json")] and issues(8) == [("", "invalid_json")]  # T27
-    assert all(got[i].record is None for i in range(9))
+    assert issues(9) == issues(10) == [("guaranteed_analysis_en.is_minimal", "bool_type")]
+    assert all(got[i].record is None for i in range(11))
+
+
+def test_lax_booleans_and_duplicate_keys(spark):
+    pydantic = pytest.importorskip("pydantic")
+    model = pydantic.create_model("M", is_minimal=(bool | None, None))
+    values = ["yes", "TRUE", "off", "0", "t", "maybe", "", 1, 0, 2, 1.0, 0.5, True, None, [], {}]
+    got = std(spark, [{"guaranteed_analysis_en": {"is_minimal": v}} for v in values])
+    for v, row in zip(values, [got[i] for i in range(len(values))], strict=True):
+        try:
+            want = model(is_minimal=v).is_minimal
+        except pydantic.ValidationError:
+            assert [x.loc for x in row._issues] == ["guaranteed_analysis_en.is_minimal"], v
+            continue
+        assert row._issues == [] and row.record.guaranteed_analysis_en.is_minimal == want, v
+    twice = std(spark, ['{"npk": "1-2-3", "npk": "4-5-6"}'])[0]         # T27: the last value counts
+    assert twice._issues == [] and twice.record.npk == "4-5-6"
 
 
 def test_rule_counts_and_split(spark):
