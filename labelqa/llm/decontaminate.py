@@ -12,8 +12,8 @@ The hash table of the benchmark is broadcast, never larger than
 ``block_words`` words: a larger benchmark is dealt out into blocks and the
 documents are read once for each. Documents are never shuffled.
 
-Defined cases: null or empty text has no leak, null or wordless items match
-nothing, an empty benchmark or table gives no leak; a null ``doc_id`` is
+Defined cases: null or empty text has no leak, null items and items of fewer than
+``LEAST_WORDS`` words match nothing, an empty benchmark or table gives no leak; a null ``doc_id`` is
 carried; repeated rows are each reported; extra columns stay untouched in
 ``clean_documents``. Whole texts of any length are scanned.
 """
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
+LEAST_WORDS = 5         # shorter items are common phrases and match nothing
 MASKS = ("11011000111", "1101001010011", "101100101101", "1111101")
 WORD_BYTES = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -49,14 +50,16 @@ class Seeds:
 
     def __init__(self, items: list[tuple[int, str]], masks=MASKS, identity: int = 80, min_words: int = 13):
         self.identity, self.min_words = identity, min_words
-        self.masks = [np.flatnonzero(np.frombuffer(m.encode(), np.uint8) == 49) for m in masks]
         self.vocabulary: dict[bytes, int] = {}
         self.items, self.ids = [], []
         for item, text in items:
             number = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text or "")]
-            if number:
+            if len(number) >= LEAST_WORDS:
                 self.ids.append(item)
                 self.items.append(np.array(number, np.int64))
+        # items shorter than every mask are looked up as a whole
+        sizes = {len(x) for x in self.items if len(x) < min(map(len, masks))}
+        self.masks = [np.flatnonzero(np.frombuffer(m.encode(), np.uint8) == 49) for m in (*masks, *("1" * n for n in sorted(sizes)))]
         keys, place = [np.empty(0, np.uint64)], [np.empty((0, 2), np.int64)]
         for n, words in enumerate(self.items):
             for mask in range(len(self.masks)):
@@ -70,8 +73,7 @@ class Seeds:
         self.known[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
     def hashes(self, words: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes under one mask and their starts; only of benchmark words.
-        An item shorter than the mask has one hash, of all its words."""
+        """Hashes under one mask and their starts; only of benchmark words."""
         offsets = self.masks[mask]
         n = len(words) - int(offsets[-1])
         if n < 1:

@@ -15,7 +15,8 @@ Targets are shares per value of a dimension; where none are given they are
 the value's words to the power ``flatten`` (below 1: large sources are damped).
 
 Defined cases: null source or language is a value of its own; null or empty
-text has no words and the topic ``general``; a null ``doc_id`` is decided by
+text has no words and the topic ``general``; a cell without any word has
+probability 0; a null ``doc_id`` is decided by
 the hash of the text; repeated rows get the same decision; an empty table
 gives an empty result; extra columns are not read.
 """

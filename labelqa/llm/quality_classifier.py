@@ -122,7 +122,7 @@ def train(measures: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     for name, part in (("pos", rows.where("quality = 1")), ("unl", rows.where("quality is null"))):
         part = part.select("x", F.xxhash64(F.lit(name), "doc_id").alias("at"))
         got = part.orderBy("at").limit(sample).toPandas()["x"]      # the fit's documented bound
-        sets[name] = np.array(got.tolist(), np.float64).reshape(len(got), -1)
+        sets[name] = np.array(got.tolist(), np.float64)
     pos, unl = sets["pos"], sets["unl"]
     if not len(pos) or not len(unl):
         return {"mean": [], "spread": [], "weights": [], "bias": 0.0, "prior": 0.5}

@@ -142,6 +142,10 @@ def thresholds(candidates: DataFrame, q: float = FALSE_DISCOVERIES) -> dict[str,
     return {r["stratum"]: r["bin"] for r in good.groupBy("stratum").agg(F.min("bin").alias("bin")).collect()}
 
 
+def _of_kind(found: Column, kind_no: int) -> Column:
+    return F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(kind_no).alias("kind_no"), x["end"].alias("end")))
+
+
 def scan(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
     """One row per document: ``doc_id`` and ``spans``, an array of
     ``struct<start, kind_no, end>`` in order (``KINDS`` names the kinds)."""
@@ -151,7 +155,7 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
     tokens = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     tested = F.transform(F.arrays_zip(spans(text, CANDIDATE).alias("at"), tokens.alias("token")),
                          lambda c: F.struct(c["at"]["start"].alias("start"), c["at"]["end"].alias("end"), battery(c["token"]).alias("b")))
-    fixed = F.concat(*(F.transform(s, lambda x, k=k: F.struct(x["start"].alias("start"), F.lit(k).alias("kind_no"), x["end"].alias("end"))) for k, s in enumerate(kinds)))
+    fixed = F.concat(*(_of_kind(s, k) for k, s in enumerate(kinds)))
     looked = rows.select("doc_id", F.array_sort(fixed).alias("fixed"), F.when(text.rlike(CANDIDATE), tested).alias("tested"))
     apart = F.filter("tested", lambda c: c["b"]["encoding"].isNotNull() & (c["b"]["encoding"] != "decimal"))
     apart = F.transform(apart, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), stratum(c["b"]["encoding"], c["b"]["n"]).alias("stratum"), p_bin(c["b"]["p"]).alias("bin"),
@@ -161,8 +165,7 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
     bound = F.create_map(*(F.lit(x) for pair in least.items() for x in pair)) if least else F.create_map().cast("map<string,int>")
     found = F.filter("tested", lambda c: c["random"] & (c["bin"] >= bound[c["stratum"]]))
     found = F.filter(found, lambda c: ~F.exists("fixed", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    found = F.transform(F.coalesce(found, F.array().cast("array<struct<start:int,end:int,stratum:string,bin:int,random:boolean>>")),
-                        lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind_no"), c["end"].alias("end")))
+    found = _of_kind(F.coalesce(found, F.array().cast("array<struct<start:int,end:int,stratum:string,bin:int,random:boolean>>")), KINDS.index("random"))
     return looked.select("doc_id", "fixed", F.array_sort(F.concat("fixed", found)).alias("spans"))
 
 
