@@ -92,16 +92,18 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, confidence: float = 0.05) -> f
 
 
 def _descend(size: int, gradient, steps: int, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Adam."""
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    """Adam with a falling rate; the mean of the second half of the path."""
+    w, m, v, total = (np.zeros(size) for _ in range(4))
     for k in range(1, steps + 1):
         g = gradient(w) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-    return w
+        w = w - rate * (1 - k / (steps + 1)) * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
+        if k > steps // 2:
+            total += w
+    return total / (steps - steps // 2)
 
 
-def fit_nonnegative(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 600) -> np.ndarray:
+def fit_nonnegative(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 1500) -> np.ndarray:
     """Minimises the non-negative risk with the logistic loss."""
     def gradient(w):
         p, u = _sigmoid(pos @ w), _sigmoid(unl @ w)
