@@ -345,6 +345,12 @@ def accepted(std: DataFrame) -> DataFrame:
     return std.filter(F.size("_issues") == 0)
 
 
+def issue_text(issues: str = "_issues") -> Column:
+    """``loc: kind`` of every issue, sorted and joined; null without issues."""
+    each = F.transform(issues, lambda x: F.concat_ws(": ", F.nullif(x["loc"], F.lit("")), x["kind"]))
+    return F.when(F.size(issues) > 0, F.array_join(F.array_sort(each), "; "))
+
+
 def generic_loc(loc: Column) -> Column:
     """``weight[3].unit`` -> ``weight[].unit``: counts per rule, not per index."""
     return F.regexp_replace(loc, r"\[[0-9]+\]", "[]")
