@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from ..functions import phone, rules
 from ..schema import INSPECTION, ISSUE
 
-NUMERIC = ["tinyint", "smallint", "int", "bigint", "decimal", "double", "float"]
+# kinds of scalars: the first three letters of the engine's type names
+STRING, BOOLEAN = "STR", "BOO"
+NUMERIC = ["TIN", "SMA", "INT", "BIG", "DEC", "DOU", "FLO"]
 ISSUES_T = f"array<{ISSUE.simpleString()}>"
 
 # Sub-fields of the nested models: (name, conversion, required key, non-null).
@@ -85,13 +87,13 @@ TRUE_TEXTS, FALSE_TEXTS = ("1", "on", "t", "true", "y", "yes"), ("0", "off", "f"
 def lax_boolean(x: Column, k: Column) -> Column:
     """A boolean, a text or a number that stands for one; null otherwise."""
     text, number = F.lower(F.try_variant_get(x, "$", "string")), F.try_variant_get(x, "$", "double")
-    return (F.when(k == "boolean", F.try_variant_get(x, "$", "boolean"))
-            .when((k == "string") & text.isin(*TRUE_TEXTS), True).when((k == "string") & text.isin(*FALSE_TEXTS), False)
-            .when(k.isin("bigint", "decimal", "double") & (number == 1), True)
-            .when(k.isin("bigint", "decimal", "double") & (number == 0), False))
+    return (F.when(k == BOOLEAN, F.try_variant_get(x, "$", "boolean"))
+            .when((k == STRING) & text.isin(*TRUE_TEXTS), True).when((k == STRING) & text.isin(*FALSE_TEXTS), False)
+            .when(k.isin(*NUMERIC) & (number == 1), True)
+            .when(k.isin(*NUMERIC) & (number == 0), False))
 
 def kind(x: Column, obj: Column | None = None, arr: Column | None = None) -> Column:
-    """'absent', 'null', 'object', 'array' or the variant scalar type name.
+    """'absent', 'null', 'object', 'array' or three letters of the scalar type's name.
 
     ``obj``/``arr`` are the object / array probes of ``x`` when known, so the
     type name is only computed for scalars (cheap).
@@ -101,8 +103,7 @@ def kind(x: Column, obj: Column | None = None, arr: Column | None = None) -> Col
         c = c.when(obj.isNotNull(), F.lit("object"))
     if arr is not None:
         c = c.when(arr.isNotNull(), F.lit("array"))
-    name = F.substring_index(F.substring_index(F.schema_of_variant(x), "<", 1), "(", 1)
-    return c.otherwise(F.lower(name))
+    return c.otherwise(F.substring(F.schema_of_variant(x), 1, 3))
 
 
 def _empty() -> Column:
@@ -148,13 +149,13 @@ def cat(*parts: Issues) -> Issues:
 
 
 def str_val(x: Column, k: Column) -> Column:
-    return F.when(k == "string", F.try_variant_get(x, "$", "string"))
+    return F.when(k == STRING, F.try_variant_get(x, "$", "string"))
 
 
 def num_val(x: Column, k: Column) -> Column:
     """Bool -> null; JSON number -> itself; string -> first number; else null."""
     return (F.when(k.isin(*NUMERIC), F.try_variant_get(x, "$", "double"))
-            .when(k == "string", rules.number_from_string(F.try_variant_get(x, "$", "string"))))
+            .when(k == STRING, rules.number_from_string(F.try_variant_get(x, "$", "string"))))
 
 
 def _convert(conv: str, x: Column, k: Column) -> Column:
@@ -171,7 +172,7 @@ def _leaf_issues(conv: str, required: bool, nonnull: bool, k: Column, loc: Colum
     if required:
         parts.append(issue(k == "absent", loc, "missing"))
     if conv not in ("num", "enum"):
-        ok = ["string", "absent"] if nonnull else ["string", "null", "absent"]
+        ok = [STRING, "absent"] if nonnull else [STRING, "null", "absent"]
         parts.append(issue(~k.isin(*ok), loc, "string_type"))
     return cat(*parts)
 

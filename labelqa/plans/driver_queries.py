@@ -308,7 +308,13 @@ def registration_validate(spark, sf):
                     rules.registration_type("raw_type").alias("type"))
 
 
-PHONE_CANDIDATE_RE = extract.PHONE_FIND_RE
+# The same fields for an engine without look-around: the neighbours are part
+# of the match and group 1 is the field.
+_PHONE_FIND_SQL = (r"(?:^|[^0-9A-Za-z+(\-])((?:\+?1[ .\-]?)?\(?[0-9]{3}\)?[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
+                   r"|\+[0-9]+(?:[ .\-]?\(?[0-9]+\)?)*)\b")
+_REGISTRATION_FIND_SQL = r"(?:^|[^0-9A-Za-z])([0-9]{7}[A-Z])(?:$|[^0-9A-Za-z])"
+_GRADE_FIND_SQL = (r"(?:^|[^0-9A-Za-z.\-])([0-9]{1,3}(?:\.[0-9]+)?-[0-9]{1,3}(?:\.[0-9]+)?-[0-9]{1,3}(?:\.[0-9]+)?)"
+                   r"(?:$|[^0-9A-Za-z\-])")
 
 
 def _phone_sql(col: str) -> str:
@@ -330,7 +336,7 @@ def _customer_phone(k="c_custkey", n="c_nationkey"):
 
 
 @register("phone_standardize", f"""
-WITH c AS (SELECT doc_id, regexp_extract_all(text, '{PHONE_CANDIDATE_RE}', 1) AS arr FROM documents),
+WITH c AS (SELECT doc_id, regexp_extract_all(text, '{_PHONE_FIND_SQL}', 1) AS arr FROM documents),
 cand AS (
   SELECT 'documents' AS src, doc_id AS id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos,
          unnest(arr) AS raw
@@ -343,7 +349,7 @@ def phone_standardize(spark, sf):
     # candidates keep their position in the text: narrow, no grouping shuffle
     docs = table(spark, sf, "documents").select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-        F.posexplode(F.regexp_extract_all("text", F.lit(PHONE_CANDIDATE_RE), 1)).alias("pos", "raw"))
+        F.posexplode(F.regexp_extract_all("text", F.lit(extract.PHONE_FIND_RE), 0)).alias("pos", "raw"))
     cust = table(spark, sf, "customer").select(
         F.lit("customer").alias("src"), F.col("c_custkey").alias("id"), F.lit(0).alias("pos"),
         F.expr(_customer_phone().replace("VARCHAR", "STRING")).alias("raw"))
@@ -614,10 +620,10 @@ def _pattern_sql() -> str:
     def first(t, pat, g=0):
         return f"nullif(regexp_extract({t}, '{pat}', {g}), '')"
 
-    reg = first("t", X.REGISTRATION_FIND_RE, 1)
-    grade = first("t", X.GRADE_FIND_RE, 1)
+    reg = first("t", _REGISTRATION_FIND_SQL, 1)
+    grade = first("t", _GRADE_FIND_SQL, 1)
     site = first("t", X.WEBSITE_RE)
-    ph = first("t", X.PHONE_FIND_RE, 1)
+    ph = first("t", _PHONE_FIND_SQL, 1)
     fields = f"""
       CASE WHEN regexp_full_match({reg}, '[0-9]{{7}}[A-Z]') THEN {reg} END AS registration,
       CASE WHEN regexp_full_match({grade}, '[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?-[0-9]+(\\.[0-9]+)?')
