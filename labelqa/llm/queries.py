@@ -41,7 +41,8 @@ def op6_training_order(spark, sf_dir):
 
 
 def op7_mixing(spark, sf_dir):
-    return mixing.mixture(documents(ready(spark), sf_dir))
+    # by the formula of its SQL; the pipeline takes the capped raking
+    return mixing.mixture(documents(ready(spark), sf_dir), chances=mixing.probabilities)
 
 
 def op8_chat_format(spark, sf_dir):

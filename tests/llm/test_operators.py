@@ -314,6 +314,23 @@ def test_mixture_on_awkward_rows(spark, awkward, empty):
     assert mixing.sampled_documents(empty, rounds=1).count() == 0
 
 
+def test_cut_mass_goes_to_the_other_cells(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 10), ("a", "fr", "x", 100), (None, "en", "x", 500), (None, "fr", "x", 390)], "source string, lang string, topic string, words long")
+
+    def targets(**goal):
+        return {d: spark.createDataFrame(list(v.items()), f"{d} string, share double") for d, v in goal.items()}
+
+    goal = {"source": {"a": .16, None: .84}, "lang": {"en": .6, "fr": .4}, "topic": {"x": 1.0}}
+    p = {tuple(r)[:2]: r.p for r in mixing.capped_probabilities(cells, 0.5, targets=targets(**goal), rounds=12, tolerance=1e-5).collect()}
+    # the first cell has 10 words and would be asked for more; the rest follows from the targets
+    assert p == pytest.approx({("a", "en"): 1.0, ("a", "fr"): .7, (None, "en"): .58, (None, "fr"): 130 / 390}, abs=1e-3)
+    # half of the budget is more than a source has: it is taken whole and the other fills the budget
+    goal["source"] = {"a": .5, None: .5}
+    got = {(r.dim, r.value): r for r in mixing.reached_shares(cells, 0.5, targets=targets(**goal), rounds=12, tolerance=1e-5).collect()}
+    assert got["source", "a"].target == .5
+    assert {v: got["source", v].reached for v in ("a", None)} == pytest.approx({"a": .22, None: .78}, abs=1e-3)
+
+
 # ------------------------------------------------------------------ 8
 
 def rendered(template, **names):
