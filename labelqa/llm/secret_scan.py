@@ -1,16 +1,26 @@
 """Secret scans: fixed patterns, and a randomness battery over long tokens.
 
 DataFrame functions only. The patterns give spans of known kinds. Every other
-run of 20 or more token characters is a candidate for the battery: its
-encoding is inferred (hex, base32, base64, URL-safe base64, alphanumeric), and
-three tests ask whether it looks drawn at random from that alphabet:
+run of 20 or more token characters is a candidate for the battery: runs end at
+an inner ``=``, and one that mixes the signs of base64 (+ /) and of its URL-safe
+form (_ -) gives its parts of 20 or more under either alphabet. The encoding is
+inferred (decimal, hex, base32, base64, URL-safe base64, alphanumeric), and
+tests ask whether the token looks drawn at random from that alphabet:
 chi-squared uniformity, Wald-Wolfowitz runs (values below and above the middle
-of the alphabet) and lag-one serial correlation. The p-value of a candidate is
-the chance that an ordinary string of that length (letter coincidence of
-natural text) would be as uniform; it shrinks with the length. Discoveries are
-controlled by Benjamini-Hochberg within each (encoding, length class), over all
-candidates of the corpus, from counts in bins of -log10 p: a table of fixed
-size however large the corpus.
+of the alphabet), lag-one serial correlation, and no stretch of 5 to 64
+characters that is repeated at once.
+
+The p-value is the chance that an ordinary string of that encoding and length
+would look as random. Ordinary strings spell words: their letters have the
+frequencies of natural text (over the letters of the encoding, upper and lower
+case alike), and words and numbers follow each other without much change
+between capitalized words, capitals, digits and signs. Both scores are
+joined. Ordinary decimals (dates, counters, padded numbers) have no letters;
+their digits agree by ``ORDINARY_DIGITS``, which at 20 to about 27 digits is too
+close to chance to tell (32 and more are found by the pattern of ``hex``).
+Discoveries are controlled by Benjamini-Hochberg within
+each (encoding, length class), over all candidates of the corpus, from counts
+in bins of -log10 p: a table of fixed size however large the corpus.
 
 Defined cases: null text is the empty text and has no spans; a null ``doc_id``
 is carried; repeated rows are scanned one by one (and counted as often among
@@ -32,15 +42,21 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"       # the runs of 16 characters or more
 HEX = r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Candidates: runs over base64 and over its URL-safe form, with their padding.
+CANDIDATES = tuple(rf"[A-Za-z0-9{signs}]{{20,}}(?:=+(?![A-Za-z0-9+/_=-]))?" for signs in ("+/", "_-"))
 
 #: Encodings: name, pattern, alphabet; the first that fits is taken.
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (("decimal", r"^[0-9]+$", DIGITS), ("hex", r"^[0-9a-f]+$", DIGITS + "abcdef"), ("HEX", r"^[0-9A-F]+$", DIGITS + "ABCDEF"),
              ("base32", r"^[A-Z2-7]+=*$", UPPER + "234567"), ("alnum", r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
              ("base64", r"^[A-Za-z0-9+/]+=*$", UPPER + LOWER + DIGITS + "+/"), ("base64url", r"^[A-Za-z0-9_-]+=*$", UPPER + LOWER + DIGITS + "-_"))
-#: Chance that two characters of an ordinary string agree, at the least.
-ORDINARY = 0.065
+#: Letters in per mille of natural text: mean of English, German, French and Spanish.
+LETTERS = dict(zip(LOWER, (92, 14, 32, 46, 151, 13, 17, 24, 73, 4, 5, 48, 27, 78, 61, 21, 6, 66, 72, 73, 44, 11, 8, 3, 6, 5), strict=True))
+#: Changes between words, numbers and signs per character, and chance that two digits agree, of ordinary strings.
+ORDINARY_TURNS, ORDINARY_DIGITS = 0.15, 0.2
+#: Letters of a text depend on each other; variances are that much larger than of independent ones.
+DISPERSION = 2.0
+PIECES, REPEATED = r"[A-Z]*[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+", r"(.{5,64})\1"
 FALSE_DISCOVERIES, RANDOM_Z, BINS = 0.01, 4.0, 240
 
 
@@ -81,8 +97,38 @@ def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.size(values)
 
 
+def _spelt(core: Column, letters: str) -> Column:
+    """How far the letters lie from those of natural text (standard score, below
+    0 for rarer letters); null without letters."""
+    all_of = sum(LETTERS[c] for c in letters)
+    share = {c: LETTERS[c] / all_of for c in letters}
+    score = {c: math.log(max(share[c] * len(letters), 0.1)) for c in letters}
+    mean = sum(share[c] * score[c] for c in letters)
+    spread = sum(share[c] * (score[c] - mean) ** 2 for c in letters) * DISPERSION
+
+    def of(low):
+        held = {c: F.length(low) - F.length(F.replace(low, F.lit(c), F.lit(""))) for c in letters}
+        n = sum(held.values(), F.lit(0)).cast("double")
+        return (sum((held[c] * score[c] for c in letters), F.lit(0.0)) - n * mean) / F.sqrt(F.nullif(n, F.lit(0.0)) * spread)
+
+    return _let(F.lower(core), of)
+
+
+def ordinary_z(encoding: Column, core: Column, chi: Column) -> Column:
+    """Standard score of a token among ordinary strings; far below 0 if it looks random."""
+    n = F.length(core).cast("double")
+    spelt = F.when(encoding.isin("hex", "HEX"), _spelt(core, "abcdef")).otherwise(_spelt(core, LOWER))
+    steps = n - 1
+    turns = F.regexp_count(core, F.lit(PIECES)) - 1
+    even = (steps * ORDINARY_TURNS - turns) / F.sqrt(steps * (ORDINARY_TURNS * (1 - ORDINARY_TURNS) * DISPERSION))
+    far = n * (len(DIGITS) * ORDINARY_DIGITS - 1)      # what an ordinary number adds to chi-squared
+    k = len(DIGITS) - 1
+    digits = (chi - k - far) / F.sqrt(2 * k + 4 * far)
+    return F.when(encoding == "decimal", digits).otherwise((F.coalesce(spelt, F.lit(0.0)) + even) / math.sqrt(2))
+
+
 def battery(token: Column) -> Column:
-    """``struct<encoding, n, p, z_chi, z_runs, z_serial>``; encoding null if none fits."""
+    """``struct<encoding, n, p, z_chi, z_runs, z_serial, repeats>``; encoding null if none fits."""
     name, alphabet = F.lit(None).cast("string"), F.lit("")
     for label, pattern, letters in reversed(ENCODINGS):
         fits = token.rlike(pattern)
@@ -109,10 +155,10 @@ def battery(token: Column) -> Column:
             return F.struct(((turns - expected) / spread).alias("runs"), _let(_mean(v), serial).alias("serial"))
 
         def result(y):
-            far = n * (k * ORDINARY - 1)        # what an ordinary string adds to chi-squared
-            z = (y["chi"] - (k - 1) - far) / F.sqrt(2 * (k - 1) + 4 * far)
+            z = ordinary_z(x["name"], core, y["chi"])
             return F.struct(x["name"].alias("encoding"), F.length(core).alias("n"), F.greatest(normal_cdf(z), F.lit(1e-24)).alias("p"),
-                            ((y["chi"] - (k - 1)) / F.sqrt(2 * (k - 1))).alias("z_chi"), y["order"]["runs"].alias("z_runs"), y["order"]["serial"].alias("z_serial"))
+                            ((y["chi"] - (k - 1)) / F.sqrt(2 * (k - 1))).alias("z_chi"), y["order"]["runs"].alias("z_runs"), y["order"]["serial"].alias("z_serial"),
+                            core.rlike(REPEATED).alias("repeats"))
 
         return _let(F.struct(chi.alias("chi"), _let(values, order).alias("order")), result)
 
@@ -152,14 +198,19 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
     text = F.col("text")
     rows = docs.select("doc_id", text_of().alias("text"))
     kinds = [spans(text, ASSIGN, 2, 8), spans(text, ACCESS), spans(text, HEX)]
-    tokens = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    tested = F.transform(F.arrays_zip(spans(text, CANDIDATE).alias("at"), tokens.alias("token")),
-                         lambda c: F.struct(c["at"]["start"].alias("start"), c["at"]["end"].alias("end"), battery(c["token"]).alias("b")))
+    runs = [F.when(text.rlike(c), F.zip_with(spans(text, c), F.regexp_extract_all(text, F.lit(c), F.lit(0)), lambda at, token: F.struct(at["start"].alias("start"), at["end"].alias("end"), token.alias("token"))))
+            .otherwise(F.array().cast("array<struct<start:int,end:int,token:string>>")) for c in CANDIDATES]
+    # a part that lies in a longer one is not a candidate of its own
+    plain, safe = F.col("plain"), F.col("safe")
+    plain = F.filter(plain, lambda c: ~F.exists("safe", lambda d: (d["start"] <= c["start"]) & (c["end"] <= d["end"]) & ((d["start"] < c["start"]) | (c["end"] < d["end"]))))
+    safe = F.filter(safe, lambda c: ~F.exists("plain", lambda d: (d["start"] <= c["start"]) & (c["end"] <= d["end"])))
     fixed = F.concat(*(_of_kind(s, k) for k, s in enumerate(kinds)))
-    looked = rows.select("doc_id", F.array_sort(fixed).alias("fixed"), F.when(text.rlike(CANDIDATE), tested).alias("tested"))
-    apart = F.filter("tested", lambda c: c["b"]["encoding"].isNotNull() & (c["b"]["encoding"] != "decimal"))
+    looked = rows.select("doc_id", F.array_sort(fixed).alias("fixed"), runs[0].alias("plain"), runs[1].alias("safe"))
+    tested = F.transform(F.concat(plain, safe), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), battery(c["token"]).alias("b")))
+    looked = looked.select("doc_id", "fixed", F.when(F.size(F.concat("plain", "safe")) > 0, tested).alias("tested"))
+    apart = F.filter("tested", lambda c: c["b"]["encoding"].isNotNull())
     apart = F.transform(apart, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), stratum(c["b"]["encoding"], c["b"]["n"]).alias("stratum"), p_bin(c["b"]["p"]).alias("bin"),
-                                                  (F.greatest(c["b"]["z_chi"], F.abs(c["b"]["z_runs"]), F.abs(c["b"]["z_serial"])) <= RANDOM_Z).alias("random")))
+                                                  ((F.greatest(c["b"]["z_chi"], F.abs(c["b"]["z_runs"]), F.abs(c["b"]["z_serial"])) <= RANDOM_Z) & ~c["b"]["repeats"]).alias("random")))
     looked = store(looked.select("doc_id", "fixed", apart.alias("tested")), "secrets")
     least = thresholds(looked.select(F.explode("tested").alias("c")).select("c.stratum", "c.bin"), q)
     bound = F.create_map(*(F.lit(x) for pair in least.items() for x in pair)) if least else F.create_map().cast("map<string,int>")

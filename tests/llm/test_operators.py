@@ -165,6 +165,27 @@ def test_secrets_base_and_random(spark, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("encoding, size, least", [("hex", 24, .8), ("hex", 31, .8), ("HEX", 24, .8), ("HEX", 40, .9), ("HEX", 64, .9), ("base32", 24, .8), ("base32", 40, .9),
+                                                   ("alnum", 24, .8), ("base64", 40, .9), ("base64url", 40, .9)])
+def test_planted_keys_by_encoding_and_length(spark, encoding, size, least):
+    rng = random.Random(f"{encoding}{size}")
+    letters = next(a for n, _, a in secret_scan.ENCODINGS if n == encoding)
+    ordinary = ["therefore" * 3, "INTERNATIONALIZATIONS", "getHttpResponseCodeForUser", "deadbeef" * 3, "0123456789" * 3, "20240115093000000012", "chpfheitschverheiten", "IMG20240115093000000", "0" * 25, "-" * 40]
+    rows = [(i, f"see {''.join(rng.choice(letters) for _ in range(size))} here") for i in range(40)] + [(100 + i, f"see {w} here") for i, w in enumerate(ordinary)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind_no == 3] for r in secret_scan.scan(frame(spark, rows)).collect()}
+    assert sum(got[i] == [(4, 4 + size)] for i in range(40)) >= 40 * least
+    assert not any(got[100 + i] for i in range(len(ordinary)))
+
+
+def test_keys_glued_to_other_text(spark):
+    rng = random.Random(11)
+    keys = ["".join(rng.choice(secret_scan.UPPER + secret_scan.LOWER + secret_scan.DIGITS) for _ in range(40)) for _ in range(4)]
+    texts = [f"AWS_KEY={keys[0]}", f"{keys[1]}={keys[2]}", f"a/b_c+{keys[3]}", f"sig={keys[0]}=="]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind_no == 3] for r in secret_scan.scan(frame(spark, list(enumerate(texts)))).collect()}
+    assert got[0] == [(8, 48)] and got[1] == [(0, 40), (41, 81)] and got[3] == [(4, 46)]
+    assert any(a <= 6 and b == 46 for a, b in got[2])
+
+
 # ------------------------------------------------------------------ 4
 
 def brute_simhash(text):
