@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, quality_classifier, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_output, warc
+from . import chat_format, decontaminate, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_output, warc
 from .common import documents, ready, text_of
 
 
@@ -61,8 +61,13 @@ def op10_decontaminate(spark, sf_dir):
     return found.withColumn("contaminated", F.lit(True))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.numbered(prefix_trie.turn_marks(documents(ready(spark), sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_secret_scan, op4_simhash_dedup, op5_warc, op6_training_order, op7_mixing,
-                                      op8_chat_format, op9_quality_classifier, op10_decontaminate)}
+                                      op8_chat_format, op9_quality_classifier, op10_decontaminate, op11_prefix_trie)}
 
 
 def _base_sql() -> str:
@@ -110,9 +115,40 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role||chr(10)||text||chr(
  sum(len('<|turn|>')+len({escaped('role')})+len('<|text|>')+len({escaped('text')})+len('</s>')+1)::bigint as formatted_chars from c group by conv_id"""
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII or UTF-8 text as SQL, eight shifts a byte."""
+    octets = f"list_transform(string_split(regexp_replace(hex(encode({text})),'(..)','\\1 ','g'),' ')[:-2], lambda h: ('0x'||h)::bigint)"
+    step = "xor(a >> 1, 3988292384 * (a & 1))"
+    eight = f"list_reduce(list_concat([xor(c, b)], range(8)), lambda a, i: {step})"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {octets}), lambda c, b: {eight}), 4294967295)"
+
+
+def _trie_sql() -> str:
+    """The trie with the joined MD5s of a prefix's turns as its key."""
+    return f"""with t as (select conv_id as c, coalesce(text,'') as text, md5(strlen(coalesce(role,''))||':'||coalesce(role,'')||coalesce(text,'')) as m, turn
+  from conversations where conv_id is not null),
+o as (select c, m, len(regexp_extract_all(text,'[^\x20\x09-\x0D]+')) as words, row_number() over (partition by c order by turn nulls first, m) - 1 as pos from t),
+s as (select c, count(*) as n, {crc32_sql("c::varchar")} % 4 as h from o group by c),
+v as (select s.c, s.h, s.c - s.c % 20 as base, least(s.h, coalesce(b.n, 0)) as taken from s left join s b on b.c = s.c - s.c % 20),
+r as (select v.c, pos + 1 as depth, m, words from v join o on o.c = v.base and o.pos < v.h
+  union all select v.c, pos - h + taken + 1, m, words from v join o on o.c = v.c and pos >= h),
+p as (select c, depth, words, string_agg(m, '') over (partition by c order by depth rows unbounded preceding) as k,
+  lead(depth) over (partition by c order by depth) is null as final from r
+  union all select c, 0, 0, '', not exists (select 1 from r where r.c = v.c) from v),
+g as (select k, depth, min(c) as conv_id, count(*) as n, min(words) as words, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where final), '')) as ends from p group by k, depth),
+kids as (select left(k, 32*(depth-1)) as k, depth-1 as depth, count(*) as n_children from g where depth > 0 group by all),
+f as (select g.*, coalesce(n_children, 0) as n_children from g left join kids using (k, depth)),
+u as (select left(k, 32*d) as k, d as depth, (n_children = 0)::int as leaf, (n-1)*words as saved from (select *, unnest(range(depth+1)) as d from f)),
+w as (select k, depth, sum(leaf) as n_leaves, sum(saved) as saved_tokens from u group by all)
+select f.conv_id::bigint as conv_id, f.depth::bigint as depth, q.conv_id::bigint as parent_conv_id, f.n::bigint as n_convs, f.n_children::bigint as n_children,
+ w.n_leaves::bigint as n_leaves, w.saved_tokens::bigint as saved_tokens, f.ends as ends_sha256
+from f join w using (k, depth) left join g q on q.k = left(f.k, 32*(f.depth-1)) and q.depth = f.depth - 1"""
+
+
 ORACLE = {
     "op1_quality_rules": _base_sql(),
     "op5_warc": WARC_SQL,
     "op7_mixing": mixing.mixture_sql(),
     "op8_chat_format": _chat_sql(),
+    "op11_prefix_trie": _trie_sql(),
 }
