@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_output, warc
+from . import chat_format, decontaminate, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, spelling_variants, suffix_dedup, token_output, warc
 from .common import documents, ready, text_of
 
 
@@ -66,8 +66,14 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    found = spelling_variants.runs(documents(ready(spark), sf_dir))
+    return spelling_variants.variants(spelling_variants.vocabulary(spelling_variants.slipped(found)))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_secret_scan, op4_simhash_dedup, op5_warc, op6_training_order, op7_mixing,
-                                      op8_chat_format, op9_quality_classifier, op10_decontaminate, op11_prefix_trie)}
+                                      op8_chat_format, op9_quality_classifier, op10_decontaminate, op11_prefix_trie,
+                                   op12_spelling_variants)}
 
 
 def _base_sql() -> str:
@@ -145,10 +151,30 @@ select f.conv_id::bigint as conv_id, f.depth::bigint as depth, q.conv_id::bigint
 from f join w using (k, depth) left join g q on q.k = left(f.k, 32*(f.depth-1)) and q.depth = f.depth - 1"""
 
 
+def _variants_sql() -> str:
+    """Near words by the words that one deletion leaves; roots by recursion."""
+    return f"""with recursive r as (select coalesce(doc_id::varchar,'') as id, unnest(regexp_extract_all(text,'[A-Za-zÀ-ÿ]{{6,}}')) as raw from documents),
+l as (select id, translate(raw,'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz') as w, count(*) as n from r group by all),
+h as (select w, n, {crc32_sql("id||':'||w")} as h from l),
+s as (select case when h % 199 = 0 then left(w, (h % length(w))::int)||substr(w, (h % length(w))::int + 2) else w end as word, n from h),
+v as (select word, sum(n)::bigint as n from s where length(word) >= 6 group by word having sum(n) >= 5),
+d as (select word, n, i, left(word, i)||substr(word, i+2) as rest from (select *, unnest(range(length(word))) as i from v)),
+e as (select distinct a.word, b.word as near, b.n as m from d a join d b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select d.word, v.word, v.n from d join v on v.word = d.rest union select v.word, d.word, d.n from d join v on v.word = d.rest),
+g as (select word, count(*) as n_near, max(m) as best_n from e group by word),
+b as (select e.word, min(near) as best from e join g on g.word = e.word and e.m = g.best_n group by e.word),
+f as (select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when best_n >= 5*v.n then best end as form, case when best_n >= 5*v.n then best_n end as form_n
+  from v left join g using (word) left join b using (word)),
+t as (select word, word as root, 0 as steps from f union all select t.word, f.form, steps + 1 from t join f on f.word = t.root where f.form is not null),
+z as (select word, arg_max(root, steps) as root from t group by word)
+select word, form, root, n, n_near, form_n::bigint as form_n from f join z using (word)"""
+
+
 ORACLE = {
     "op1_quality_rules": _base_sql(),
     "op5_warc": WARC_SQL,
     "op7_mixing": mixing.mixture_sql(),
     "op8_chat_format": _chat_sql(),
     "op11_prefix_trie": _trie_sql(),
+    "op12_spelling_variants": _variants_sql(),
 }

@@ -10,7 +10,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from labelqa.llm import prefix_trie, queries
+from labelqa.llm import prefix_trie, queries, spelling_variants
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -129,3 +129,89 @@ def test_end_digests_split_long_lists(spark):
 @needs_tables
 def test_trie_sql(spark):
     same_as_sql(spark, "op11_prefix_trie", ["conversations"])
+
+
+# ------------------------------------------------------------------ 12
+
+VOCAB = "word string, n long, cell long, slot long, best string, root string"
+
+
+def edited(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def brute_variants(vocab):
+    near = {w: [v for v in vocab if abs(len(v) - len(w)) < 2 and edited(w, v)] for w in vocab}
+    form = {}
+    for w, n in vocab.items():
+        best = min(near[w], key=lambda v: (-vocab[v], v), default=None)
+        form[w] = best if best is not None and vocab[best] >= 5 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return sorted(((w, form[w], root(w), vocab[w], len(near[w]), None if form[w] is None else vocab[form[w]]) for w in vocab), key=repr)
+
+
+def some_words(seed, alphabet="abcé", sizes=(6, 9), many=250):
+    rng = random.Random(seed)
+    out = {}
+    while len(out) < many:
+        w = "".join(rng.choice(alphabet) for _ in range(rng.randint(*sizes)))
+        out[w] = 5 ** rng.randint(1, 6) + rng.randint(0, 1)
+        if rng.random() < 0.5:
+            i = rng.randrange(len(w))
+            out[w[:i] + rng.choice(alphabet) + w[i + rng.randint(0, 1):]] = rng.choice([5, 26, 130])
+    return out
+
+
+def variants_of(spark, vocab, **sizes):
+    df = spark.createDataFrame([(w, n, 1, 2, "x", "y") for w, n in vocab.items()], VOCAB)
+    return sorted(map(tuple, spelling_variants.variants(df, **sizes).collect()), key=repr)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"cell": 8}, {"cell": 8, "sample": 40}, {"cell": 1, "held": 30}])
+def test_variants_equal_brute_force(spark, sizes, monkeypatch):
+    monkeypatch.setattr(spelling_variants, "LEAF", 4)
+    vocab = some_words(len(sizes)) | {"x" * 70: 6, "x" * 69: 40, "x" * 69 + "y": 900, "zz" * 40_000: 5, "zz" * 40_000 + "z": 50}
+    vocab |= {w: 5 + i for i, w in enumerate(["abccba", "bacabc", "cabcab", "aabbcc"])}      # one vector, many orders
+    assert variants_of(spark, vocab, **sizes) == brute_variants(vocab)
+
+
+def test_variants_chain_and_ties(spark):
+    vocab = {"aaaaaa": 5, "aaaaab": 25, "aaaabb": 125, "aaabbb": 625, "caaaaa": 25, "lonely": 9}
+    rows = {r[0]: r[1:] for r in variants_of(spark, vocab)}
+    assert rows["aaaaaa"][:2] == ("aaaaab", "aaabbb")
+    assert rows["caaaaa"] == (None, "caaaaa", 25, 1, None)
+    assert rows["lonely"] == (None, "lonely", 9, 0, None)
+
+
+def test_vocabulary_of_awkward_documents(spark):
+    docs = [(1, None), (None, "Straße ÉTÉxyz"), (2, ""), (3, "AbCdEf-abcdef ×ab÷cdé short"), (3, "AbCdEf-abcdef ×ab÷cdé short"), (4, "w" * 100_000), (5, "abcdef\U0001d4b3abcdef ĀbcdefĀ")]
+    docs += [(100 + i, "gargantuan") for i in range(600)]
+    df = spark.createDataFrame([(*d, "x", "y") for d in docs], "doc_id long, text string, id string, run string")
+    found = spelling_variants.vocabulary(spelling_variants.slipped(spelling_variants.runs(df)), least=1)
+    want = defaultdict(int)
+    for doc, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            at = h % len(run)
+            word = run[:at] + run[at + 1:] if h % 199 == 0 else run
+            if len(word) >= 6:
+                want[word] += 1
+    assert {r["word"]: r["n"] for r in found.collect()} == want
+    assert len([w for w in want if w.startswith("garg") or len(w) == 9]) > 1       # some runs did slip
+
+
+def test_variants_without_words(spark):
+    assert variants_of(spark, {}) == []
+
+
+@needs_tables
+def test_variants_sql(spark):
+    same_as_sql(spark, "op12_spelling_variants", ["documents"])
