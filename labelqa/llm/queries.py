@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, spelling_variants, suffix_dedup, token_output, warc
+from . import chat_format, decontaminate, jaccard_join, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, spelling_variants, suffix_dedup, token_output, warc
 from .common import documents, ready, text_of
 
 
@@ -71,9 +71,14 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling_variants.variants(spelling_variants.vocabulary(spelling_variants.slipped(found)))
 
 
+def op13_jaccard_join(spark, sf_dir):
+    rows = jaccard_join.jaccard_components(documents(ready(spark), sf_dir))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_secret_scan, op4_simhash_dedup, op5_warc, op6_training_order, op7_mixing,
                                       op8_chat_format, op9_quality_classifier, op10_decontaminate, op11_prefix_trie,
-                                   op12_spelling_variants)}
+                                   op12_spelling_variants, op13_jaccard_join)}
 
 
 def _base_sql() -> str:

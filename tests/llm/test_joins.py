@@ -10,7 +10,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from labelqa.llm import prefix_trie, queries, spelling_variants
+from labelqa.llm import jaccard_join, prefix_trie, queries, spelling_variants
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -215,3 +215,91 @@ def test_variants_without_words(spark):
 @needs_tables
 def test_variants_sql(spark):
     same_as_sql(spark, "op12_spelling_variants", ["documents"])
+
+
+# ------------------------------------------------------------------ 13
+
+PAPER = "doc_id long, text string, n long, d1 long, root string, nid string, key string, raw string"
+
+
+def brute_jaccard(docs, size=3, share=(9, 10)):
+    def grams(text):
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = WORD.findall(words)
+        return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+    sets = [grams(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and share[1] * len(a & b) >= share[0] * len(a | b):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    groups = defaultdict(list)
+    for i in range(len(docs)):
+        groups[top(i)].append(docs[i][0])
+    out = []
+    for i, (doc, _) in enumerate(docs):
+        ids = [d for d in groups[top(i)] if d is not None]
+        out.append((doc, len(sets[i]), doc if not sets[i] else min(ids, default=None)))
+    return sorted(out, key=repr)
+
+
+def joined(spark, docs, **kw):
+    df = spark.createDataFrame([(*d, 1, 2, "x", "y", "z", "w") for d in docs], PAPER)
+    return sorted(map(tuple, jaccard_join.jaccard_components(df, **kw).collect()), key=repr)
+
+
+def papers(seed, families=6, copies=14, words=(4, 90)):
+    """Families of copies with a few words replaced, around the threshold."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    footer = " ".join(rng.choice(vocabulary) for _ in range(25))
+    docs = []
+    for f in range(families):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(*words))]
+        for c in range(copies):
+            text = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            if rng.random() < 0.3:
+                text = text[:rng.randint(max(1, len(text) - 8), len(text))]
+            docs.append((1000 * f + c, " ".join(text) + (" " + footer if f % 2 else "")))
+    docs += [(9000 + i, f"only{i} " + footer) for i in range(10)]
+    rng.shuffle(docs)
+    return docs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_equals_brute_force(spark, seed):
+    docs = papers(seed) + [(1, None), (2, ""), (None, "null id of three"), (None, "null id of three"), (None, None), (3, "Two Words"), (4, "two\twords"), (5, "é é é"), (6, "É É É"),
+                           (7, "a b c"), (7, "a b c"), (8, "long " * 30_000), (8, "a " * 20_000 + "b"), (9, " \n ")]
+    assert joined(spark, docs) == brute_jaccard(docs)
+
+
+def test_jaccard_small_tiles_and_poor_order(spark):
+    """Groups far beyond a tile, a sketch without use, no families found first."""
+    docs = papers(3, families=4, copies=40, words=(30, 60))
+    want = brute_jaccard(docs)
+    assert joined(spark, docs, tile=4, sketch=1 << 16) == want
+
+
+def test_jaccard_does_not_rely_on_the_first_round(spark, monkeypatch):
+    docs = papers(4, families=3, copies=25, words=(30, 60))
+    monkeypatch.setattr(jaccard_join, "chains", lambda shared, share: shared.where("1 = 0").selectExpr("nid as a", "nid as b"))
+    assert joined(spark, docs, tile=8) == brute_jaccard(docs)
+
+
+def test_jaccard_without_rows(spark):
+    assert joined(spark, []) == []
+
+
+@needs_tables
+def test_jaccard_over_documents(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, queries.op13_jaccard_join(spark, SF).select("doc_id", "n_shingles", "component_id").collect()), key=repr) == brute_jaccard(docs)
