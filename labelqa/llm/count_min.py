@@ -36,23 +36,30 @@ def _flat(column) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
-def counters(keys: DataFrame, width: int, rows: int, code: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """``keys`` has one column, a long or an array of longs without nulls.
-    Returns ``code(counts)`` (uint8 out) for the ``rows * width`` counters."""
+class Counters:
+    """One task's counters."""
 
-    def gather(batches):
-        total = np.zeros(rows * width, np.uint32)
+    def __init__(self, width: int, rows: int = 1):
+        self.width, self.rows = width, rows
+        self.total = np.zeros(rows * width, np.uint32)
+
+    def add(self, keys: np.ndarray) -> None:
         top = np.iinfo(np.uint32).max
-        for batch in batches:
-            found = _flat(batch.column(0))
-            for row in range(rows):
-                at, n = np.unique(cells(found, width, row) + row * width, return_counts=True)
-                total[at] = np.minimum(total[at].astype(np.int64) + n, top)
+        for row in range(self.rows):
+            at, n = np.unique(cells(keys, self.width, row) + row * self.width, return_counts=True)
+            self.total[at] = np.minimum(self.total[at].astype(np.int64) + n, top)
+
+    def blocks(self):
+        """``(first counter, compressed block)`` of the blocks that were touched."""
         codec = zstandard.ZstdCompressor(level=1)
-        for b in range(0, rows * width, BLOCK):
-            part = total[b:b + BLOCK]
+        for at in range(0, len(self.total), BLOCK):
+            part = self.total[at:at + BLOCK]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([codec.compress(part.tobytes())], pa.binary())], ["block", "data"])
+                yield at, codec.compress(part.tobytes())
+
+
+def merged(parts: DataFrame, width: int, rows: int, code: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``parts(block, data)`` of all tasks -> ``code(counts)`` for the ``rows * width`` counters."""
 
     def add(batches):
         """Rows in order of block; one block is held at a time."""
@@ -72,12 +79,25 @@ def counters(keys: DataFrame, width: int, rows: int, code: Callable[[np.ndarray]
         if at is not None:
             yield out()
 
-    shape = "block long, data binary"
-    parts = keys.mapInArrow(gather, shape).repartition("block").sortWithinPartitions("block").mapInArrow(add, shape)
+    done = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block long, data binary")
     none = code(np.zeros(BLOCK, np.int64))
     table = np.tile(none, rows * width // BLOCK)
-    for row in parts.toLocalIterator():
+    for row in done.toLocalIterator():
         found = np.frombuffer(row["data"], np.uint8)
         start = row["block"] // BLOCK * len(none)
         table[start:start + len(none)] = found
     return table
+
+
+def counters(keys: DataFrame, width: int, rows: int, code: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``keys`` has one column, a long or an array of longs without nulls.
+    Returns ``code(counts)`` (uint8 out) for the ``rows * width`` counters."""
+
+    def gather(batches):
+        own = Counters(width, rows)
+        for batch in batches:
+            own.add(_flat(batch.column(0)))
+        for at, data in own.blocks():
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
+
+    return merged(keys.mapInArrow(gather, "block long, data binary"), width, rows, code)

@@ -6,9 +6,8 @@ count sketch (log2 of a counter), then by hash. The order is cut into
 
 * **Candidates.** Sets that link share an n-gram among the first
   ``n - ceil(share * n) + 1`` of each (prefix filter), so only those travel,
-  and only those that two sets have go on. A pair must pass the length filter
-  and a parity bitmap: the bits in which two bitmaps differ bound the
-  n-grams that only one set has.
+  and only those that two sets have go on. A pair must pass the length filter,
+  a parity bitmap and a histogram: where these differ, only one set has n-grams.
 * **Counting.** The overlap of a pair is the sum of its partial overlaps by
   fragment. Equal segments (64-bit digests) give their size at once; a pair
   that is not settled by these and by the sizes of the others has its unequal
@@ -22,7 +21,8 @@ count sketch (log2 of a counter), then by hash. The order is cut into
 
 The order only moves work: any order gives the same links. The sketch is of
 bounded size (``SKETCH``); the cell of a rare n-gram looks as full as the
-average. N-grams are XXH64 hashes, sets are known by two of these.
+average. N-grams are mixed XXH64 hashes of their words (64 bits), sets are
+known by two digests.
 
 Defined cases: null text and text without words have an empty set that links
 with nothing, so the component is the document's own id; a null ``doc_id``
@@ -41,37 +41,50 @@ from pyspark.sql import functions as F
 
 from .common import store, text_of
 from .components import components
-from .count_min import cells, counters, width_for
+from .count_min import Counters, cells, counters, merged, width_for
 
 SIZE = 3
 SHARE = (9, 10)
 FRAGMENTS = 32
-LANES = 8                 # 64-bit lanes of a set's parity bitmap
+LANES = 8                 # 64-bit lanes of a set's parity bitmap, and of its histogram
 SKETCH = 1 << 22          # counters at most; one byte each at the driver and in the broadcast
 TILE = 2048
-SLICE = 1 << 18
 
 
 # ------------------------------------------------------------ sets
 
+class _Words(dict):
+    """XXH64 of words, remembered; emptied when it has grown large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 19:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+
+_WORDS = _Words()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective mix of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def shingles(raw: bytes, size: int = SIZE) -> np.ndarray:
     """Sorted distinct hashes (int64) of the word n-grams of a UTF-8 text."""
     words = raw.lower().split()
     if not words:
         return np.empty(0, np.int64)
-    text = b" ".join(words)
-    long = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(long + 1) - 1
-    starts = ends - long
-    n = max(1, len(words) - size + 1)
-    ends = ends[-n:]
-    found = []
-    digest = xxhash.xxh64_digest
-    for at in range(0, n, SLICE):       # bounded lists for very long texts
-        cut = slice(at, min(n, at + SLICE))
-        hashes = b"".join([digest(text[a:b]) for a, b in zip(starts[cut].tolist(), ends[cut].tolist(), strict=True)])
-        found.append(np.unique(np.frombuffer(hashes, ">u8").astype(np.uint64).view(np.int64)))
-    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+    one = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    size = min(size, len(words))
+    n = len(words) - size + 1
+    out = np.full(n, size, np.uint64)
+    for k in range(size):
+        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + one[k:k + n])
+    return np.unique(out.view(np.int64))
 
 
 def _digest(data: bytes, seed: int) -> int:
@@ -85,27 +98,36 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(">u8").astype(np.uint64).view(np.int64)
 
 
+def histogram(tokens: np.ndarray) -> np.ndarray:
+    """``LANES * 8`` counts modulo 256 of where n-grams fall."""
+    at = (tokens.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (LANES * 8)
+    return np.bincount(at, minlength=LANES * 8).astype(np.uint8).view(np.int64)
+
+
 LANE_NAMES = [f"b{i}" for i in range(LANES)]
+BUCKET_NAMES = [f"h{i}" for i in range(LANES)]
 
 
-def _sets(size):
-    names = ["id", "mark", "n", "d1", "d2", *LANE_NAMES]
+def _sets(size, width):
+    """Sets by their digests and bounds; at the end the task's part of the sketch."""
+    names = ["id", "mark", "n", "d1", "d2", *LANE_NAMES, *BUCKET_NAMES, "block", "data"]
 
     def of(batches):
+        sketch, types = Counters(width), None
         for batch in batches:
             found = [shingles(t or b"", size) for t in batch.column(2).to_pylist()]
             raw = [t.tobytes() for t in found]
             bits = np.array([parity(t) for t in found], np.int64).reshape(-1, LANES)
+            fall = np.array([histogram(t) for t in found], np.int64).reshape(-1, LANES)
+            if found:
+                sketch.add(np.concatenate(found))
+            types = batch.column(0).type
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(t) for t in found], pa.int64()),
-                                              *(pa.array([_digest(r, s) for r in raw], pa.int64()) for s in (1, 2)), *(pa.array(bits[:, i]) for i in range(LANES))], names)
-    return of
-
-
-def _tokens(size):
-    def of(batches):
-        for batch in batches:
-            found = [shingles(t or b"", size) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.empty(0, np.int64), pa.int64())], ["token"])
+                                              *(pa.array([_digest(r, s) for r in raw], pa.int64()) for s in (1, 2)), *(pa.array(bits[:, i]) for i in range(LANES)),
+                                              *(pa.array(fall[:, i]) for i in range(LANES)), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.binary())], names)
+        for at, data in sketch.blocks():
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, types), *[none] * (4 + 2 * LANES), pa.array([at], pa.int64()), pa.array([data], pa.binary())], names)
     return of
 
 
@@ -136,11 +158,10 @@ class Order:
         return np.minimum(((self.start[kind] + self.mass[kind] * within) * FRAGMENTS).astype(np.int64), FRAGMENTS - 1)
 
 
-def global_order(texts: DataFrame, size: int = SIZE, most: int = SKETCH):
-    """Broadcast ``Order`` from one pass over all texts."""
-    letters = texts.agg(F.sum(F.octet_length("raw")).alias("n")).first()["n"] or 0
-    width = width_for(letters // 6, 1.0, most=most)
-    return texts.sparkSession.sparkContext.broadcast(Order(counters(texts.mapInArrow(_tokens(size), "token long"), width, 1, _class)))
+def broadcast_order(made: DataFrame, width: int):
+    """The order of the sketch that the tasks left beside their sets, broadcast (``SKETCH`` bytes at most)."""
+    classes = merged(made.where("block is not null").select("block", "data"), width, 1, _class)
+    return made.sparkSession.sparkContext.broadcast(Order(classes))
 
 
 def _prefixes(order, size, share):
@@ -191,13 +212,16 @@ def _bits(counts: np.ndarray) -> np.ndarray:
 
 def _member(keys: DataFrame, n: int):
     """A column function: may the key be among ``keys``? (No key is missed.)"""
-    width = width_for(n, 1 / 16, most=1 << 25)
-    bits = keys.sparkSession.sparkContext.broadcast(counters(keys, width, 1, _bits))     # 4 MB at most
+    width = width_for(n, 1 / 16, most=1 << 24)
+    bits = keys.sparkSession.sparkContext.broadcast(counters(keys, width, 2, _bits))     # 4 MB at most
 
     @F.arrow_udf("boolean")
     def inside(found: pa.Array) -> pa.Array:
-        at = cells(found.to_numpy(zero_copy_only=False), width, 0)
-        return pa.array((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+        keys, out = found.to_numpy(zero_copy_only=False), np.ones(len(found), bool)
+        for row in range(2):
+            at = cells(keys, width, row) + row * width
+            out &= (bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        return pa.array(out)
 
     return inside
 
@@ -208,10 +232,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order, size:
     ends = pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
     wanted = store(nodes.join(ends, "nid", "left_semi").select("nid", "n", "d1", "d2", "key"), "wanted")
     inside = _member(wanted.select("key"), wanted.count())
-    parts = texts.where(inside("key")).select("raw").mapInArrow(_segments(order, size), "d1 long, d2 long, f int, tokens array<long>, digest long")
-    parts = parts.join(wanted.select("nid", "d1", "d2"), ["d1", "d2"]).dropDuplicates(["nid", "f"])     # equal sets gave equal segments
-    parts = store(parts.select("nid", "f", "tokens", F.size("tokens").alias("size"), "digest"), "segments")
-    slim = parts.groupBy("nid").agg(F.map_from_entries(F.collect_list(F.struct("f", F.struct("size", "digest")))).alias("m"))     # FRAGMENTS entries at most
+    # one row per document and fragment, stored where it was made; a set that two documents have may come twice
+    parts = store(texts.where(inside("key")).select("raw").mapInArrow(_segments(order, size), "d1 long, d2 long, f int, tokens array<long>, digest long"), "segments")
+    ids = wanted.select("nid", "d1", "d2")
+    slim = parts.select("d1", "d2", "f", F.size("tokens").alias("size"), "digest").distinct().join(ids, ["d1", "d2"])
+    slim = slim.groupBy("nid").agg(F.map_from_entries(F.collect_list(F.struct("f", F.struct("size", "digest")))).alias("m"))     # FRAGMENTS entries at most
     slim = slim.join(wanted.select("nid", "n"), "nid")
     both = pairs.join(slim.select(F.col("nid").alias("a"), F.col("m").alias("ma"), F.col("n").alias("na")), "a")
     both = both.join(slim.select(F.col("nid").alias("b"), F.col("m").alias("mb"), F.col("n").alias("nb")), "b")
@@ -225,9 +250,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order, size:
     need = lambda c: (den + num) * F.col(c) >= num * (F.col("na") + F.col("nb"))
     both = store(both.where(need("top")), "bounds")
     rest = both.where(~need("sure")).select("a", "b", F.explode("open").alias("f"))
-    rest = rest.join(parts.select(F.col("nid").alias("a"), "f", F.col("tokens").alias("ta")), ["a", "f"])
-    rest = rest.join(parts.select(F.col("nid").alias("b"), "f", F.col("tokens").alias("tb")), ["b", "f"])
-    partial = rest.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("ta", "tb"))).alias("more"))
+    rest = store(rest, "open")
+    # only the segments in question travel
+    asked = rest.select(F.col("a").alias("nid"), "f").union(rest.select("b", "f")).distinct().join(ids, "nid")
+    asked = store(asked, "asked")
+    open_part = F.xxhash64("d1", "d2", "f")
+    some = _member(asked.select(open_part), asked.count())
+    open_parts = parts.where(some(open_part)).join(asked, ["d1", "d2", "f"]).select("nid", "f", "tokens")
+    rest = rest.join(open_parts.select(F.col("nid").alias("a"), "f", F.col("tokens").alias("ta")), ["a", "f"])
+    rest = rest.join(open_parts.select(F.col("nid").alias("b"), "f", F.col("tokens").alias("tb")), ["b", "f"])
+    partial = rest.groupBy("a", "b", "f").agg(F.max(F.size(F.array_intersect("ta", "tb"))).alias("here"))
+    partial = partial.groupBy("a", "b").agg(F.sum("here").alias("more"))
     counted = both.where(~need("sure")).join(partial, ["a", "b"], "left").withColumn("all", F.col("sure") + F.coalesce("more", F.lit(0)))
     return both.where(need("sure")).select("a", "b").union(counted.where(need("all")).select("a", "b"))
 
@@ -265,45 +298,77 @@ def chains(shared: DataFrame, share=SHARE) -> DataFrame:
     return made.distinct()
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame, share=SHARE) -> DataFrame:
-    """Pairs that the parity bitmaps do not rule out."""
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least so many n-grams are in one set only, by parity (columns are lanes)."""
+    return sum(np.bitwise_count(a[:, k] ^ b[:, k]).astype(np.int64) for k in range(LANES))
+
+
+def _spread(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The same by histograms (bytes, modulo 256)."""
+    d = a.view(np.uint8) - b.view(np.uint8)
+    return np.minimum(d, -d).astype(np.int64).sum(axis=1)
+
+
+def _possible(share):
     num, den = share
-    side = lambda c: nodes.select(F.col("nid").alias(c), F.col("n").alias(f"n{c}"), *(F.col(x).alias(f"{c}{x}") for x in LANE_NAMES))
+
+    def of(batches):
+        for batch in batches:
+            at = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
+            block = lambda k: np.ascontiguousarray(np.stack(at[k:k + LANES], axis=1)).view(np.uint64)
+            if len(at[0]):
+                room = (den - num) * (at[2] + at[3])
+                ok = ((den + num) * _apart(block(4), block(4 + 2 * LANES)) <= room) & ((den + num) * _spread(block(4 + LANES), block(4 + 3 * LANES)) <= room)
+                yield pa.RecordBatch.from_arrays([pa.array(at[0][ok]), pa.array(at[1][ok])], ["a", "b"])
+    return of
+
+
+def bounded(pairs: DataFrame, nodes: DataFrame, share=SHARE) -> DataFrame:
+    """Pairs that neither parity bitmaps nor histograms rule out."""
+    every = [*LANE_NAMES, *BUCKET_NAMES]
+    side = lambda c: nodes.select(F.col("nid").alias(c), F.col("n").alias(f"n{c}"), *(F.col(x).alias(f"{c}{x}") for x in every))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = sum((F.bit_count(F.col(f"a{x}").bitwiseXOR(F.col(f"b{x}"))) for x in LANE_NAMES[1:]), F.bit_count(F.col(f"a{LANE_NAMES[0]}").bitwiseXOR(F.col(f"b{LANE_NAMES[0]}"))))
-    return both.where((den + num) * apart <= (den - num) * (F.col("na") + F.col("nb"))).select("a", "b")
+    return both.select("a", "b", "na", "nb", *(f"a{x}" for x in every), *(f"b{x}" for x in every)).mapInArrow(_possible(share), "a long, b long")
 
 
-def _tiles(share, side: int = 256):
+def _tiles(share, small: int = 32, side: int = 256):
     """Rows (task, nid, n, root, bitmap) in order of task -> pairs of different
     components that pass the length and bitmap filters."""
     num, den = share
 
-    def compare(nid, n, root, bits):
+    def fits(n, root, bits, a, b):
+        ok = (root[a] != root[b]) & (den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b]))
+        a, b = a[ok], b[ok]
+        ok = (den + num) * _apart(bits[a], bits[b]) <= (den - num) * (n[a] + n[b])
+        return a[ok], b[ok]
+
+    def large(n, root, bits):
         order = np.argsort(n, kind="stable")
-        nid, n, root, bits = nid[order], n[order], root[order], bits[order]
-        out = []
+        n, root, bits = n[order], root[order], bits[order]
         for i in range(0, len(n), side):
-            x = slice(i, i + side)
             for j in range(i, len(n), side):
-                y = slice(j, j + side)
-                if den * n[x][-1] < num * n[j]:
+                if den * n[i:i + side][-1] < num * n[j]:
                     break                   # sizes only rise from here on
-                near = root[x][:, None] != root[y][None]
-                if not near.any():
-                    continue
-                near &= den * n[x][:, None] >= num * n[y][None]
-                a, b = np.nonzero(near)
-                apart = np.zeros(len(a), np.int64)
-                for lane in range(LANES):
-                    apart += np.bitwise_count(bits[x][a, lane] ^ bits[y][b, lane])
-                ok = (den + num) * apart <= (den - num) * (n[x][a] + n[y][b])
-                a, b = nid[x][a[ok]], nid[y][b[ok]]
-                out.append((np.minimum(a, b), np.maximum(a, b)))
-        a = np.concatenate([p[0] for p in out]) if out else np.empty(0, np.int64)
-        b = np.concatenate([p[1] for p in out]) if out else np.empty(0, np.int64)
-        ok = a != b
-        return pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
+                apart = root[i:i + side, None] != root[None, j:j + side]
+                if apart.any():
+                    a, b = np.nonzero(apart)
+                    a, b = fits(n, root, bits, a + i, b + j)
+                    yield order[a], order[b]
+
+    def pairs(task, nid, n, root, bits):
+        edge = np.flatnonzero(np.diff(task, prepend=task[0] - 1))
+        many = np.diff(edge, append=len(task))
+        found = []
+        few = np.repeat(many <= small, many)
+        for d in range(1, int(many[many <= small].max(initial=1))):     # small groups, all at once
+            a = np.flatnonzero((task[d:] == task[:-d]) & few[d:])
+            found.append(fits(n, root, bits, a, a + d))
+        for e, m in zip(edge[many > small], many[many > small], strict=True):
+            found += [(a + e, b + e) for a, b in large(n[e:e + m], root[e:e + m], bits[e:e + m])]
+        a = nid[np.concatenate([p[0] for p in found])] if found else np.empty(0, np.int64)
+        b = nid[np.concatenate([p[1] for p in found])] if found else np.empty(0, np.int64)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def of(batches):
         held = None
@@ -313,12 +378,12 @@ def _tiles(share, side: int = 256):
             held = now if held is None else [np.concatenate(p) for p in zip(held, now, strict=True)]
             if not len(held[0]):
                 continue
-            edge = np.flatnonzero(np.diff(held[0], prepend=held[0][0] - 1))
-            for a, b in zip(edge[:-1], edge[1:], strict=True):
-                yield compare(*(p[a:b] for p in held[1:]))
-            held = [p[edge[-1]:] for p in held]
+            last = int(np.searchsorted(held[0], held[0][-1], "left"))
+            if last:
+                yield pairs(*(p[:last] for p in held))
+                held = [p[last:] for p in held]
         if held is not None and len(held[0]):
-            yield compare(*held[1:])
+            yield pairs(*held)
     return of
 
 
@@ -357,23 +422,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     raw = text_of(text_col).cast("binary")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("mark"), raw.alias("raw")).withColumn("key", F.xxhash64("id", "mark"))
     id_type = texts.schema["id"].dataType.simpleString()
-    lanes = ", ".join(f"{x} long" for x in LANE_NAMES)
-    sets = store(texts.select("id", "mark", "raw").mapInArrow(_sets(size), f"id {id_type}, mark long, n long, d1 long, d2 long, {lanes}"), "sets")
+    numbers = ", ".join(f"{x} long" for x in (*LANE_NAMES, *BUCKET_NAMES))
+    width = width_for((texts.agg(F.sum(F.octet_length("raw")).alias("n")).first()["n"] or 0) // 6, 1.0, most=sketch)
+    made = texts.select("id", "mark", "raw").mapInArrow(_sets(size, width), f"id {id_type}, mark long, n long, d1 long, d2 long, {numbers}, block long, data binary")
+    made = store(made, "sets")
+    order = broadcast_order(made, width)
+    sets = made.where("block is null").drop("block", "data")
     full = sets.where("n > 0")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("first")
-    nodes = full.groupBy("d1", "d2").agg(first, F.min("id").alias("least"), F.max("n").alias("n"), *(F.max(x).alias(x) for x in LANE_NAMES))
-    nodes = store(nodes.select("d1", "d2", "n", "least", F.xxhash64("first.id", "first.mark").alias("key"), *LANE_NAMES, F.monotonically_increasing_id().alias("nid")), "nodes")
-    order = global_order(texts.select("raw"), size, sketch)
+    every = [*LANE_NAMES, *BUCKET_NAMES]
+    nodes = full.groupBy("d1", "d2").agg(first, F.min("id").alias("least"), F.max("n").alias("n"), *(F.max(x).alias(x) for x in every))
+    nodes = store(nodes.select("d1", "d2", "n", "least", F.xxhash64("first.id", "first.mark").alias("key"), *every, F.monotonically_increasing_id().alias("nid")), "nodes")
     tokens = texts.select("raw").mapInArrow(_prefixes(order, size, share), "token long, d1 long, d2 long").distinct()
     tokens = store(tokens, "prefix")
     often = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = tokens.join(often, "token").join(nodes.select("d1", "d2", "nid", "n"), ["d1", "d2"]).select("token", "nid", "n")
     shared = store(shared, "shared")
     # families first, by a linear number of pairs; then all pairs of different components
-    tried = store(_bounded(chains(shared, share), nodes, share), "tried")
+    tried = store(bounded(chains(shared, share), nodes, share), "tried")
     links = store(verified(tried, nodes, texts, order, size, share), "links")
     found = components(links).select(F.col("node").alias("nid"), "root")
-    rest = store(across(shared, nodes, found, share, tile).join(tried, ["a", "b"], "left_anti"), "rest")
+    rest = store(bounded(across(shared, nodes, found, share, tile), nodes, share).join(tried, ["a", "b"], "left_anti"), "rest")
     links = links.union(verified(rest, nodes, texts, order, size, share))
     found = components(links).select(F.col("node").alias("nid"), "root")
     nodes = store(nodes.select("d1", "d2", "least", "nid").join(found, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "rooted")
