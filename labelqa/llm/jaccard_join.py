@@ -57,7 +57,7 @@ class _Words(dict):
     """XXH64 of words, remembered; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word)
         return found
@@ -108,13 +108,20 @@ LANE_NAMES = [f"b{i}" for i in range(LANES)]
 BUCKET_NAMES = [f"h{i}" for i in range(LANES)]
 
 
+def _slices(batches, rows: int = 256):
+    """Few texts at a time, whatever the size of an Arrow batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _sets(size, width):
     """Sets by their digests and bounds; at the end the task's part of the sketch."""
     names = ["id", "mark", "n", "d1", "d2", *LANE_NAMES, *BUCKET_NAMES, "block", "data"]
 
     def of(batches):
         sketch, types = Counters(width), None
-        for batch in batches:
+        for batch in _slices(batches):
             found = [shingles(t or b"", size) for t in batch.column(2).to_pylist()]
             raw = [t.tobytes() for t in found]
             bits = np.array([parity(t) for t in found], np.int64).reshape(-1, LANES)
@@ -166,7 +173,7 @@ def broadcast_order(made: DataFrame, width: int):
 
 def _prefixes(order, size, share):
     def of(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             out, one, two = [], [], []
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text or b"", size)
@@ -189,7 +196,7 @@ def _segments(order, size):
     names, types = ["d1", "d2", "f", "tokens", "digest"], [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64()]
 
     def of(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text or b"", size)
                 if not len(tokens):
