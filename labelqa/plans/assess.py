@@ -90,8 +90,8 @@ def run(spark: SparkSession, root: str, make_extractor, out_dir: str | None = No
     gold = src.golden_texts(spark, root)
     produced = extract.apply_extractor(found, make_extractor, "case_no", ["dir", "case_dir"], carry=["dir"])
     ok, failed = extract.split_results(durable(produced, "extracted"))
-    pairs = (ok.join(gold, "dir")
-             .select("case_no", F.col("json").alias("expected_json"),
+    pairs = (ok.join(gold, "dir", "left")     # an empty golden file has no row
+             .select("case_no", F.coalesce("json", F.lit("")).alias("expected_json"),
                      F.col("result").alias("actual_json"), F.col("seconds").alias("speed")))
     return assess_pairs(spark, pairs, failed, out_dir, run_id, validate)
 
@@ -106,14 +106,15 @@ def run_images(spark: SparkSession, root: str, make_ocr, make_extractor, out_dir
     broken golden is in ``failures``; its artefacts go to ``out_dir``.
     """
     found = durable(src.discover(spark, root), "cases")
-    pages = src.manifest(spark, root).join(src.image_bytes(spark, root), "path")
+    pages = src.manifest(spark, root).join(src.image_bytes(spark, root), "path", "left")
+    pages = pages.withColumn("content", F.coalesce("content", F.lit("").cast("binary")))     # images of zero bytes
     done = analyze.analyze_pages(pages, make_ocr, make_extractor, doc="dir", seq="seq", key="path")
     records = durable(done.records.select("dir", F.col("seconds").alias("speed"), record_json(F.col("record")).alias("actual_json"),
                                           standardize.issue_text().alias("why")), "records")
     failed = done.doc_failures.select("dir", "error").unionByName(
         records.where("why is not null").select("dir", F.concat(F.lit("rejected: "), "why").alias("error")))
-    pairs = (records.where("why is null").join(found, "dir").join(src.golden_texts(spark, root), "dir")
-             .select("case_no", F.col("json").alias("expected_json"), "actual_json", "speed"))
+    pairs = (records.where("why is null").join(found, "dir").join(src.golden_texts(spark, root), "dir", "left")
+             .select("case_no", F.coalesce("json", F.lit("")).alias("expected_json"), "actual_json", "speed"))
     if out_dir and run_id:
         done.write_artefacts(f"{out_dir}/artefacts", run_id)
     return assess_pairs(spark, pairs, failed.join(found.select("dir", "case_no"), "dir"), out_dir, run_id)

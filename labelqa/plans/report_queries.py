@@ -227,3 +227,43 @@ def empty_documents(spark, sf):
 SELECT conv_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn, text) AS text FROM conversations GROUP BY conv_id""")
 def page_text_join(spark, sf):
     return layout.join_page_texts(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+
+
+# ---------------------------------------------------------------- S1, S1b: cases of a file inventory
+# A table of paths and lengths, as an object store's inventory gives it: images
+# in several spellings, some of zero bytes, goldens missing, directories
+# without files, and files that belong to no case.
+
+_LISTED = [
+    ("p_partkey % 3 <> 0", "'label_' || p_partkey || '/image_1.png'", "p_size"),
+    ("p_partkey % 4 = 1", "'label_' || p_partkey || '/image_2.JPG'", "0"),
+    ("p_partkey % 5 <> 2", "'label_' || p_partkey || '/expected_output.json'", "p_size * 7"),
+    ("p_partkey % 9 = 0", "'label_' || p_partkey || '/scan.jpeg'", "p_size"),
+    ("p_partkey % 6 = 0", "'label_' || p_partkey || '/'", "0"),
+    ("p_partkey % 7 = 0", "'label_' || p_partkey || '/old/image_3.png'", "p_size"),
+    ("p_partkey % 8 = 0", "'other_' || p_partkey || '/image_1.png'", "p_size"),
+]
+_ROOT = "s3://bucket/labels"
+
+
+@register("case_inventory", f"""
+WITH f AS ({' UNION ALL '.join(f"SELECT {path} AS path FROM part WHERE {when}" for when, path, _ in _LISTED)}),
+c AS (SELECT split_part(path, '/', 1) AS case_dir, split_part(path, '/', 2) AS name, path FROM f
+      WHERE path LIKE 'label_%' AND length(path) - length(replace(path, '/', '')) = 1),
+g AS (SELECT case_dir, count(*) FILTER (lower(name) LIKE '%.png' OR lower(name) LIKE '%.jpg') AS n_images,
+             max(CASE WHEN name = 'expected_output.json' THEN '{_ROOT}/' || path END) AS golden FROM c GROUP BY case_dir)
+SELECT '{_ROOT}/' || case_dir AS dir, case_dir, n_images, golden,
+       concat_ws('; ', CASE WHEN n_images = 0 THEN 'No image files found' END, CASE WHEN golden IS NULL THEN 'Expected output JSON not found' END) AS issues,
+       CASE WHEN n_images > 0 AND golden IS NOT NULL THEN row_number() OVER (PARTITION BY n_images > 0 AND golden IS NOT NULL ORDER BY case_dir) END AS case_no
+FROM g""")
+def case_inventory(spark, sf):
+    from ..sources import cases
+    part = table(spark, sf, "part")
+    one = lambda when, path, size: part.where(when).select(F.expr(f"concat('{_ROOT}/', {path})").alias("path"), F.expr(size).cast("long").alias("length"))
+    files = one(*_LISTED[0])
+    for row in _LISTED[1:]:
+        files = files.union(one(*row))
+    found = durable(cases.inventory_of(cases.listed_files(files, _ROOT)), "inventory")
+    numbers = cases.number_cases(found.where(F.size("issues") == 0)).select("case_dir", F.col("case_no").cast("long").alias("case_no"))
+    return found.join(numbers, "case_dir", "left").select("dir", "case_dir", F.col("n_images").cast("long").alias("n_images"), "golden",
+                                                          F.concat_ws("; ", "issues").alias("issues"), "case_no")

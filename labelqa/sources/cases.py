@@ -1,13 +1,12 @@
 """Assessment cases on a file system.
 
 A case is a directory ``label_*`` holding images (``.png``/``.jpg``, any
-case) and one ``expected_output.json``. Discovery lists files with the
-``binaryFile`` source (only ``path`` and ``length`` are selected, so file
-contents are never read), groups by directory and numbers cases 1..n in
-directory order.
-
-Spark file sources produce no rows for zero-length files, so an empty image
-file is not counted (it could not be decoded either).
+case) and one ``expected_output.json``. Discovery lists the case directories
+with the ``case_listing`` source (names and lengths only, contents are never
+read), groups by directory and numbers cases 1..n in directory order. A
+directory without files is a case without images, and an image of zero bytes
+counts as an image. Instead of a folder, any table of ``(path, length)`` (an
+inventory of an object store) gives the same through ``listed_files``.
 """
 
 from __future__ import annotations
@@ -15,10 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the case layout.
+from .listing import list_directories, qualified
+
+# Fixed values of the case layout and its error texts.
 CASE_DIR_PREFIX = "label_"
 GOLDEN_NAME = "expected_output.json"
 IMAGE_RE = r"(?i)\.(png|jpg)$"
+NO_IMAGES = "No image files found"
+NO_GOLDEN = "Expected output JSON not found"
+NO_CASES = "No label directories found"
 
 
 SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
@@ -44,35 +48,52 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
 
 
-def _case_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of directories ``label_*`` directly below ``root``."""
-    f = list_files(spark, root)
+def listed_files(files: DataFrame, root: str) -> DataFrame:
+    """Case files among ``files(path, length)``: those of directories
+    ``label_*`` directly below ``root``. A path that ends in ``/`` marks a
+    directory, which may hold no file."""
+    dir_, name = F.regexp_extract("path", r"^(.*)/[^/]*$", 1), F.regexp_extract("path", r"([^/]*)$", 1)
+    f = files.select("path", "length", dir_.alias("dir"), F.nullif(name, F.lit("")).alias("name"))
     parent = norm_path(F.regexp_extract("dir", r"^(.*)/[^/]+$", 1))
     f = f.select("*", F.regexp_extract("dir", r"([^/]+)$", 1).alias("case_dir"))
     return f.filter(F.col("case_dir").startswith(CASE_DIR_PREFIX) & (parent == _norm_root(root)))
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Per case directory: image count, golden path and issues.
+def _case_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path, length, dir, name, case_dir`` of the case files below ``root``."""
+    found = list_directories(spark, root, CASE_DIR_PREFIX)
+    if found is None:
+        return listed_files(list_files(spark, root), root)
+    dir_ = F.concat(F.lit(qualified(spark, root) + "/"), "case_dir")
+    return found.select(F.concat(dir_, F.lit("/"), "name").alias("path"), "length", dir_.alias("dir"), "name", "case_dir")
+
+
+def inventory_of(files: DataFrame) -> DataFrame:
+    """S1/S1b of case files (see ``listed_files``): per case directory the
+    image count, golden path and issues.
 
     Counts are partial aggregates; no list of files is gathered per case.
     """
-    f = _case_files(spark, root)
-    per = f.groupBy("dir", "case_dir").agg(
-        F.count_if(F.col("name").rlike(IMAGE_RE)).alias("n_images"),
+    per = files.groupBy("dir", "case_dir").agg(
+        F.count_if(F.coalesce(F.col("name").rlike(IMAGE_RE), F.lit(False))).alias("n_images"),
         F.max(F.when(F.col("name") == GOLDEN_NAME, F.col("path"))).alias("golden"))
     issues = F.filter(F.array(
-        F.when(F.col("n_images") == 0, F.lit("No image files found")),
-        F.when(F.col("golden").isNull(), F.lit("Expected output JSON not found"))),
+        F.when(F.col("n_images") == 0, F.lit(NO_IMAGES)),
+        F.when(F.col("golden").isNull(), F.lit(NO_GOLDEN))),
         lambda x: x.isNotNull())
     return per.select("dir", "case_dir", "n_images", "golden", issues.alias("issues"))
 
 
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """S1/S1b of a folder."""
+    return inventory_of(_case_files(spark, root))
+
+
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """Images of every case, ``seq`` = 1-based rank of the path within the case."""
     from ..operators.prefix import rank_within
     img = _case_files(spark, root).filter(F.col("name").rlike(IMAGE_RE)).select(
-        "dir", "case_dir", "path")
+        "dir", "case_dir", "path", "length")
     return rank_within(img, "dir", "path").withColumnRenamed("rank", "seq")
 
 
@@ -100,7 +121,7 @@ def discover(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
         if bad:
             raise FileNotFoundError(f"{bad[0]['issues'][0]} in {bad[0]['case_dir']}")
         if inv.limit(1).count() == 0:
-            raise FileNotFoundError(f"No label directories found in {root}")
+            raise FileNotFoundError(f"{NO_CASES} in {root}")
     return number_cases(inv.filter(F.size("issues") == 0))
 
 
@@ -117,7 +138,8 @@ def golden_texts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def image_bytes(spark: SparkSession, root: str) -> DataFrame:
-    """S3: image bytes (``path, content``) for layout and extraction."""
+    """S3: image bytes (``path, content``) for layout and extraction; Spark's
+    source gives no row for an empty file (``assess.run_images`` fills them in)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .load(root).filter(F.col("path").rlike(IMAGE_RE)).select("path", "content"))
 

@@ -82,6 +82,42 @@ def test_discovery(spark, tmp_dir):
     assert [os.path.basename(r.path) for r in man] == ["a.png", "b.jpg"]
 
 
+def test_discovery_sees_empty_files_and_directories(spark, tmp_dir):
+    """As a directory listing does: zero-byte images count, an empty case directory is an error."""
+    root = os.path.join(tmp_dir, "with space")
+    make_tree(root, {f"label_{i:03}": {"expected_output.json": "{}"} for i in range(40)})
+    for i in range(40):
+        open(os.path.join(root, f"label_{i:03}", "image.PNG"), "w").close()
+    found = cases.discover(spark, root).orderBy("case_no").collect()
+    assert [(r.case_no, r.case_dir, r.n_images) for r in found] == [(i + 1, f"label_{i:03}", 1) for i in range(40)]
+    assert {r.length for r in cases.manifest(spark, root).select("length").collect()} == {0}
+    assert cases.image_bytes(spark, root).count() == 0
+    # the paths agree with those of Spark's own sources
+    assert found[0].golden == cases.list_files(spark, root).where("name = 'expected_output.json'").agg({"path": "min"}).first()[0]
+    os.makedirs(os.path.join(root, "label_017b"))
+    inv = {r.case_dir: r.issues for r in cases.inventory(spark, root).where(F.size("issues") > 0).collect()}
+    assert inv == {"label_017b": [cases.NO_IMAGES, cases.NO_GOLDEN]}
+    with pytest.raises(FileNotFoundError, match="No image files found in label_017b"):
+        cases.discover(spark, root)
+
+
+def test_listing_is_split_over_tasks(spark, tmp_dir):
+    from labelqa.sources.listing import arrow_uri, list_directories
+    make_tree(tmp_dir, {f"label_{i}": {"a.png": ""} for i in range(10)})
+    df = list_directories(spark, tmp_dir, "label_", directories=3)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 10
+    assert arrow_uri("viewfs://cluster/x") is None and arrow_uri("s3a://b/x") == "s3://b/x" and arrow_uri("file:/a/b") == "file:///a/b"
+
+
+def test_empty_golden_fails_its_case_only(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "labels")
+    make_tree(root, {"label_001": {"a.png": "", "expected_output.json": json.dumps({"f": "v"})}, "label_002": {"a.png": ""}})
+    open(os.path.join(root, "label_002", "expected_output.json"), "w").close()
+    out = assess.run(spark, root, lambda: (lambda rec: {"f": "v"}))
+    assert [r.case_no for r in out.case_stats.collect()] == [1]
+    assert [(r.case_no, r.error.split(":")[0]) for r in out.failures.collect()] == [(2, "golden")]
+
+
 @pytest.mark.parametrize("structure,message", [
     ({"label_001": {"image001.png": "", "image002.jpg": ""}}, "Expected output JSON not found"),
     ({"label_001": {"expected_output.json": "{}"}}, "No image files found"),
