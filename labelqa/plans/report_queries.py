@@ -111,7 +111,7 @@ def csv_report_rows(spark, sf):
     """The report of a run as CSV files, read back."""
     path = _new_path(spark, "csv")
     sink.write_csv(_timed_scores(spark, sf), path, "r1")
-    back = report_scores(read_report(spark, f"{path}/run_id=r1"))
+    back = report_scores(read_report(spark, f"{path}/run_id=r1", positions=True))
     return back.select("case_no", "path", "pass_fail", "score", "speed", "expected", "actual", "hit")
 
 
@@ -123,7 +123,7 @@ def report_field_stats(spark, sf):
     """Field statistics of a report that only exists as files."""
     path = _new_path(spark, "csv")
     sink.write_csv(_timed_scores(spark, sf), path, "r1")
-    return stats.by_field(report_scores(read_report(spark, f"{path}/run_id=r1")), file_order=True).drop("first_pos")
+    return stats.by_field(report_scores(read_report(spark, f"{path}/run_id=r1", positions=True)), file_order=True).drop("first_pos")
 
 
 def _fixed_lines(section: int, lines: list[str]) -> str:

@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from labelqa.operators import stats
@@ -68,14 +69,14 @@ def test_csv_round_trip(spark, tmp_dir):
     texts = {r["Field Name"]: r for r in rows if r["Test Case"] == 1}
     assert texts["npk"]["Actual Value"] == "FIELD_NOT_FOUND"
     assert texts["note"]["Expected Value"] == 'say "hi"\nnow'       # T11
-    again = stats.by_field(src.report_scores(back), file_order=True).collect()
+    again = stats.by_field(src.report_scores(src.read_report(spark, os.path.join(path, "run_id=r1"), positions=True)), file_order=True).collect()
     assert [r.path for r in again] == ["name", "npk", "note", "extra"]
     assert again[1].missing_rate == 0.5
     # several part files: file-name order, whatever the split packing
     multi = os.path.join(tmp_dir, "multi")
     rows = sink.report_rows(scored(spark)).orderBy("Test Case", "_pos").drop("_pos")
     rows.repartitionByRange(3, "Test Case").write.option("header", True).option("escape", '"').csv(multi)
-    again = stats.by_field(src.report_scores(src.read_report(spark, multi)), file_order=True).collect()
+    again = stats.by_field(src.report_scores(src.read_report(spark, multi, positions=True)), file_order=True).collect()
     assert [r.path for r in again] == ["name", "npk", "note", "extra"]
 
 
@@ -117,3 +118,39 @@ def test_speed_absent_is_not_available(spark):
     o = stats.overall(s)
     lines = [r.line for r in sink.overall_lines(o).orderBy("k").collect()]
     assert lines[1] == "- Average Pipeline Speed: Not available"
+
+
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp_dir):
+    """Fields with line ends, quotes and separators across split borders: rows
+    and order as the reader of whole files gives them."""
+    import csv
+    import random
+
+    from labelqa.schema import REPORT, REPORT_COLUMNS
+    rng = random.Random(5)
+    folder = os.path.join(tmp_dir, "big")
+    os.makedirs(folder)
+    for name, rows in (("a.csv", 700), ("b.csv", 3), ("c.csv", 0)):
+        with open(os.path.join(folder, name), "w", newline="") as fh:
+            out = csv.writer(fh, lineterminator="\r\n" if name == "b.csv" else "\n")
+            out.writerow(REPORT_COLUMNS)
+            for i in range(rows):
+                text = "".join(rng.choice('ab ,"\n é') for _ in range(rng.choice([0, 3, 30, 5000 if i % 97 == 0 else 8])))
+                out.writerow([i, f"f[{i % 7}]", "Pass", f"{i % 100}.50", "0.1250", text, "x" + text[::-1]])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = src.read_report(spark, folder, positions=True)
+        assert found.rdd.getNumPartitions() > 20
+        got = [tuple(r) for r in found.orderBy("file", "pos").drop("file", "pos").collect()]
+        df = spark.read.schema(REPORT).option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST").csv(folder)
+        assert sorted(map(repr, got)) == sorted(repr(tuple(r)) for r in df.collect())
+        assert [r[0] for r in got] == [*range(700), 0, 1, 2]
+        with open(os.path.join(folder, "d.csv"), "w") as fh:
+            fh.write(",".join(REPORT_COLUMNS) + "\nnot a number,f,Pass,1.0,1.0,a,b\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            src.read_report(spark, folder).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
