@@ -12,9 +12,9 @@ rest of its target goes to the other values by their shares, and
 with the chance of its cell, decided by a hash of its id, so a rerun takes the
 same documents.
 
-``probabilities`` is the older formula, ten rounds and then
-``min(1, budget * weight / words of the cell)``, which misses targets and budget
-where it cuts; only the query ``op7_mixing`` uses it, as its SQL says.
+Marginals that can be met one by one may still not be met together; then the
+rounds run out, a warning says how many words are astray, and ``reached_shares``
+shows where.
 
 Sums are partial aggregates, so a source with a third of all rows is no hot
 spot; the cell table never leaves Spark, and each round is written to the
@@ -32,6 +32,7 @@ gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,7 +44,7 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Literal markers by topic; the topic whose markers a text holds most often wins.
 TOPICS = {"legal": ("icense", "opyright", "CC BY"), "contact": ("@", "+1", "phone"), "tables": (" | ", "\t"),
           "markup": ("***", "%%%", "&&&", "###"), "quoted": ("!!", "??")}
-ROUNDS, FLATTEN, BUDGET, SEED, CELL_BOUND = 10, 0.7, 0.6, 17, 50_000
+FLATTEN, BUDGET, SEED, CELL_BOUND = 0.7, 0.6, 17, 50_000
 #: Of the capped raking: largest error of a marginal, as a share of the budget, and rounds after which it stops in any case.
 TOLERANCE, MOST_ROUNDS = 1e-6, 60
 
@@ -84,35 +85,6 @@ def _same(a: DataFrame, b: DataFrame, names) -> Column:
     return reduce(lambda x, y: x & y, (a[n].eqNullSafe(b[n]) for n in names))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
-         flatten: float = FLATTEN) -> DataFrame:
-    """``cells(source, lang, topic, words)`` -> the same with ``weight``; the
-    weights sum to 1 and meet the shares of the last dimension exactly."""
-    now = cells.where("words > 0").withColumn("weight", F.col("words").cast("double"))
-    for dim in DIMENSIONS:
-        share = (targets or {}).get(dim)
-        share = target_shares(cells.where("words > 0"), dim, flatten) if share is None else share
-        share = share.select(F.col(dim).alias("value"), F.col("share").alias(f"to_{dim}"))
-        now = now.join(share, now[dim].eqNullSafe(share["value"]), "left").drop("value")
-    now = store(now, "cells")
-    for _ in range(rounds):
-        for dim in DIMENSIONS:
-            total = now.groupBy(dim).agg(F.sum("weight").alias("total")).withColumnRenamed(dim, "value")
-            now = now.join(total, now[dim].eqNullSafe(total["value"]))
-            now = now.withColumn("weight", F.col("weight") * F.coalesce(f"to_{dim}", F.lit(0.0)) / F.nullif("total", F.lit(0.0)))
-            now = now.withColumn("weight", F.coalesce("weight", F.lit(0.0))).drop("total", "value")
-        now = store(now, "cells")
-    return now.select(*DIMENSIONS, "words", "weight")
-
-
-def probabilities(cells: DataFrame, budget: float = BUDGET, **raking) -> DataFrame:
-    """``(source, lang, topic, p)``: the chance of a document of the cell."""
-    raked = rake(cells, **raking)
-    total = raked.agg(F.sum("words").alias("n")).first()["n"] or 0      # one number
-    chance_of = F.round(F.least(F.lit(1.0), F.lit(budget * total) * F.col("weight") / F.col("words")), 9)
-    return raked.select(*DIMENSIONS, chance_of.alias("p"))
-
-
 def _scaled(rows: DataFrame, by: list[str], aim: Column, order: tuple[str, ...]) -> DataFrame:
     """``ratio`` times the factor at which ``words * min(1, ratio)`` sums to ``aim`` over each ``by``."""
     part = Window.partitionBy(*by)
@@ -165,6 +137,8 @@ def capped(cells: DataFrame, budget: float = BUDGET, targets: dict[str, DataFram
         error = _marginals(now).agg(F.max(F.abs(F.col("reached") - F.col("reachable"))).alias("n")).first()["n"] or 0.0      # one number
         if error <= tolerance * wanted:
             break
+    else:
+        warnings.warn(f"raking stopped after {rounds} rounds with {error:.6g} words of {wanted:.6g} astray; see reached_shares", stacklevel=2)
     return now
 
 
@@ -191,11 +165,11 @@ def with_probability(rows: DataFrame, p: DataFrame) -> DataFrame:
     return rows.join(side, same, "left").withColumn("p", F.coalesce("_p", F.lit(0.0))).drop("_p", *(f"_{d}" for d in DIMENSIONS))
 
 
-def mixture(docs: DataFrame, budget: float = BUDGET, seed: int = SEED, chances=capped_probabilities, **raking) -> DataFrame:
+def mixture(docs: DataFrame, budget: float = BUDGET, seed: int = SEED, **raking) -> DataFrame:
     """One row per document: ``doc_id, source, lang, topic, n_words, p, selected``."""
     text = text_of()
     rows = store(docs.select("doc_id", "source", "lang", topic_of(text).alias("topic"), words_in(text).alias("n_words"), chance(F.col("doc_id"), text, seed).alias("u")), "mix")
-    out = with_probability(rows, chances(cells_of(rows), budget, **raking))
+    out = with_probability(rows, capped_probabilities(cells_of(rows), budget, **raking))
     return out.select("doc_id", *DIMENSIONS, "n_words", "p", (F.col("u") < F.col("p")).alias("selected"))
 
 
@@ -206,34 +180,3 @@ def sampled_documents(docs: DataFrame, budget: float = BUDGET, seed: int = SEED,
                        words_in(text).alias("n_words"), chance(F.col("doc_id"), text, seed).alias("_u"))
     cells = store(cells_of(rows), "cells")
     return with_probability(rows, capped_probabilities(cells, budget, **raking)).where("_u < p").select("_row.*")
-
-
-def mixture_sql(rounds: int = ROUNDS, flatten: float = FLATTEN, budget: float = BUDGET, seed: int = SEED) -> str:
-    """``mixture`` by ``probabilities`` in DuckDB's SQL, one common table per scaling step."""
-    def held(markers):
-        return "+".join(f"floor((strlen(t)-strlen(replace(t,{m!r},'')))/{len(m)})" for m in (m.replace("\t", "\t") for m in markers)).replace("'\\t'", "chr(9)")
-
-    counts = [held(m) for m in TOPICS.values()]
-    cases = " ".join(f"when c{k}=greatest({','.join(f'c{i}' for i in range(len(counts)))}) then '{n}'" for k, n in enumerate(TOPICS))
-    none = "+".join(f"c{k}" for k in range(len(counts)))
-    sql = f"""with d as (select doc_id, source, lang, coalesce(text,'') t from documents),
-k as (select *, {', '.join(f'{c} as c{k}' for k, c in enumerate(counts))} from d),
-r as (select doc_id, source, lang, case when {none}=0 then 'general' {cases} end as topic,
- len(regexp_extract_all(t,'[^\\x20\\x09-\\x0D]+'))::bigint as n_words,
- ('0x'||substr(md5('{seed}:'||coalesce(doc_id::varchar,'-'||t)),1,13))::bigint::double/{1 << 52}::double as u from k),
-c as (select source, lang, topic, sum(n_words)::double as words from r group by all having sum(n_words)>0),
-"""
-    for dim in DIMENSIONS:
-        sql += f"to_{dim} as (select {dim}, pow(sum(words),{flatten}) as part from c group by 1), "
-    now = "select source, lang, topic, words, words as w from c"
-    step = 0
-    for _ in range(rounds):
-        for dim in DIMENSIONS:
-            sql += f"w{step} as ({now}), "
-            now = (f"select a.source, a.lang, a.topic, a.words, a.w*(t.part/(select sum(part) from to_{dim}))/sum(a.w) over (partition by a.{dim}) as w "
-                   f"from w{step} a join to_{dim} t on a.{dim} is not distinct from t.{dim}")
-            step += 1
-    return sql + f"""w as materialized ({now}),
-p as (select source, lang, topic, round(least(1.0, {budget}::double*(select sum(words) from w)*w/words),9) as p from w)
-select r.doc_id, r.source, r.lang, r.topic, r.n_words, coalesce(p.p,0.0::double) as p, u < coalesce(p.p,0.0) as selected
-from r left join p on r.source is not distinct from p.source and r.lang is not distinct from p.lang and r.topic is not distinct from p.topic"""

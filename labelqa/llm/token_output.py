@@ -23,6 +23,7 @@ hashed into the domain; numbers that coincide only share their place.
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SEQ_LEN, KEY, ROUNDS, END = 512, 0x5EED_0F_0DE5, 6, "\x00\x00"
 SHARD_TEXT_BYTES, MOST_SHARDS = 64 << 20, 20_000
 
+#: White space of the pattern; runs from LONG_RUN on are cut out before it, since
+#: its backtracking over a run of about half a million overflows the stack.
+LONG_RUN, SPACES = 10_000, "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 _ENCODERS: dict = {}
 
 
@@ -50,6 +55,18 @@ def encoder(ranks_file: bytes):
     return _ENCODERS[key]
 
 
+def token_ids(encode, text: str, long_run: int = LONG_RUN) -> list[int]:
+    """The ids of the whole text. A run of white space is one match of the
+    pattern but for its last character, which belongs to what follows."""
+    out, at = [], 0
+    for run in re.finditer(f"[{SPACES}]{{{long_run},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encode.encode_ordinary(text[at:run.start()])
+        out += encode._encode_single_piece(text[run.start():end])
+        at = end
+    return out + encode.encode_ordinary(text[at:])
+
+
 class Feistel:
     """A keyed permutation of range(size); values outside walk on until inside."""
 
@@ -106,7 +123,7 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, key: int =
                 ids, texts, hashes = (piece.column(k).to_pylist() for k in range(3))
                 blocks = []
                 for doc, text, mark in zip(ids, texts, hashes, strict=True):
-                    tokens = np.array([*encode.encode_ordinary(text), end], "<u2")
+                    tokens = np.array([*token_ids(encode, text), end], "<u2")
                     n = -(-len(tokens) // seq_len)
                     out = np.zeros(n, record)
                     flat = np.full(n * seq_len, end, "<u2")

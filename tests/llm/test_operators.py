@@ -313,16 +313,91 @@ def test_sparse_document_ids(spark):
     assert {r.doc_id for r in token_output.training_order(df, seq_len=4).collect()} == {-2**62, 2**62, 0}
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "\u3000 \t"])
+def test_long_white_space_has_the_ids_of_the_pattern(run):
+    encode, _ = token_output.encoder(open(token_output.VOCABULARY, "rb").read())
+    for text in (run * 3000, "x" + run * 3000 + "y", "x " + run * 3000 + "'s 1" + run * 3000 + "\n", run * 3000 + ".", "a b" + run * 2 + "c"):
+        assert token_output.token_ids(encode, text, long_run=5) == encode.encode_ordinary(text)
+
+
+def test_texts_of_millions_of_one_character(spark):
+    texts = ["x" + " " * 5_000_000 + "y", "\n" * 5_000_000, "a" * 5_000_000, "!" * 5_000_000]
+    encode, end = token_output.encoder(open(token_output.VOCABULARY, "rb").read())
+    path = shared_path(spark, "long")
+    token_output.write_shards(frame(spark, list(enumerate(texts))), path)
+    got = token_output.read_sequences(spark, path)
+    n = {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert n == {i: len(token_output.token_ids(encode, t)) + 1 for i, t in enumerate(texts)}
+    parts = got.where("doc_id = 0").orderBy("piece").select("tokens").collect()
+    ids = np.frombuffer(b"".join(r.tokens for r in parts), "<u2").tolist()
+    assert encode.decode(ids[:-1]) == texts[0]
+
+
 # ------------------------------------------------------------------ 7
 
-def test_raking_meets_the_targets(spark):
-    cells = spark.createDataFrame([(s, g, t, 10 + 7 * i) for i, (s, g, t) in enumerate((s, g, t) for s in ("a", "b", None) for g in ("en", None) for t in ("x", "y"))], "source string, lang string, topic string, words long")
-    goal = {"source": {"a": .2, "b": .5, None: .3}, "lang": {"en": .7, None: .3}, "topic": {"x": .4, "y": .6}}
+def brute_raking(cells, goal, budget):
+    """Capped raking by bisection: chance min(1, product of factors), every reachable marginal met."""
+    words = cells
+    wanted = budget * sum(words.values())
+
+    def factor(parts, aim):
+        if sum(n for n, r in parts if r > 0) <= aim:
+            return max(1 / r for _, r in parts if r > 0)
+        low, high = 0.0, max(1 / r for _, r in parts if r > 0)
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(n * min(1, mid * r) for n, r in parts) < aim else (low, mid)
+        return high
+
+    aims = []
+    for k, dim in enumerate(("source", "lang", "topic")):
+        held = defaultdict(int)
+        for c, n in words.items():
+            held[c[k]] += n
+        f = factor([(n, goal[dim][v] / n) for v, n in held.items()], wanted)
+        aims.append({v: n * min(1, f * goal[dim][v] / n) for v, n in held.items()})
+    ratio = dict.fromkeys(words, 1.0)
+    for _ in range(400):
+        for k, aim in enumerate(aims):
+            for v, want in aim.items():
+                inside = [c for c in words if c[k] == v]
+                f = factor([(words[c], ratio[c]) for c in inside], want)
+                ratio |= {c: min(1e100, ratio[c] * f) for c in inside}
+    return {c: min(1.0, r) for c, r in ratio.items()}, aims
+
+
+def test_raking_equals_brute_force(spark):
+    """Null values, cells taken whole whose share goes to others."""
+    rng = random.Random(7)
+    words = {(s, g, t): rng.randint(300, 900) for s in ("a", "b", None) for g in ("en", "fr", None) for t in ("x", "y", "z")}
+    goal = {"source": {"a": .45, "b": .3, None: .25}, "lang": {"en": .45, "fr": .3, None: .25}, "topic": {"x": .3, "y": .3, "z": .4}}
+    cells = spark.createDataFrame([(*c, n) for c, n in words.items()], "source string, lang string, topic string, words long")
     targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, share double") for d, v in goal.items()}
-    rows = mixing.rake(cells, targets, rounds=15).collect()
-    for d, want in goal.items():
-        for value, share in want.items():
-            assert sum(r.weight for r in rows if r[d] == value) == pytest.approx(share, abs=1e-6)
+    got = {tuple(r)[:3]: r.p for r in mixing.capped_probabilities(cells, 0.6, targets=targets, tolerance=1e-7).collect()}
+    want, aims = brute_raking(words, goal, 0.6)
+    assert any(p == 1 for p in want.values()) and any(p < 1 for p in want.values())
+    for k, aim in enumerate(aims):
+        for value, n in aim.items():
+            assert sum(words[c] * got[c] for c in words if c[k] == value) == pytest.approx(n, rel=1e-4)
+    assert got == pytest.approx(want, abs=1e-4)
+    assert sum(words[c] * got[c] for c in words) == pytest.approx(0.6 * sum(words.values()), rel=1e-5)
+
+
+def test_raking_says_when_it_does_not_settle(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 100), ("b", "fr", "x", 100), ("b", "en", "x", 1)], "source string, lang string, topic string, words long")
+    share = lambda d, **v: spark.createDataFrame(list(v.items()), f"{d} string, share double")
+    with pytest.warns(UserWarning, match="raking stopped"):
+        mixing.capped(cells, 0.5, {"source": share("source", a=.9, b=.1), "lang": share("lang", en=.1, fr=.9), "topic": share("topic", x=1.0)}, rounds=2)
+
+
+def test_mixture_of_documents_meets_its_marginals(spark):
+    """The query: expected words by value are those that can be had, the budget is spent."""
+    got = queries.op7_mixing(spark, SF).collect()
+    whole = sum(r.n_words for r in got)
+    assert sum(r.n_words * r.p for r in got) == pytest.approx(mixing.BUDGET * whole, rel=1e-5)
+    rows = spark.createDataFrame(got).selectExpr("source", "lang", "topic", "n_words")
+    for r in mixing.reached_shares(mixing.cells_of(rows)).collect():
+        assert sum(x.n_words * x.p for x in got if str(x[r.dim]) == r.value) == pytest.approx(r.reachable * mixing.BUDGET * whole, abs=1e-4 * whole)
 
 
 def test_mixture_on_awkward_rows(spark, awkward, empty):
