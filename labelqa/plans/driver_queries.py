@@ -310,8 +310,7 @@ def registration_validate(spark, sf):
 
 # The same fields for an engine without look-around: the neighbours are part
 # of the match and group 1 is the field.
-_PHONE_FIND_SQL = (r"(?:^|[^0-9A-Za-z+(\-])((?:\+?1[ .\-]?)?\(?[0-9]{3}\)?[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
-                   r"|\+[0-9]+(?:[ .\-]?\(?[0-9]+\)?)*)\b")
+_PHONE_FIND_SQL = r"(?:^|[^0-9A-Za-z+\-]|(?:^|[^0-9])-)(" + extract.PHONE_FORMS + ")"
 _REGISTRATION_FIND_SQL = r"(?:^|[^0-9A-Za-z])([0-9]{7}[A-Z])(?:$|[^0-9A-Za-z])"
 _GRADE_FIND_SQL = (r"(?:^|[^0-9A-Za-z.\-])([0-9]{1,3}(?:\.[0-9]+)?-[0-9]{1,3}(?:\.[0-9]+)?-[0-9]{1,3}(?:\.[0-9]+)?)"
                    r"(?:$|[^0-9A-Za-z\-])")
@@ -335,6 +334,26 @@ def _customer_phone(k="c_custkey", n="c_nationkey"):
            || ' or fax' END"""
 
 
+# Numbers inside running text in the forms that people write. The SQL knows
+# what stands in each text and its number; it does not search.
+_LAST4 = "lpad(CAST(c_custkey % 10000 AS {t}), 4, '0')"
+_WRITTEN = [  # text before, number, text after, E.164
+    ("'ring '", "'011 44 20 7946 ' || {l}", "' soon'", "'+44207946' || {l}"),
+    ("'free ('", "'1-800-327-' || {l}", "')'", "'+1800327' || {l}"),
+    ("'at '", "'450 - 655 - ' || {l}", "''", "'+1450655' || {l}"),
+    ("'Tel-'", "'450-655-' || {l}", "', daily'", "'+1450655' || {l}"),
+    ("'call '", "'(450)  655-' || {l}", "' now'", "'+1450655' || {l}"),
+    ("''", "'450/655/' || {l}", "'.'", "'+1450655' || {l}"),
+    ("'dial '", "'1-800-GOT-JUNK'", "', box ' || c_custkey", "'+18004685865'"),
+]
+
+
+def _written(part, t="VARCHAR"):
+    """The chosen parts of the form that a customer's key picks."""
+    pick = lambda row: " || ".join(row[k].replace("{l}", _LAST4.format(t=t)) for k in part)
+    return "CASE c_custkey % 7 " + " ".join(f"WHEN {i} THEN {pick(row)}" for i, row in enumerate(_WRITTEN)) + " END"
+
+
 @register("phone_standardize", f"""
 WITH c AS (SELECT doc_id, regexp_extract_all(text, '{_PHONE_FIND_SQL}', 1) AS arr FROM documents),
 cand AS (
@@ -344,12 +363,13 @@ cand AS (
   UNION ALL
   SELECT 'customer', c_custkey, 0, {_customer_phone()} FROM customer
 )
-SELECT src, id, pos, raw, {_phone_sql('raw')} AS e164 FROM cand""")
+SELECT src, id, pos, raw, {_phone_sql('raw')} AS e164 FROM cand
+UNION ALL SELECT 'written', c_custkey, 0, {_written([1])}, {_written([3])} FROM customer""")
 def phone_standardize(spark, sf):
     # candidates keep their position in the text: narrow, no grouping shuffle
-    docs = table(spark, sf, "documents").select(
-        F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-        F.posexplode(F.regexp_extract_all("text", F.lit(extract.PHONE_FIND_RE), 0)).alias("pos", "raw"))
+    texts = table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text").unionByName(
+        table(spark, sf, "customer").select(F.lit("written").alias("src"), F.col("c_custkey").alias("id"), F.expr(_written([0, 1, 2], "STRING")).alias("text")))
+    docs = texts.select("src", "id", F.posexplode(F.regexp_extract_all("text", F.lit(extract.PHONE_FIND_RE), 0)).alias("pos", "raw"))
     cust = table(spark, sf, "customer").select(
         F.lit("customer").alias("src"), F.col("c_custkey").alias("id"), F.lit(0).alias("pos"),
         F.expr(_customer_phone().replace("VARCHAR", "STRING")).alias("raw"))

@@ -383,3 +383,13 @@ def test_record_stage_retries_failures(spark, tmp_dir):
     failed = stages.record_stage(spark, text_store, "doc_id", {"m": flaky(set())}, rec_store)
     assert failed.count() == 0
     assert sorted(r.doc_id for r in spark.read.parquet(rec_store).collect()) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("text,number", [
+    ("ring 011 44 20 7946 0958 soon", "+442079460958"), ("(1-800-327-9462)", "+18003279462"), ("450 - 655 - 6147", "+14506556147"),
+    ("Tel-450-655-6147", "+14506556147"), ("call (450)  655-6147", "+14506556147"), ("450/655/6147", "+14506556147"), ("1-800-GOT-JUNK", "+18004685865"),
+    ("+1 (450) 655 6147", "+14506556147"), ("011-44-2079460958.", "+442079460958"), ("grade 10-450-655-6147", None), ("key A4506556147", None), ("450 655 61470", None),
+])
+def test_phone_numbers_in_running_text(spark, text, number):
+    got = spark.createDataFrame([(text,)], "t string").select(extract.pattern_fields(F.col("t"))["phone_number"].alias("n")).first()
+    assert got.n == number
