@@ -267,3 +267,31 @@ def case_inventory(spark, sf):
     numbers = cases.number_cases(found.where(F.size("issues") == 0)).select("case_dir", F.col("case_no").cast("long").alias("case_no"))
     return found.join(numbers, "case_dir", "left").select("dir", "case_dir", F.col("n_images").cast("long").alias("n_images"), "golden",
                                                           F.concat_ws("; ", "issues").alias("issues"), "case_no")
+
+
+# ---------------------------------------------------------------- N9: the nutrients of a guaranteed analysis
+# Null, absent and filled lists, an entry without its required name, no analysis.
+
+_ANALYSIS = """CASE WHEN p_partkey % 20 = 6 THEN '{"guaranteed_analysis_en": {"title": "T", "nutrients": [{"nutrient": null, "value": 1, "unit": "%"}]}}'
+  WHEN p_partkey % 4 = 0 THEN '{"guaranteed_analysis_en": {"title": "T", "nutrients": null}}'
+  WHEN p_partkey % 4 = 1 THEN '{"guaranteed_analysis_en": {"title": "T"}}'
+  WHEN p_partkey % 4 = 2 THEN '{"guaranteed_analysis_en": {"title": "T", "nutrients": [{"nutrient": "N' || CAST(p_size AS STRING) || '", "value": "about '
+    || CAST(p_size AS STRING) || '.5 percent", "unit": "%"}, {"nutrient": "P", "value": -3, "unit": null}]}}'
+  ELSE '{"guaranteed_analysis_en": null}' END"""
+
+
+@register("nutrient_standardize", """
+WITH p AS (SELECT p_partkey, p_size, p_partkey % 20 <> 6 AS accepted, CASE WHEN p_partkey % 20 = 6 THEN -1 ELSE p_partkey % 4 END AS form FROM part)
+SELECT p_partkey, accepted, CASE WHEN accepted THEN form <> 3 END AS has_analysis,
+       CAST(CASE WHEN form IN (0, 1) THEN 0 WHEN form = 2 THEN 2 END AS BIGINT) AS n_nutrients,
+       CASE WHEN form IN (0, 1) THEN '' WHEN form = 2 THEN 'N' || p_size || '=' || p_size || '.5 %;P=-3.0 ' END AS nutrients
+FROM p""")
+def nutrient_standardize(spark, sf):
+    from ..operators import standardize
+    raw = table(spark, sf, "part").select("p_partkey", F.expr(_ANALYSIS).alias("doc"))
+    std = standardize.standardize(raw, "doc", ["p_partkey"])
+    accepted, analysis = F.size("_issues") == 0, F.col("record")["guaranteed_analysis_en"]
+    shown = F.transform(analysis["nutrients"], lambda n: F.concat(n["nutrient"], F.lit("="), n["value"].cast("string"), F.lit(" "), F.coalesce(n["unit"], F.lit(""))))
+    there = accepted & analysis.isNotNull()
+    return std.select("p_partkey", accepted.alias("accepted"), F.when(accepted, analysis.isNotNull()).alias("has_analysis"),
+                      F.when(there, F.size(analysis["nutrients"])).cast("long").alias("n_nutrients"), F.when(there, F.array_join(shown, ";")).alias("nutrients"))
