@@ -17,6 +17,7 @@ import functools
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,31 +141,21 @@ def leaves_of(data) -> list[dict]:
 ISSUE = "error"     # kind of the one row that stands for a record without leaves
 
 
-def _issue_of(s) -> str | None:
-    """Why a text has no leaves: null if it parses."""
+def _read(s):
+    """``(leaves, issue)`` of a text, by one parse and one walk."""
     if s is None:
-        return None
+        return None, None
     try:
-        leaves_of(json.loads(s))
+        return leaves_of(json.loads(s)), None
     except ValueError:
-        return "invalid_json"
+        return None, "invalid_json"
     except RecursionError:
-        return "nested_too_deep"
-    return None
-
-
-def _leaves_of_text(s):
-    if s is None:
-        return None
-    try:
-        return leaves_of(json.loads(s))
-    except (ValueError, RecursionError):
-        return None
+        return None, "nested_too_deep"
 
 
 @F.pandas_udf(T.StringType())
 def _json_issue_udf(s: pd.Series) -> pd.Series:
-    return s.map(_issue_of)
+    return s.map(lambda text: _read(text)[1])
 
 
 def json_issue(col) -> Column:
@@ -175,7 +166,7 @@ def json_issue(col) -> Column:
 
 @F.pandas_udf(LEAVES)
 def _json_leaves_udf(s: pd.Series) -> pd.Series:
-    return s.map(_leaves_of_text)
+    return s.map(lambda text: _read(text)[0])
 
 
 def json_leaves(col) -> Column:
@@ -184,6 +175,22 @@ def json_leaves(col) -> Column:
     return _json_leaves_udf(col)
 
 
+READ = T.StructType([T.StructField("leaves", LEAVES), T.StructField("issue", T.StringType())])
+
+
+def json_read(col) -> Column:
+    """``struct(leaves, issue)``: what ``json_leaves`` and ``json_issue`` give, from one walk."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    kinds = [to_arrow_type(f.dataType) for f in READ.fields]
+
+    @F.arrow_udf(READ)
+    def read(texts: pa.Array) -> pa.Array:
+        found = [_read(s) for s in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kinds[k]) for k in (0, 1)], READ.names)
+
+    return read(F.col(col) if isinstance(col, str) else col)
+
+
 def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
     """Long form ``(keep..., pos, path, value, kind)`` of JSON text, directly.
 
@@ -203,9 +210,9 @@ def json_leaf_rows(df: DataFrame, keep: list[str], col: str) -> DataFrame:
             texts = pdf.iloc[:, len(keep)].tolist()
             carried = [pdf.iloc[:, k].tolist() for k in range(len(keep))]
             for k, text in enumerate(texts):
-                rows = _leaves_of_text(text)
-                if rows is None and text is not None:
-                    rows = [{"pos": -1, "path": None, "value": _issue_of(text), "kind": ISSUE}]
+                rows, issue = _read(text)
+                if issue is not None:
+                    rows = [{"pos": -1, "path": None, "value": issue, "kind": ISSUE}]
                 if not rows:
                     continue
                 for c, values in zip(keep, carried, strict=True):

@@ -39,12 +39,17 @@ def score_json(pairs: DataFrame, key: str = "case_no", speed: str | None = None)
     keep = [key] + ([speed] if speed else [])
     rec = pairs.select(*keep, leaves.json_leaves("expected_json").alias("e"),
                        leaves.json_leaves("actual_json").alias("a"))
-    rec = rec.select(*keep, F.coalesce("e", F.array().cast(leaves.LEAVES)).alias("e"),
-                     F.coalesce("a", F.array().cast(leaves.LEAVES)).alias("a"))
-    out = scoring.score_records(rec, "e", "a", keep)
+    out = score_leaf_lists(rec, keep)
     return out.withColumnRenamed(key, "case_no") if key != "case_no" else out
 
 
+def score_leaf_lists(rec: DataFrame, keep: list[str]) -> DataFrame:
+    """Score ``(keep, e, a)`` rows of leaf lists; a null list has no leaves."""
+    none = F.array().cast(leaves.LEAVES)
+    rec = rec.select(*keep, F.coalesce("e", none).alias("e"), F.coalesce("a", none).alias("a"))
+    return scoring.score_records(rec, "e", "a", keep)
+
+
 def validated(produced: DataFrame, raw: str, keep: list[str]) -> DataFrame:
     """``keep, actual_json, error``: the produced JSON as the record that
     standardisation makes of it, nulls and defaults kept, or why it is rejected."""
@@ -63,13 +68,14 @@ def assess_pairs(spark: SparkSession, pairs: DataFrame, failed: DataFrame | None
     keep = ["case_no", "expected_json", "speed"]
     pairs = (validated(pairs, "actual_json", keep) if validate
              else pairs.select(*keep, "actual_json", F.lit(None).cast("string").alias("error")))
-    problem = F.coalesce("error", F.concat(F.lit("golden: "), leaves.json_issue("expected_json")),
-                         F.concat(F.lit("produced: "), leaves.json_issue("actual_json")))
-    pairs = durable(pairs.withColumn("error", problem), "pairs")
-    failures = pairs.where(F.col("error").isNotNull()).select("case_no", "error")
+    # each text is parsed and walked once: leaves and issue together, stored before they are used twice
+    read = pairs.select("case_no", "speed", "error", leaves.json_read("expected_json").alias("e"), leaves.json_read("actual_json").alias("a"))
+    problem = F.coalesce("error", F.concat(F.lit("golden: "), "e.issue"), F.concat(F.lit("produced: "), "a.issue"))
+    read = durable(read.select("case_no", "speed", problem.alias("error"), F.col("e.leaves").alias("e"), F.col("a.leaves").alias("a")), "pairs")
+    failures = read.where(F.col("error").isNotNull()).select("case_no", "error")
     if failed is not None:
         failures = failed.unionByName(failures, allowMissingColumns=True)
-    scores = durable(score_json(pairs.where(F.col("error").isNull()).drop("error"), "case_no", "speed"), "scores")
+    scores = durable(score_leaf_lists(read.where(F.col("error").isNull()), ["case_no", "speed"]), "scores")
     field = stats.by_field(scores)
     case = stats.by_case(scores)
     overall = stats.overall(scores)
