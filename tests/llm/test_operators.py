@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, its SQL or a round trip, and on awkward rows."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -530,6 +531,78 @@ def test_leaks_with_substitutions(spark, awkward, empty):
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(awkward, bench.limit(0)).count() == 0
 
 
+def brute_leaks(doc, item, identity=80, min_words=13):
+    """Every diagonal, every stretch on it: the longest that begins and ends with an equal word."""
+    found = set()
+    for shift in range(1 - len(item), len(doc)):
+        best = None
+        pairs = [(at, doc[at] == item[at - shift]) for at in range(max(0, shift), min(len(doc), shift + len(item)))]
+        for b in range(len(pairs)):
+            for a in range(b + 1):
+                n, same = b - a + 1, sum(x[1] for x in pairs[a:b + 1])
+                if pairs[a][1] and pairs[b][1] and 100 * same >= identity * n and n > (best or (0, 0))[1]:
+                    best = (pairs[a][0], n, same)
+        if best and best[1] >= min(min_words, len(item)):
+            found.add(best)
+    return found
+
+
+@pytest.mark.parametrize("identity, min_words", [(80, 13), (70, 8), (100, 6)])
+def test_leaks_equal_brute_force(identity, min_words):
+    rng = random.Random(identity)
+    item = lambda n: [rng.choice("abcdefgh") for _ in range(n)]
+    items = [item(n) for n in (1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 17, 20, 26)] + [["a"] * 16]
+    seeds = decontaminate.Seeds([(k, " ".join(x)) for k, x in enumerate(items)], identity=identity, min_words=min_words)
+    docs = [[], ["a"] * 30, ["zz"] * 30]
+    for k in range(60):
+        part = list(items[k % len(items)])
+        for at in rng.sample(range(len(part)), len(part) // 5):
+            part[at] = "zz"
+        docs.append(item(rng.randint(0, 12)) + part[rng.randint(0, 2):] + item(rng.randint(0, 12)))
+    got = seeds.leaks([" ".join(d) for d in docs])
+    for d, hits in zip(docs, got, strict=True):
+        assert set(hits) == {(k, *hit) for k, x in enumerate(items) for hit in brute_leaks(d, x, identity, min_words)} and len(hits) == len(set(hits))
+
+
+@pytest.mark.parametrize("size", range(1, 21))
+def test_every_accepted_substitution_is_found(size):
+    """All inner places of as many other words as the rule allows."""
+    words = [f"w{k}" for k in range(size)]
+    seeds = decontaminate.Seeds([(0, " ".join(words))])
+    texts = []
+    for away in itertools.combinations(range(1, max(1, size - 1)), min(size // 5, max(0, size - 2))):
+        texts.append(" ".join("other" if k in away else w for k, w in enumerate(words)))
+    assert texts and all(hits for hits in seeds.leaks(texts))
+
+
+def test_masks_are_proven():
+    assert decontaminate.complete(decontaminate.MASKS)
+    assert not decontaminate.complete(("1111111",)) and not decontaminate.complete(decontaminate.MASKS[:3])
+    for identity, least in ((70, 10), (60, 5), (90, 20), (100, 1)):
+        assert decontaminate.complete(decontaminate.masks_for(identity, least), identity, least)
+
+
+def test_leaks_in_unspaced_script_and_long_texts(spark):
+    item = "\u5929\u5730\u7384\u9ec4\u5b87\u5b99\u6d2a\u8352\u65e5\u6708\u76c8\u6603\u8fb0\u5bbf\u5217\u5f20"
+    thai = "\u0e01\u0e02\u0e04\u0e07\u0e08"
+    bench = spark.createDataFrame([(1, item), (2, "Same same same same"), (3, thai), (4, "the")], "item_id long, text string")
+    rows = [(1, "x" * 50 + item[:8] + "\u3002" + item[8:] + "y"), (2, item[:5] + "\u4e00" + item[6:]), (3, item[:12]), (4, "same " * 30_000), (5, "q " * 1_500_000 + item),
+            (6, "other, The end"), (7, "then these"), (8, thai), (9, "same, Same; same")]
+    got = sorted((r.doc_id, r.item_id, r.n_words, r.n_equal) for r in decontaminate.leaks(frame(spark, rows), bench).where("doc_id <> 4").collect())
+    assert got == [(1, 1, 16, 16), (2, 1, 16, 15), (5, 1, 16, 16), (6, 4, 1, 1), (8, 3, 5, 5)]
+    assert decontaminate.leaks(frame(spark, rows), bench).where("doc_id = 4").count() == 30_000 - 3
+
+
+def test_hits_are_taken_in_slices(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    items = [(k, " ".join(rng.choice("abc") for _ in range(n))) for k, n in enumerate((3, 6, 14, 20))]
+    whole = decontaminate.Seeds(items).leaks(texts)
+    monkeypatch.setattr(decontaminate, "SLICE", 7)
+    monkeypatch.setattr(decontaminate, "PIECE", 5)
+    assert decontaminate.Seeds(items).leaks(texts) == whole and any(whole)
+
+
 # ------------------------------------------------------------------ queries and pipeline
 
 @needs_tables
