@@ -470,16 +470,57 @@ def test_chat_round_trip(spark, piece_chars):
 
 # ------------------------------------------------------------------ 9
 
-def test_positive_unlabelled_learning():
+def two_kinds(spark, parts=3):
+    """(positives, unlabelled rows as arrays, the same in Spark); two thirds of the unlabelled are good."""
     rng = np.random.default_rng(0)
     good, bad = rng.normal(0, 1, (12_000, 3)), rng.normal(4, 1, (3000, 3))
-    add = lambda x: np.column_stack([x, np.ones(len(x))])
-    pos, unl = add(good[:6000]), add(np.vstack([good[6000:], bad]))
-    plain = quality_classifier.fit_plain(pos, unl)
-    prior = quality_classifier.class_prior(pos @ plain, unl @ plain)
+    mean, spread = np.zeros(3), np.ones(3)
+    rest = np.vstack([good[6000:], bad])
+    rows = spark.createDataFrame([(x,) for x in rest.tolist()], "x array<float>").repartition(parts)
+    add = lambda x: quality_classifier.inputs(x, mean, spread)
+    return add(good[:6000]), add(rest), add(good), add(bad), quality_classifier.Unlabelled(rows, mean, spread)
+
+
+def test_positive_unlabelled_learning(spark):
+    pos, _, good, bad, unl = two_kinds(spark)
+    prior = quality_classifier.class_prior(pos, unl, quality_classifier.fit_plain(pos, unl))
     assert prior == pytest.approx(2 / 3, abs=0.06)
     w = quality_classifier.fit_nonnegative(pos, unl, prior)
-    assert np.mean(add(good) @ w > 0) > 0.97 and np.mean(add(bad) @ w < 0) > 0.97
+    assert np.mean(good @ w > 0) > 0.97 and np.mean(bad @ w < 0) > 0.97
+
+
+def test_risk_equals_brute_force(spark):
+    pos, rest, _, _, unl = two_kinds(spark, 7)
+    log_loss = lambda z: np.log1p(np.exp(z))
+    second = lambda w, prior: log_loss(rest @ w).mean() - prior * log_loss(pos @ w).mean()
+    full = lambda w, prior: prior * log_loss(-(pos @ w)).mean() + second(w, prior)
+    for prior in (0.3, 0.67, 0.95):
+        risk = quality_classifier.nonnegative_risk(pos, unl, prior)
+        for w in (np.zeros(4), np.array([0.5, -1, 0.2, 0.1])):
+            value, part, gradient, curve = risk(w)
+            assert value == pytest.approx(full(w, prior), abs=1e-5) and part == pytest.approx(second(w, prior), abs=1e-5)
+            for k, e in enumerate(np.eye(4) * 1e-4):
+                assert gradient[k] == pytest.approx((full(w + e, prior) - full(w - e, prior)) / 2e-4, abs=1e-4)
+                assert curve[k] == pytest.approx((risk(w + e)[2] - risk(w - e)[2]) / 2e-4, abs=1e-4)
+        w = quality_classifier.fit_nonnegative(pos, unl, prior)
+        assert second(w, prior) >= -1e-6 and full(w, prior) < full(np.zeros(4), prior)
+        if second(w, prior) > 1e-3:      # not stopped at the edge: the least risk
+            assert np.abs(risk(w)[2] + 1e-4 * w).max() < 1e-3
+    cuts = np.linspace(-6, 6, 20)
+    w = np.array([0.5, -1, 0.2, 0.1])
+    scores = rest @ w
+    assert unl.above(w, cuts) == pytest.approx([(scores >= c).mean() for c in cuts], abs=1e-3)
+
+
+def test_classifier_where_every_row_is_labelled_and_samples_are_cut(spark):
+    rng = random.Random(2)
+    texts = [(k, " ".join(rng.choice(["plain", "words", "of", "prose", "here"]) for _ in range(60)) if k % 3 else "#$% || !!! " * 20 + str(k)) for k in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k, _ in texts], "doc_id long, quality int")
+    for sample in (20_000, 30):
+        got = quality_classifier.classified(docs, labels, sample=sample).collect()
+        good, bad = ([r.score for r in got if (r.doc_id % 3 > 0) == kind] for kind in (True, False))
+        assert len(got) == 300 and min(good) > max(bad)
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables not present")
