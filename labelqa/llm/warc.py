@@ -95,7 +95,7 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     carried = pages.select("page_id", _url().alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n"), packed(body, 5, shared).alias("data"))
     carried = carried.select("page_id", "url", "digest", "n", "data", F.lit(None).cast("long").alias("refers_to"), archive)
     revisits = index.where("type = 'revisit'").select("page_id", F.lit(None).cast("string").alias("url"), "digest", "n", F.lit(None).cast("binary").alias("data"), "refers_to", "archive")
-    met = carried.union(revisits).repartition(archives, "archive").sortWithinPartitions(*ORDER)
+    met = carried.union(revisits).repartitionById(archives, "archive").sortWithinPartitions(*ORDER)
     told = Window.partitionBy("archive", "page_id", "digest")
     met = met.withColumn("refers_to", F.max("refers_to").over(told)).where("data is not null").withColumn("type", _type())
     text = F.concat(head(), F.lit(HTTP), F.coalesce(unpacked(F.when(F.col("type") == "response", F.col("data")), shared), F.lit("")))
