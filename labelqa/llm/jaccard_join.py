@@ -106,6 +106,7 @@ def histogram(tokens: np.ndarray) -> np.ndarray:
 
 LANE_NAMES = [f"b{i}" for i in range(LANES)]
 BUCKET_NAMES = [f"h{i}" for i in range(LANES)]
+FOLDED = {f"p{k}": " ^ ".join(LANE_NAMES[k::2]) for k in range(2)}      # lanes laid over each other: a parity bitmap of fewer bits
 
 
 def _slices(batches, rows: int = 256):
@@ -275,20 +276,23 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order, size:
 # ------------------------------------------------------------ candidates
 
 def _neighbours(share):
-    """Rows (token, nid, n) in an order -> neighbours within a token that pass the length filter."""
+    """Rows (token, nid, n, folded bitmap) in an order -> neighbours within a
+    token that pass the length filter and the folded bitmap."""
     num, den = share
 
     def of(batches):
         last = None
         for batch in batches:
-            t, i, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3 + len(FOLDED))]
             if last is not None:
-                t, i, n = (np.concatenate([[x], y]) for x, y in zip(last, (t, i, n), strict=True))
-            if not len(t):
+                rows = [np.concatenate([[x], y]) for x, y in zip(last, rows, strict=True)]
+            if not len(rows[0]):
                 continue
-            last = (t[-1], i[-1], n[-1])
+            last = [x[-1] for x in rows]
+            t, i, n, *fold = rows
             small, large = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
-            ok = (t[1:] == t[:-1]) & (den * small >= num * large)
+            apart = sum(np.bitwise_count((x[1:] ^ x[:-1]).view(np.uint64)).astype(np.int64) for x in fold)
+            ok = (t[1:] == t[:-1]) & (den * small >= num * large) & ((den + num) * apart <= (den - num) * (small + large))
             a, b = i[1:][ok], i[:-1][ok]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     return of
@@ -297,7 +301,7 @@ def _neighbours(share):
 def chains(shared: DataFrame, share=SHARE) -> DataFrame:
     """Each shared n-gram links neighbours by size and neighbours by hash."""
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = shared.select("token", "nid", "n")
+    rows = shared.select("token", "nid", "n", *FOLDED)
     made = None
     for by in (["n", "nid"], [F.xxhash64("nid")]):
         part = rows.repartitionByRange(n, "token", *by).sortWithinPartitions("token", *by).mapInArrow(_neighbours(share), "a long, b long")
@@ -443,7 +447,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens = texts.select("raw").mapInArrow(_prefixes(order, size, share), "token long, d1 long, d2 long").distinct()
     tokens = store(tokens, "prefix")
     often = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = tokens.join(often, "token").join(nodes.select("d1", "d2", "nid", "n"), ["d1", "d2"]).select("token", "nid", "n")
+    marked = nodes.select("d1", "d2", "nid", "n", *(F.expr(v).alias(k) for k, v in FOLDED.items()))
+    shared = tokens.join(often, "token").join(marked, ["d1", "d2"]).select("token", "nid", "n", *FOLDED)
     shared = store(shared, "shared")
     # families first, by a linear number of pairs; then all pairs of different components
     tried = store(bounded(chains(shared, share), nodes, share), "tried")
