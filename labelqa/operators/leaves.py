@@ -113,7 +113,8 @@ def _python_text(v):
 def leaves_of(data) -> list[dict]:
     """Leaves of one parsed JSON value, same keys and order as a Python walk.
 
-    A path seen twice keeps its first position and its last value.
+    A path seen twice keeps its first position and its last value. Half of a
+    surrogate pair (``\\ud83d`` alone) has no UTF-8 form and becomes ``?``.
     """
     out: dict[str, object] = {}
 
@@ -134,10 +135,14 @@ def leaves_of(data) -> list[dict]:
     rows = []
     for pos, (path, v) in enumerate(out.items()):
         text, kind = _python_text(v)
-        rows.append({"pos": pos, "path": path, "value": text, "kind": kind})
+        rows.append({"pos": pos, "path": _encodable(path), "value": text and _encodable(text), "kind": kind})
     return rows
 
 
+def _encodable(text: str) -> str:
+    return text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8")
+
+
 ISSUE = "error"     # kind of the one row that stands for a record without leaves
 
 
