@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import phone, rules
-from ..operators import extract, layout, leaves, scoring, standardize, stats
+from ..operators import edit_distance, extract, layout, leaves, scoring, shapes, standardize, stats
 from ..sinks.reports import field_rows
 from ..session import durable
 from ..sources.tables import table
@@ -472,6 +472,30 @@ def page_text_concat(spark, sf):
     return layout.page_spans(conv, "conv_id", "turn", "text")
 
 
+# Pages as a text recogniser might return them against the pages as given; every
+# third conversation is a page range of one document. DuckDB's distance counts
+# bytes, so the input is texts of one-byte signs.
+@register("page_text_similarity", """
+WITH p AS (
+  SELECT CASE WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS doc, conv_id, turn, text,
+    CASE conv_id % 5 WHEN 0 THEN replace(text, 'ou', 'o') WHEN 1 THEN replace(text, 'e ', 'e') WHEN 2 THEN '' ELSE text END AS seen
+  FROM (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', '?', 'g') AS text FROM conversations)),
+d AS (
+  SELECT doc, string_agg(text, ' ' ORDER BY conv_id, turn) AS a, string_agg(seen, ' ' ORDER BY conv_id, turn) AS b FROM p GROUP BY doc),
+l AS (SELECT doc, length(a) AS left_chars, length(b) AS right_chars, CASE WHEN a = b THEN 0 ELSE levenshtein(a, b) END AS distance FROM d)
+SELECT doc, left_chars, right_chars, distance,
+  CASE WHEN distance = 0 THEN 100.0E0 ELSE (1.0E0 - distance / greatest(left_chars, right_chars)) * 100.0E0 END AS score
+FROM l""")
+def page_text_similarity(spark, sf):
+    conv = table(spark, sf, "conversations").select(
+        F.when(F.col("conv_id") % 3 == 0, F.lit(-1)).otherwise(F.col("conv_id")).alias("doc"),
+        F.struct("conv_id", "turn").alias("seq"), F.regexp_replace("text", r"[^\x00-\x7F]", "?").alias("text"))
+    kind = F.col("seq.conv_id") % 5
+    seen = (F.when(kind == 0, F.replace("text", F.lit("ou"), F.lit("o"))).when(kind == 1, F.replace("text", F.lit("e "), F.lit("e")))
+            .when(kind == 2, F.lit("")).otherwise(F.col("text")))
+    return edit_distance.joined_text_scores(conv, conv.withColumn("text", seen), "doc", "seq", "text")
+
+
 # ---------------------------------------------------------------- E1 (schema-less)
 
 def _order_doc() -> "F.Column":
@@ -510,12 +534,21 @@ SELECT src, j.id AS id,
 FROM j, json_tree(j.doc) t
 WHERE t.type NOT IN ('OBJECT', 'ARRAY')""")
 def leaf_fields(spark, sf):
+    return leaves.json_leaf_rows(_leaf_documents(spark, sf), ["src", "id"], "doc")
+
+
+def _leaf_documents(spark, sf) -> DataFrame:
     ev = table(spark, sf, "events").select(
         F.lit("events").alias("src"), F.col("event_id").alias("id"), F.col("props").alias("doc"))
     od = table(spark, sf, "orders").select(
         F.lit("orders").alias("src"), F.col("o_orderkey").alias("id"), _order_doc().alias("doc"))
-    docs = ev.unionByName(od)
-    return leaves.json_leaf_rows(docs, ["src", "id"], "doc")
+    return ev.unionByName(od)
+
+
+@register("leaf_fields_by_shape", ORACLE["leaf_fields"])
+def leaf_fields_by_shape(spark, sf):
+    """The leaves of ``leaf_fields`` without Python for documents of common shapes."""
+    return shapes.leaf_rows(_leaf_documents(spark, sf), ["src", "id"], "doc")
 
 
 # ---------------------------------------------------------------- E7, E9, E10
