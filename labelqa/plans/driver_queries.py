@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import phone, rules
-from ..operators import edit_distance, extract, layout, leaves, scoring, shapes, standardize, stats
+from ..operators import edit_distance, extract, layout, leaves, patterns, scoring, shapes, standardize, stats
 from ..sinks.reports import field_rows
 from ..session import durable
 from ..sources.tables import table
@@ -572,6 +572,31 @@ def key_presence(spark, sf):
                      (F.size(miss) == 0).alias("ok"))
 
 
+# Patterns: the words of the benchmark items and all runs of two and three of them.
+@register("pattern_table_presence", r"""
+WITH w AS (SELECT regexp_extract_all(text, '[^ \t\r\n]+') AS w FROM benchmark WHERE text IS NOT NULL),
+p AS (
+  SELECT DISTINCT array_to_string(w[i:i + k], ' ') AS pattern
+  FROM w, unnest([0, 1, 2]) AS a(k), unnest(range(1, len(w) + 1)) AS b(i) WHERE i + k <= len(w)),
+pw AS (SELECT pattern, regexp_extract_all(pattern, '[\p{L}\p{N}_]+') AS ws FROM p),
+dw AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM documents),
+maybe AS (
+  SELECT pattern, f.doc_id FROM pw JOIN dw f ON f.word = ws[1] JOIN dw l ON l.word = ws[len(ws)] AND l.doc_id = f.doc_id WHERE pattern <> ws[1]
+  UNION ALL SELECT pattern, doc_id FROM pw, documents WHERE len(ws) = 0),
+hit AS (
+  SELECT pattern, doc_id FROM pw JOIN dw ON word = pattern
+  UNION ALL
+  SELECT pattern, doc_id FROM maybe JOIN documents USING (doc_id)
+  WHERE contains(text, pattern) AND regexp_matches(text, '(^|[^\p{L}\p{N}_])' || regexp_escape(pattern) || '($|[^\p{L}\p{N}_])'))
+SELECT pattern, count(doc_id) AS n_texts FROM p LEFT JOIN hit USING (pattern) GROUP BY pattern""")
+def pattern_table_presence(spark, sf):
+    words = table(spark, sf, "benchmark").select(F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0)).alias("w"))
+    runs = F.flatten(F.transform(F.array(*[F.lit(k) for k in (1, 2, 3)]), lambda k: F.filter(
+        F.transform("w", lambda x, i: F.when(i + k <= F.size("w"), F.array_join(F.slice("w", i + 1, k), " "))), F.isnotnull)))
+    known = words.select(F.explode(runs).alias("pattern"))
+    return patterns.pattern_counts(table(spark, sf, "documents"), "doc_id", "text", known, "pattern").select("pattern", "n_texts")
+
+
 @register("membership", """
 SELECT l_orderkey,
   bool_or(l_quantity IS NOT DISTINCT FROM 10.0E0) AS has_10kg,
