@@ -15,8 +15,9 @@ needs its scalars in order:
    the two ways, with equal results.
 
 The dictionary is bounded by ``most`` shapes and ``DICTIONARY_CHARS`` characters
-of paths, which is what makes it safe to broadcast; texts beyond it are read by
-the second way, none is dropped.
+of shapes and paths, so the stored table stays below the size up to which Spark broadcasts
+a join side by itself; no hint forces it. Texts beyond it are read by the second
+way, none is dropped.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from . import leaves
 
 MOST_SHAPES = 1024
 SHAPE_CHARS = 16_384            # longer shapes are not learnt
-DICTIONARY_CHARS = 32_000_000   # paths of all learnt shapes together
+DICTIONARY_CHARS = 8_000_000    # all learnt shapes and their paths together
 
 _STRING = r'"[^"\\\x00-\x1f]*+(?:\\["\\/bfnrt][^"\\\x00-\x1f]*+)*+"'
 _KEY = rf"{_STRING}[ \t\n\r]*+:"
@@ -133,7 +134,7 @@ def read(df: DataFrame, cols: dict[str, str], shapes: DataFrame | None = None) -
     shapes = learn(df, list(cols)) if shapes is None else shapes
     out = df
     for text, name in cols.items():
-        known = F.broadcast(shapes.select(F.col("form").alias("__form"), F.col("spots").alias("__spots")))
+        known = shapes.select(F.col("form").alias("__form"), F.col("spots").alias("__spots"))
         out = out.withColumn("__shape", shape(text)).join(known, F.col("__shape") == F.col("__form"), "left")
         out = out.withColumn("__scalars", F.when(F.col("__spots").isNotNull(), scalars(text)))
         easy = F.coalesce(F.forall("__scalars", _plain), F.lit(False))
