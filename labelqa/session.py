@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on. AQE re-plans joins and coalesces shuffle
 # partitions at run time; skew-join splits a hot key of a sort-merge join.
@@ -102,6 +103,28 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
+ROWS_PER_TASK = 100_000     # tables beyond one such task per core get more tasks, so that slow ones weigh less
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """``spread`` for a table as read from files, by the rows that its tasks read.
+
+    Parquet is cut at row groups, so a scan may have as many tasks as cores and
+    still read all rows in a few of them. The rows of each task are counted (file
+    footers only, no column is read), and the rows are dealt anew where a core
+    would wait for the largest task; evenly cut tables stay as they are.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # a remote session: leave as is
+        return df
+    held = df.select(F.spark_partition_id().alias("task")).groupBy("task").count()
+    tasks, most, rows = held.agg(F.count(F.lit(1)), F.max("count"), F.sum("count")).first()
+    if tasks >= cores and most * cores <= 2 * rows:
+        return df
+    return df.repartition(min(4 * cores, max(cores, -(-(rows or 0) // ROWS_PER_TASK))))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -12,8 +12,8 @@ _TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Read one (read-only) driver table; small single-file tables are spread
-    over all cores.
+    """Read one (read-only) driver table; tables that a scan reads in
+    fewer or very unequal tasks than there are cores are spread over all cores.
 
     The DataFrame is built once per session and path: the given tables
     never change during a run, and re-resolving a parquet source (footers,
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True)
     if key not in _TABLES:
         df = spark.read.parquet(path)
         if spread_rows:
-            from ..session import spread
-            df = spread(df)
+            from ..session import spread_scan
+            df = spread_scan(df)
         _TABLES[key] = df
     return _TABLES[key]

@@ -40,3 +40,31 @@ def test_score_records_without_last_win_policy(spark):
         assert got == {"a": 100.0, "b.c": 0.0}
     finally:
         spark.conf.set("spark.sql.mapKeyDedupPolicy", before)
+
+
+def test_spread_by_rows_of_the_row_groups(spark, tmp_dir):
+    """Many tasks over one row group: all rows lie in one of them."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from labelqa.sources.tables import table
+
+    n = 4000
+    pq.write_table(pa.table({"id": list(range(n)), "t": [f"{k * 7919 % n:030d}" for k in range(n)]}), f"{tmp_dir}/one.parquet")
+    pq.write_table(pa.table({"id": list(range(n)), "t": [f"{k * 7919 % n:030d}" for k in range(n)]}), f"{tmp_dir}/even.parquet",
+                   row_group_size=n // 40, use_dictionary=False, compression="none")
+    pq.write_table(pa.table({"id": pa.array([], pa.int64())}), f"{tmp_dir}/none.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        scan = spark.read.parquet(f"{tmp_dir}/one.parquet")
+        held = [len(p) for p in scan.rdd.glom().collect()]
+        assert len(held) >= 4 and max(held) == n
+        dealt = [len(p) for p in table(spark, tmp_dir, "one").rdd.glom().collect()]
+        assert sum(dealt) == n and max(dealt) <= n // 2
+        assert "REPARTITION" not in table(spark, tmp_dir, "even")._jdf.queryExecution().logical().toString().upper()
+        assert table(spark, tmp_dir, "none").collect() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
