@@ -1,6 +1,8 @@
 """A table of patterns against one regular expression per pattern."""
 
 import random
+import re
+import unicodedata
 
 import regex
 
@@ -41,3 +43,25 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "w string")
     assert pt.pattern_hits(docs, "id", "t", none, "w").collect() == []
     assert pt.pattern_counts(docs.where("false"), "id", "t", spark.createDataFrame([("a",)], "w string"), "w").collect() == [("a", 0, 0)]
+
+
+def test_word_characters():
+    """The marks of ``_marked`` rest on Python's word characters being those of ``word_pattern``."""
+    assert all((re.match(r"\w", chr(c)) is not None) == (chr(c) == "_" or unicodedata.category(chr(c))[0] in "LN") for c in range(0x110000))
+
+
+def test_automaton_stops_only_at_whole_words():
+    """Places inside words cost nothing: the automaton itself finds only hits that count."""
+    automaton = pt.automaton_of(["a", "a b", "!"])
+    assert [p for _, p in automaton.iter(pt._marked("banana a b aa !! a"))] == ["a", "a b", "!", "!", "a"]
+    assert pt.hits_of("aaaa ba ab", automaton) == {}
+
+
+def test_counts_travel_by_task(spark):
+    """A task sends a row per pattern, however many texts hold it."""
+    docs = spark.createDataFrame([(i, "a b a") for i in range(400)], "id long, t string").repartition(2)
+    known = spark.createDataFrame([("a",), ("b",), ("a b",), ("c",)], "w string")
+    got = pt.pattern_counts(docs, "id", "t", known, "w")
+    assert sorted(map(tuple, got.collect())) == [("a", 400, 800), ("a b", 400, 400), ("b", 400, 400), ("c", 0, 0)]
+    found = pt._by_block(docs.select("t"), known, "w", pt.BLOCK_CHARS, pt._count, "pattern string, n_texts long, n_hits long")
+    assert found.count() == 6
