@@ -116,6 +116,14 @@ def leaves_of(data) -> list[dict]:
     A path seen twice keeps its first position and its last value. Half of a
     surrogate pair (``\\ud83d`` alone) has no UTF-8 form and becomes ``?``.
     """
+    rows = []
+    for pos, (path, v) in enumerate(_by_path(data).items()):
+        text, kind = _python_text(v)
+        rows.append({"pos": pos, "path": _encodable(path), "value": text and _encodable(text), "kind": kind})
+    return rows
+
+
+def _by_path(data) -> dict[str, object]:
     out: dict[str, object] = {}
 
     def walk(node, parent: str) -> None:
@@ -132,11 +140,7 @@ def leaves_of(data) -> list[dict]:
                 out[key] = v
 
     walk(data, "")
-    rows = []
-    for pos, (path, v) in enumerate(out.items()):
-        text, kind = _python_text(v)
-        rows.append({"pos": pos, "path": _encodable(path), "value": text and _encodable(text), "kind": kind})
-    return rows
+    return out
 
 
 def _encodable(text: str) -> str:
@@ -146,12 +150,12 @@ def _encodable(text: str) -> str:
 ISSUE = "error"     # kind of the one row that stands for a record without leaves
 
 
-def _read(s):
+def _read(s, walk=leaves_of):
     """``(leaves, issue)`` of a text, by one parse and one walk."""
     if s is None:
         return None, None
     try:
-        return leaves_of(json.loads(s)), None
+        return walk(json.loads(s)), None
     except ValueError:
         return None, "invalid_json"
     except RecursionError:
@@ -183,15 +187,33 @@ def json_leaves(col) -> Column:
 READ = T.StructType([T.StructField("leaves", LEAVES), T.StructField("issue", T.StringType())])
 
 
+def _leaf_lists(docs: list[dict | None], kind: pa.ListType) -> pa.Array:
+    """``LEAVES`` of documents given as ``path: value``; flat columns, no object per leaf."""
+    ends, places, paths, texts, kinds = [0], [], [], [], []
+    for doc in docs:
+        if doc:
+            places += range(len(doc))
+            paths += [path if path.isascii() else _encodable(path) for path in doc]
+            for v in doc.values():
+                text, k = (v, "str") if type(v) is str else _python_text(v)
+                texts.append(text and _encodable(text))
+                kinds.append(k)
+        ends.append(len(places))
+    fields = kind.value_type
+    flat = pa.StructArray.from_arrays([pa.array(c, fields.field(n).type) for c, n in (
+        (places, "pos"), (paths, "path"), (texts, "value"), (kinds, "kind"))], fields=[fields.field(n) for n in ("pos", "path", "value", "kind")])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, type=kind, mask=pa.array([d is None for d in docs], pa.bool_()))
+
+
 def json_read(col) -> Column:
     """``struct(leaves, issue)``: what ``json_leaves`` and ``json_issue`` give, from one walk."""
     from pyspark.sql.pandas.types import to_arrow_type
-    kinds = [to_arrow_type(f.dataType) for f in READ.fields]
+    kind = to_arrow_type(LEAVES)
 
     @F.arrow_udf(READ)
     def read(texts: pa.Array) -> pa.Array:
-        found = [_read(s) for s in texts.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kinds[k]) for k in (0, 1)], READ.names)
+        found = [_read(s, _by_path) for s in texts.to_pylist()]
+        return pa.StructArray.from_arrays([_leaf_lists([f[0] for f in found], kind), pa.array([f[1] for f in found], pa.string())], READ.names)
 
     return read(F.col(col) if isinstance(col, str) else col)
 

@@ -225,3 +225,25 @@ def test_membership_helpers(spark):
                   scoring.contains_rendered(F.col("o"), "+18003279462").alias("c"),
                   scoring.contains_rendered(F.col("o"), "www.x.com").alias("d")).collect()[0]
     assert (r.a, r.b, r.c, r.d) == (True, False, True, False)
+
+
+def test_read_builds_flat_columns(spark):
+    """No object per leaf on the way to Arrow; the same leaves as ``leaves_of``."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    from labelqa.operators import leaves
+    from labelqa.schema import LEAVES
+
+    texts = ['{"a": 1, "b": [true, null, 2.50, "x", ""], "c": {"d": "é", "\\ud83d": "\\ud83d!"}}', "{}", "[]", "7", None,
+             '{"a": 1, "a": {"b": 2}, "a.b": 3}', '[{"k": -0.0}, [], [[1e400]]]', '{"x": 1234567890123456789012}']
+    docs = [None if t is None else leaves._by_path(json.loads(t)) for t in texts]
+    got = leaves._leaf_lists(docs, to_arrow_type(LEAVES))
+    want = [None if t is None else leaves.leaves_of(json.loads(t)) for t in texts]
+    assert got.type == to_arrow_type(LEAVES) and got.to_pylist() == want
+    assert leaves._leaf_lists([], got.type).to_pylist() == [] and leaves._leaf_lists([None], got.type).to_pylist() == [None]
+    assert isinstance(got, pa.ListArray) and got.null_count == 1
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, '{"broken": '])], "k int, t string")
+    rows = {r["k"]: r for r in df.select("k", leaves.json_read("t").alias("r")).select("k", "r.*").collect()}
+    assert [rows[k]["leaves"] and [x.asDict() for x in rows[k]["leaves"]] for k in range(len(texts))] == want
+    assert (rows[len(texts)]["leaves"], rows[len(texts)]["issue"]) == (None, "invalid_json")
