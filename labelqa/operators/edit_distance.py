@@ -9,11 +9,13 @@ edge differ by at most one, so an edge travels as the number at its corner and t
 bits per character, and a block is computed a row at a time on such bit vectors
 (Myers' bit-parallel recurrence, over Python integers of ``block`` bits).
 
-Only blocks with ``|i - j| <= band`` are computed, the first band from the
-difference of the lengths. Leaving them costs over ``band * block`` edits, so a
-distance up to that is exact; else it is an upper bound, and the document is
-computed again with a band up to four times as wide, no wider than that bound
-asks for. Work is ``length * distance``, memory of a task a few edges and two pieces.
+Only blocks in a strip are computed: those between the first diagonal and the one
+of the last characters, and ``margin`` more on either side. The difference of the
+lengths is spent on any way, and leaving the strip costs over ``2 * margin * block``
+edits more, so a distance up to that is exact; else it is an upper bound, and the
+document is computed again with a margin up to four times as wide, no wider than
+that bound asks for. Work is ``length * distance``, memory of a task a few edges
+and two pieces. A round is a Spark job of its own, so blocks are long and rounds few.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import durable, ensure_checkpoint_dir
 from .layout import page_spans
 
-BLOCK = 16_384
+BLOCK = 65_536
 _ROUND = "key long, i long, j long, side string, corner long, plus binary, minus binary, distance long"
 _ROUND_ARROW = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("side", pa.string()), ("corner", pa.int64()),
                           ("plus", pa.binary()), ("minus", pa.binary()), ("distance", pa.int64())])
@@ -116,18 +118,20 @@ def _compute(batches):
                                              schema=_ROUND_ARROW)
 
 
-def _banded(docs: DataFrame, a: DataFrame, b: DataFrame, rounds: int, widest: int) -> DataFrame:
-    """``(key, distance)`` over the blocks within each document's ``band`` of the diagonal."""
+def _banded(docs: DataFrame, a: DataFrame, b: DataFrame, rounds: int, below: int, after: int) -> DataFrame:
+    """``(key, distance)`` over the blocks of each document's strip, ``below`` blocks under
+    the diagonal and ``after`` blocks over it; the numbers given are the largest of any."""
     spark = docs.sparkSession
     base = os.path.join(ensure_checkpoint_dir(spark), f"edit-distance-{uuid.uuid4().hex}")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = spark.createDataFrame([], _ROUND)
     for r in range(rounds):
-        low, high = max(0, (r - widest + 1) // 2), min(r, (r + widest) // 2)
+        low, high = max(0, (r - after + 1) // 2), min(r, (r + below) // 2)
         blocks = (docs.where(F.col("ni") + F.col("nj") > r)
                   .select("*", F.explode(F.sequence(F.lit(low).cast("long"), F.lit(high).cast("long"))).alias("i"))
                   .withColumn("j", F.lit(r) - F.col("i"))
-                  .where((F.col("i") < F.col("ni")) & (F.col("j") < F.col("nj")) & (F.abs(F.col("i") - F.col("j")) <= F.col("band"))))
+                  .where((F.col("i") < F.col("ni")) & (F.col("j") < F.col("nj"))
+                         & (F.col("i") - F.col("j")).between(-F.col("after"), F.col("below"))))
         sides = [F.max(F.when(F.col("side") == side, F.col(bits))).alias(f"{side}_{bits}") for side in ("top", "left") for bits in ("plus", "minus")]
         # both edges of a block start at the same corner
         had = edges.where("side <> 'done'").groupBy("key", "i", "j").agg(F.max("corner").alias("corner"), *sides)
@@ -161,18 +165,21 @@ def joined_text_scores(left: DataFrame, right: DataFrame, doc: str, seq: str, te
     every = durable(every, "documents")
     keys = every.select("__doc", "key")
     a, b = (durable(s.join(keys, s[doc].eqNullSafe(keys["__doc"])).select("key", "i", "piece"), "text-blocks") for s in sides)
-    apart = F.ceil(F.abs(F.col("left_chars") - F.col("right_chars")) / block)
-    todo = durable(every.where("ni > 0 and nj > 0").select("key", "ni", "nj", F.greatest(F.lit(1), apart).alias("band")), "documents")
+    longer = F.col("left_chars") - F.col("right_chars")
+    todo = durable(every.where("ni > 0 and nj > 0").select("key", "ni", "nj", longer.alias("longer"), F.lit(1).cast("long").alias("margin")), "documents")
     found = []
     while True:
-        most = todo.agg(F.max(F.col("ni") + F.col("nj") - 1).alias("rounds"), F.max("band").alias("widest")).first()
+        strip = todo.select("*", *((F.col("margin") + F.ceil(F.greatest(F.lit(0), d) / block)).alias(side)
+                                   for side, d in (("below", F.col("longer")), ("after", -F.col("longer")))))
+        most = strip.agg(F.max(F.col("ni") + F.col("nj") - 1).alias("rounds"), F.max("below").alias("below"), F.max("after").alias("after")).first()
         if most["rounds"] is None:
             break
-        got = durable(todo.join(_banded(todo, a, b, most["rounds"], most["widest"]), "key"), "distances")
-        exact = (F.col("distance") <= F.col("band") * block) | (F.col("band") >= F.greatest("ni", "nj"))
+        got = durable(todo.join(_banded(strip, a, b, most["rounds"], most["below"], most["after"]), "key"), "distances")
+        over = F.col("distance") - F.abs("longer")
+        exact = (over <= 2 * F.col("margin") * block) | (F.col("margin") >= F.greatest("ni", "nj"))
         found.append(got.where(exact).select("key", "distance"))
-        wider = F.least(F.col("band") * 4, F.ceil(F.col("distance") / block))
-        todo = durable(got.where(~exact).select("key", "ni", "nj", wider.alias("band")), "documents")
+        wider = F.least(F.col("margin") * 4, F.ceil(over / (2 * block)))
+        todo = durable(got.where(~exact).select("key", "ni", "nj", "longer", wider.alias("margin")), "documents")
     out = every
     if found:
         all_found = found[0]

@@ -73,3 +73,23 @@ def test_equals_the_recurrence(spark):
 def test_no_documents(spark):
     none = _pages(spark, {"d": ["x"]}).where(F.lit(False))
     assert edit_distance.joined_text_scores(none, none, "doc", "seq", "text").collect() == []
+
+
+def test_strip_lies_between_the_diagonals(spark):
+    """A text with a third left out: blocks on the side away from the difference are not computed."""
+    import glob
+    import os
+
+    from labelqa.session import ensure_checkpoint_dir
+    rnd = random.Random(11)
+    text = "".join(rnd.choices("abcdefgh", k=240))
+    known = set(glob.glob(f"{ensure_checkpoint_dir(spark)}/edit-distance-*"))
+    for a, b in ((text, text[:80] + text[160:]), (text[:80] + text[160:], text)):
+        got = edit_distance.joined_text_scores(_pages(spark, {"d": [a]}), _pages(spark, {"d": [b]}), "doc", "seq", "text", block=8).collect()
+        assert [r["distance"] for r in got] == [_plain(a, b)] == [80]
+    new = set(glob.glob(f"{ensure_checkpoint_dir(spark)}/edit-distance-*")) - known
+    assert len(new) == 2                       # one pass each
+    for path in new:
+        rounds = [p for p in glob.glob(f"{path}/round=*") if os.path.isdir(p)]
+        blocks = spark.read.parquet(*rounds).select("key", "i", "j", "side").where("side <> 'left'").count()
+        assert blocks <= 30 * 13               # 10 blocks apart, one more on either side; 21 wide before
