@@ -6,8 +6,11 @@ count sketch (log2 of a counter), then by hash. The order is cut into
 
 * **Candidates.** Sets that link share an n-gram among the first
   ``n - ceil(share * n) + 1`` of each (prefix filter), so only those travel,
-  and only those that two sets have go on. A pair must pass the length filter,
-  a parity bitmap and a histogram: where these differ, only one set has n-grams.
+  once. At the first n-gram that two sets share, what follows it in either
+  bounds their overlap (``_prefixes``); an n-gram of a set goes on only if some
+  other set with it can reach the share from there. A pair must pass the length
+  filter, a parity bitmap and a histogram: where these differ, only one set has
+  n-grams.
 * **Counting.** The overlap of a pair is the sum of its partial overlaps by
   fragment. Equal segments (64-bit digests) give their size at once; a pair
   that is not settled by these and by the sizes of the others has its unequal
@@ -22,7 +25,7 @@ count sketch (log2 of a counter), then by hash. The order is cut into
 The order only moves work: any order gives the same links. The sketch is of
 bounded size (``SKETCH``); the cell of a rare n-gram looks as full as the
 average. N-grams are mixed XXH64 hashes of their words (64 bits), sets are
-known by two digests.
+known by two digests (prefix n-grams by one of them and the size).
 
 Defined cases: null text and text without words have an empty set that links
 with nothing, so the component is the document's own id; a null ``doc_id``
@@ -155,9 +158,10 @@ class Order:
         return self.classes[cells(tokens, self.width, 0)]
 
     def prefix(self, tokens: np.ndarray, share=SHARE) -> np.ndarray:
+        """The first of sorted ``tokens`` in the order."""
         n = len(tokens)
         take = n - -(-n * share[0] // share[1]) + 1
-        return tokens[np.lexsort((tokens, self.of(tokens)))[:take]]
+        return tokens[np.argsort(self.of(tokens), kind="stable")[:take]]
 
     def fragments(self, tokens: np.ndarray) -> np.ndarray:
         kind = self.of(tokens)
@@ -171,24 +175,89 @@ def broadcast_order(made: DataFrame, width: int):
     return made.sparkSession.sparkContext.broadcast(Order(classes))
 
 
+class _Once(set):
+    """What was met before, as far as it is remembered; emptied when it has grown large."""
+
+    def new(self, key) -> bool:
+        if key in self:
+            return False
+        if len(self) > 1 << 17:
+            self.clear()
+        self.add(key)
+        return True
+
+
 def _prefixes(order, size, share):
+    """Prefix n-grams ``token, n, d1, reach``. If a set's n-gram at place ``k``
+    is the first that it shares with another, they have ``n - k`` in common at
+    most, so the other has ``reach`` n-grams at most."""
+    num, den = share
+
     def of(batches):
+        met = _Once()
         for batch in _slices(batches):
-            out, one, two = [], [], []
+            out = []
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text or b"", size)
-                if not len(tokens):
+                raw, n = tokens.tobytes(), len(tokens)
+                if not n or not met.new((_digest(raw, 1), _digest(raw, 2))):
                     continue
-                raw = tokens.tobytes()
                 first = order.value.prefix(tokens, share)
-                out.append(first)
-                one.append(np.full(len(first), _digest(raw, 1)))
-                two.append(np.full(len(first), _digest(raw, 2)))
+                reach = (den + num) * (n - np.arange(len(first))) // num - n
+                out.append((first, np.full(len(first), n), np.full(len(first), _digest(raw, 1)), reach))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out, one, two)], ["token", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["token", "n", "d1", "reach"])
     return of
 
 
+def _partnered(token: np.ndarray, n: np.ndarray, d1: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Rows, in order of (token, n, d1), with another set of the token such that
+    each is within the other's reach; one of equal rows."""
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (d1[1:] != d1[:-1])
+    rows = np.flatnonzero(new)
+    token, n, reach = token[rows], n[rows], reach[rows]
+    group = np.cumsum(np.diff(token, prepend=token[:1]) != 0) << 32
+    size, far = group + n, group + reach
+    # the two farthest among the rows so far; those of a group before are below every size of this one
+    best = np.maximum.accumulate(far)
+    second = np.maximum.accumulate(np.concatenate([[-1], np.minimum(far[1:], best[:-1])]))
+    last = np.searchsorted(size, far, "right") - 1            # the last row within reach
+    own = (np.arange(len(rows)) <= last) & (far == best[last])
+    return rows[(last >= 0) & (np.where(own, second[last], best[last]) >= size)]
+
+
+def _partners(batches):
+    """Rows ``token, n, d1, reach`` in that order -> ``token, n, d1`` of those with a partner."""
+
+    def out(parts):
+        at = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        rows = _partnered(*at)
+        return pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in at[:3]], ["token", "n", "d1"])
+
+    held = []                # the rows of the last token, and whole tokens before it
+    for batch in batches:
+        now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+        if not len(now[0]):
+            continue
+        cut = int(np.searchsorted(now[0], now[0][-1], "left"))
+        if held and (cut or held[-1][0][-1] != now[0][0]):
+            yield out([*held, [x[:cut] for x in now]])
+            held = []
+        elif cut:
+            yield out([[x[:cut] for x in now]])
+        held.append([x[cut:] for x in now])
+    if held:
+        yield out(held)
+
+
+def shared_prefixes(texts: DataFrame, nodes: DataFrame, order, size: int = SIZE, share=SHARE) -> DataFrame:
+    """``token, nid, n`` of the prefix n-grams at which some pair of sets can link; they are shuffled once."""
+    rows = texts.select("raw").mapInArrow(_prefixes(order, size, share), "token long, n long, d1 long, reach long")
+    rows = rows.repartition("token").sortWithinPartitions("token", "n", "d1").mapInArrow(_partners, "token long, n long, d1 long")
+    return rows.join(nodes.select("d1", "n", "nid"), ["d1", "n"]).select("token", "nid", "n")
+
+
 # ------------------------------------------------------------ counting by fragment
 
 def _segments(order, size):
@@ -196,12 +265,13 @@ def _segments(order, size):
     names, types = ["d1", "d2", "f", "tokens", "digest"], [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64()]
 
     def of(batches):
+        met = _Once()
         for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text or b"", size)
-                if not len(tokens):
-                    continue
                 raw = tokens.tobytes()
+                if not len(tokens) or not met.new((_digest(raw, 1), _digest(raw, 2))):
+                    continue
                 at = order.value.fragments(tokens)
                 by = np.argsort(at, kind="stable")
                 at, tokens = at[by], tokens[by]
@@ -258,16 +328,16 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order, size:
     both = store(both.where(need("top")), "bounds")
     rest = both.where(~need("sure")).select("a", "b", F.explode("open").alias("f"))
     rest = store(rest, "open")
-    # only the segments in question travel
-    asked = rest.select(F.col("a").alias("nid"), "f").union(rest.select("b", "f")).distinct().join(ids, "nid")
-    asked = store(asked, "asked")
+    # only the segments in question travel: once by their own key, which both ends of a pair meet, and once from a to b
+    ends = rest.select(F.col("a").alias("nid"), "f").union(rest.select("b", "f")).distinct().join(ids, "nid").select("d1", "d2", "f")
+    ends = store(ends, "asked")
     open_part = F.xxhash64("d1", "d2", "f")
-    some = _member(asked.select(open_part), asked.count())
-    open_parts = parts.where(some(open_part)).join(asked, ["d1", "d2", "f"]).select("nid", "f", "tokens")
-    rest = rest.join(open_parts.select(F.col("nid").alias("a"), "f", F.col("tokens").alias("ta")), ["a", "f"])
-    rest = rest.join(open_parts.select(F.col("nid").alias("b"), "f", F.col("tokens").alias("tb")), ["b", "f"])
-    partial = rest.groupBy("a", "b", "f").agg(F.max(F.size(F.array_intersect("ta", "tb"))).alias("here"))
-    partial = partial.groupBy("a", "b").agg(F.sum("here").alias("more"))
+    some = _member(ends.select(open_part), ends.count())
+    open_parts = parts.where(some(open_part)).select("d1", "d2", "f", "tokens").dropDuplicates(["d1", "d2", "f"])
+    end = lambda c: ids.select(F.col("nid").alias(c), F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"))
+    at = lambda c: open_parts.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), "f", F.col("tokens").alias(f"t{c}"))
+    rest = rest.join(end("a"), "a").join(end("b"), "b").join(at("a"), ["a1", "a2", "f"]).select("a", "b", "b1", "b2", "f", "ta").join(at("b"), ["b1", "b2", "f"])
+    partial = rest.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("ta", "tb"))).alias("more"))
     counted = both.where(~need("sure")).join(partial, ["a", "b"], "left").withColumn("all", F.col("sure") + F.coalesce("more", F.lit(0)))
     return both.where(need("sure")).select("a", "b").union(counted.where(need("all")).select("a", "b"))
 
@@ -440,11 +510,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every = [*LANE_NAMES, *BUCKET_NAMES]
     nodes = full.groupBy("d1", "d2").agg(first, F.min("id").alias("least"), F.max("n").alias("n"), *(F.max(x).alias(x) for x in every))
     nodes = store(nodes.select("d1", "d2", "n", "least", F.xxhash64("first.id", "first.mark").alias("key"), *every, F.monotonically_increasing_id().alias("nid")), "nodes")
-    tokens = texts.select("raw").mapInArrow(_prefixes(order, size, share), "token long, d1 long, d2 long").distinct()
-    tokens = store(tokens, "prefix")
-    often = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = tokens.join(often, "token").join(nodes.select("d1", "d2", "nid", "n"), ["d1", "d2"]).select("token", "nid", "n")
-    shared = store(shared, "shared")
+    shared = store(shared_prefixes(texts, nodes, order, size, share), "shared")
     # families first, by a linear number of pairs; then all pairs of different components
     tried = store(bounded(chains(shared, share), nodes, share), "tried")
     links = store(verified(tried, nodes, texts, order, size, share), "links")

@@ -1,6 +1,7 @@
 """Prefix trie, spelling variants and the Jaccard join against brute force."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -8,6 +9,8 @@ import zlib
 from collections import defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from labelqa.llm import jaccard_join, prefix_trie, queries, spelling_variants
@@ -295,6 +298,43 @@ def test_jaccard_does_not_rely_on_the_first_round(spark, monkeypatch):
     assert joined(spark, docs, tile=8) == brute_jaccard(docs)
 
 
+def test_jaccard_partners_equal_brute_force():
+    """Whole tokens over any cut into batches, repeated rows, each row's own reach."""
+    rng = np.random.default_rng(7)
+    for _ in range(100):
+        rows = sorted((int(t), int(n), int(d), int(n - 3 + (t + 3 * d + 7 * n) % 5)) for t, n, d in rng.integers(1, [6, 30, 20], (int(rng.integers(1, 60)), 3)))
+        once = sorted(set(rows))
+        want = [a[:3] for a in once if any(a != b and a[0] == b[0] and a[1] <= b[3] and b[1] <= a[3] for b in once)]
+        edges = [0, *sorted(rng.integers(0, len(rows) + 1, 4).tolist()), len(rows)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:j]], pa.int64()) for k in range(4)], ["token", "n", "d1", "reach"]) for i, j in itertools.pairwise(edges)]
+        assert [tuple(r.values()) for b in jaccard_join._partners(batches) for r in b.to_pylist()] == want
+
+
+def test_jaccard_keeps_only_ngrams_at_which_sets_can_link(spark, monkeypatch):
+    """Prefix n-grams in common with sets out of reach are not stored, nor are all prefix n-grams."""
+    kept, plain = {}, jaccard_join.store
+
+    def noted(df, name, *args):
+        out = plain(df, name, *args)
+        if "token" in out.columns:
+            kept[name] = kept.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "store", noted)
+    docs = [(k, " ".join(f"w{i}" for i in range(int(20 * 1.3 ** k)))) for k in range(8)]         # one inside the next, sizes too far apart
+    assert joined(spark, docs) == brute_jaccard(docs)
+    assert sum(kept.values()) == 0
+    docs += [(10 + k, t + " end") for k, t in docs]
+    assert joined(spark, docs) == brute_jaccard(docs)
+    assert sum(kept.values()) > 0
+
+
+def test_jaccard_rows_repeated_many_times(spark):
+    """Copies of a row send their segments once and do not multiply overlaps."""
+    docs = [(i, t) for i, t in papers(5, families=2, copies=6, words=(30, 60)) for _ in range(7)]
+    assert joined(spark, docs) == brute_jaccard(docs)
+
+
 def test_jaccard_without_rows(spark):
     assert joined(spark, []) == []
 
