@@ -82,7 +82,7 @@ def merged(parts: DataFrame, width: int, rows: int, code: Callable[[np.ndarray],
     done = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block long, data binary")
     none = code(np.zeros(BLOCK, np.int64))
     table = np.tile(none, rows * width // BLOCK)
-    for row in done.toLocalIterator():
+    for row in done.collect():          # bounded as the table is; an iterator would run one job a partition
         found = np.frombuffer(row["data"], np.uint8)
         start = row["block"] // BLOCK * len(none)
         table[start:start + len(none)] = found

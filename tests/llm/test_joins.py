@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from labelqa.llm import jaccard_join, prefix_trie, queries, spelling_variants
+from labelqa.llm import count_min, jaccard_join, prefix_trie, queries, spelling_variants
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -335,6 +335,25 @@ def test_jaccard_rows_repeated_many_times(spark):
     assert joined(spark, docs) == brute_jaccard(docs)
 
 
+def test_sketch_is_gathered_by_few_jobs(spark):
+    """Not one job for each shuffle partition."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("sketch", "sketch")
+        found = count_min.counters(spark.range(1000).select("id"), 1 << 16, 1, lambda c: c.astype(np.uint8))
+        assert len(sc.statusTracker().getJobIdsForGroup("sketch")) < 10
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        for k in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(k, None)
+    assert found.tolist() == np.bincount(count_min.cells(np.arange(1000), 1 << 16, 0), minlength=1 << 16).tolist()
+
+
 def test_jaccard_without_rows(spark):
     assert joined(spark, []) == []
 
