@@ -1,5 +1,11 @@
 """D5 with E3: edit distance of joined page texts, neither text ever in one row.
 
+First each page is compared with the page of the same number on the other side, all
+pages at once. The sum over a document's pages is the cost of one way to edit the
+text, so the distance is no more; it is no less than the difference of the lengths.
+Where both are the same number, as where signs, lines or whole pages are missing on
+one side only, that is the distance. The other documents are compared as a whole:
+
 The table of the distance is cut into blocks of ``block`` x ``block`` characters.
 A block needs its two pieces of text and the last row and column of the blocks
 above and to the left, so blocks with equal ``i + j`` are computed together: one
@@ -14,8 +20,9 @@ of the last characters, and ``margin`` more on either side. The difference of th
 lengths is spent on any way, and leaving the strip costs over ``2 * margin * block``
 edits more, so a distance up to that is exact; else it is an upper bound, and the
 document is computed again with a margin up to four times as wide, no wider than
-that bound asks for. Work is ``length * distance``, memory of a task a few edges
-and two pieces. A round is a Spark job of its own, so blocks are long and rounds few.
+that bound or the pages' asks for. Work is ``length * distance``, memory of a task a
+few edges and two pieces. A round is a Spark job of its own, so blocks are long and
+rounds few.
 """
 
 from __future__ import annotations
@@ -27,24 +34,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import durable, ensure_checkpoint_dir
 from .layout import page_spans
 
 BLOCK = 65_536
+WHOLE = 4096                # texts up to this length are compared whole, longer pages in parts
+STRETCH = 32                # signs of a stretch at which a long page is cut
+MARGIN = 4                  # blocks; a wider margin is not taken on the word of the pages' bound alone
 _ROUND = "key long, i long, j long, side string, corner long, plus binary, minus binary, distance long"
 _ROUND_ARROW = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("side", pa.string()), ("corner", pa.int64()),
                           ("plus", pa.binary()), ("minus", pa.binary()), ("distance", pa.int64())])
 
 
-def text_blocks(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ", block: int = BLOCK) -> DataFrame:
-    """``(doc, i, piece)``: the joined page text of a document, cut at multiples
-    of ``block`` code points. A null text counts as empty."""
+def _page_texts(pages: DataFrame, doc: str, seq: str, text: str, sep: str) -> DataFrame:
+    """``(doc, start_pos, body)``: what each page gives to the joined text, its
+    separator with it. Pages that give nothing are left out."""
     spans = page_spans(pages, doc, seq, text, sep)
     spans = spans.select(F.col(doc).alias("__d"), F.col(seq).alias("__s"), "start_pos", "page_no", "n_pages")
     rows = pages.join(spans, pages[doc].eqNullSafe(spans["__d"]) & pages[seq].eqNullSafe(spans["__s"]))
     body = F.concat(F.coalesce(pages[text], F.lit("")), F.when(F.col("page_no") < F.col("n_pages"), F.lit(sep)).otherwise(F.lit("")))
-    rows = rows.select(F.col("__d").alias(doc), "start_pos", body.alias("body")).where(F.length("body") > 0)
+    return rows.select(F.col("__d").alias(doc), "start_pos", body.alias("body")).where(F.length("body") > 0)
+
+
+def _cut(rows: DataFrame, doc: str, block: int) -> DataFrame:
     first, last = F.floor(F.col("start_pos") / block), F.floor((F.col("start_pos") + F.length("body") - 1) / block)
     cut = rows.select(doc, "start_pos", "body", F.explode(F.sequence(first, last)).alias("i"))
     begin = F.greatest(F.lit(0), F.col("i") * block - F.col("start_pos"))
@@ -56,6 +70,122 @@ def text_blocks(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ",
         F.array_sort(F.collect_list("p")), lambda p: p["part"]), "").alias("piece"))
 
 
+def text_blocks(pages: DataFrame, doc: str, seq: str, text: str, sep: str = " ", block: int = BLOCK) -> DataFrame:
+    """``(doc, i, piece)``: the joined page text of a document, cut at multiples
+    of ``block`` code points. A null text counts as empty."""
+    return _cut(_page_texts(pages, doc, seq, text, sep), doc, block)
+
+
+def whole_distance(a: str, b: str) -> int:
+    """Edit distance of two texts that are not empty, by Myers' recurrence."""
+    a, b = sorted((a, b), key=len)
+    places: dict[str, int] = {}
+    for k, char in enumerate(b):
+        places[char] = places.get(char, 0) | 1 << k
+    every, last, distance = (1 << len(b)) - 1, 1 << len(b) - 1, len(b)
+    plus, minus = every, 0
+    for char in a:
+        equal = places.get(char, 0)
+        across = equal | minus
+        along = (((equal & plus) + plus) ^ plus) | equal
+        grow = minus | (every & ~(along | plus))
+        shrink = plus & along
+        distance += 1 if grow & last else -1 if shrink & last else 0
+        grow, shrink = grow << 1 | 1, shrink << 1
+        plus = (shrink | ~(across | grow)) & every
+        minus = grow & across
+    return distance
+
+
+def near_distance(a: str, b: str) -> int | None:
+    """Edit distance of two texts, or None where it takes too long this way. Edits beyond
+    the difference of the lengths are allowed one by one; kept is the furthest place in
+    the longer text on each diagonal. An edit towards the last diagonal adds nothing
+    beyond the difference, one away from it adds two, another sign in place adds one."""
+    a, b = sorted((a, b), key=len, reverse=True)
+    goal, left = len(a) - len(b), 4 * len(a)
+    two, one, beyond = {}, {}, 0
+    while left > 0:
+        now: dict[int, int] = {}
+        wide = beyond // 2
+        for k in (*range(-wide, goal), *range(goal + wide, goal - 1, -1)):
+            x = one.get(k, -1) + 1
+            x = max(x, (now if k <= goal else two).get(k - 1, -1) + 1, (now if k >= goal else two).get(k + 1, 0))
+            x = began = max(min(x, len(a), len(b) + k), k, 0)
+            y = x - k
+            while x < len(a) and y < len(b) and a[x] == b[y]:
+                x, y = x + 1, y + 1
+            now[k] = x
+            left -= 8 + x - began
+            if left <= 0:
+                return None
+        if now[goal] == len(a):
+            return goal + beyond
+        two, one, beyond = one, now, beyond + 1
+    return None
+
+
+def _meeting(a: str, b: str) -> tuple[int, int]:
+    """Where two long texts are cut: at a stretch that each of them has once, else half way."""
+    short, long = sorted((a, b), key=len)
+    for eighths in (4, 2, 6, 1, 3, 5, 7):
+        at = len(short) * eighths // 8
+        stretch = short[at:at + STRETCH]
+        there = long.find(stretch)
+        if at and there >= 0 and there == long.rfind(stretch) and at == short.find(stretch) == short.rfind(stretch):
+            return (at, there) if short is a else (there, at)
+    return len(a) // 2, len(b) // 2
+
+
+def page_bound(a: str, b: str) -> int:
+    """The edit distance of two pages of up to ``WHOLE`` characters or with few edits; an upper
+    bound for others, which are cut until each part is that short, whatever the cuts."""
+    todo, bound = [(a, b)], 0
+    while todo:
+        a, b = todo.pop()
+        same = len(os.path.commonprefix((a, b)))
+        a, b = a[same:], b[same:]
+        same = len(os.path.commonprefix((a[::-1], b[::-1])))
+        a, b = a[:len(a) - same], b[:len(b) - same]
+        if not a or not b:
+            bound += len(a) + len(b)
+        elif (near := near_distance(a, b)) is not None:
+            bound += near
+        elif len(a) * len(b) <= WHOLE * WHOLE:
+            bound += whole_distance(a, b)
+        else:
+            i, j = _meeting(a, b)
+            todo += [(a[:i], b[:j]), (a[i:], b[j:])]
+    return bound
+
+
+@F.arrow_udf(T.LongType())
+def _page_bounds(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if x is None or y is None else page_bound(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
+
+
+def _documents(left: DataFrame, right: DataFrame, doc: str, seq: str, text: str, sep: str, block: int) -> DataFrame:
+    """``(__doc, left_chars, right_chars, bound, times)`` for every document. ``bound`` is what it
+    costs to edit each page into the page of the same number; a page that only one side
+    has is left out, and its separator. (A separator after the last page, on both sides,
+    changes no distance.) A page longer than a block counts in full, unless both are
+    equal. ``times``: how often a number comes on one side; beyond 1 the rest is void."""
+    types = {s.schema[seq].dataType.simpleString() for s in (left, right)}
+    # numbers of two types may differ in order: no page meets another then
+    pages = ["__page"] * 2 if len(types) == 1 else ["__left", "__right"]
+    sides = [s.select(F.col(doc).alias("__doc"), F.col(seq).alias(page), F.coalesce(F.col(text), F.lit("")).alias(side))
+             for s, page, side in zip((left, right), pages, "ab", strict=True)]
+    pairs = sides[0].unionByName(sides[1], allowMissingColumns=True).groupBy("__doc", *dict.fromkeys(pages)).agg(
+        F.max("a").alias("a"), F.max("b").alias("b"), F.greatest(F.count("a"), F.count("b")).alias("times"))
+    longest = F.greatest(F.length("a"), F.length("b"))      # of one text, if the other is null
+    hard = (F.col("a") != F.col("b")) & (F.length("a") > 0) & (F.length("b") > 0) & (longest <= block)
+    known = F.when(F.col("a") == F.col("b"), F.lit(0)).when(F.col("a").isNull() | F.col("b").isNull(), longest + len(sep)).otherwise(longest)
+    cost = F.coalesce(_page_bounds(F.when(hard, F.col("a")), F.when(hard, F.col("b"))), known)
+    pairs = pairs.select("__doc", "times", cost.cast("long").alias("cost"), *((F.length(side) + len(sep)).cast("long").alias(side) for side in "ab"))
+    chars = [F.coalesce(F.sum(side) - len(sep), F.lit(0)).alias(name) for side, name in (("a", "left_chars"), ("b", "right_chars"))]
+    return pairs.groupBy("__doc").agg(*chars, F.sum("cost").alias("bound"), F.max("times").alias("times"))
+
+
 def _places(chars: np.ndarray, wanted: np.ndarray) -> dict[int, int]:
     """For each wanted code point, the positions that hold it, as bits."""
     return {int(c): int.from_bytes(np.packbits(chars == c, bitorder="little").tobytes(), "little") for c in np.intersect1d(chars, wanted)}
@@ -153,33 +283,40 @@ def joined_text_scores(left: DataFrame, right: DataFrame, doc: str, seq: str, te
     either side: the pages' texts joined in order, compared as E3 does
     (``similarity``). A side without the document is an empty text; ``seq`` is
     unique per document; a null ``doc`` is a document of its own."""
-    sides = [durable(text_blocks(s, doc, seq, text, sep, block), "text-blocks") for s in (left, right)]
-    sizes = [s.groupBy(doc).agg(F.sum(F.length("piece")).alias("n")) for s in sides]
-    names = left.select(doc).unionByName(right.select(doc)).distinct()
-    every = names.select(F.col(doc).alias("__doc"), F.monotonically_increasing_id().alias("key"))
-    every = durable(every, "documents")     # a document's number is settled here
-    for name, size in zip(("left_chars", "right_chars"), sizes, strict=True):
-        size = size.select(F.col(doc).alias("__of"), F.col("n").alias(name))
-        every = every.join(size, every["__doc"].eqNullSafe(size["__of"]), "left").drop("__of").fillna(0, [name])
-    every = every.withColumn("ni", F.ceil(F.col("left_chars") / block)).withColumn("nj", F.ceil(F.col("right_chars") / block))
-    every = durable(every, "documents")
-    keys = every.select("__doc", "key")
-    a, b = (durable(s.join(keys, s[doc].eqNullSafe(keys["__doc"])).select("key", "i", "piece"), "text-blocks") for s in sides)
-    longer = F.col("left_chars") - F.col("right_chars")
-    todo = durable(every.where("ni > 0 and nj > 0").select("key", "ni", "nj", longer.alias("longer"), F.lit(1).cast("long").alias("margin")), "documents")
+    every = _documents(left, right, doc, seq, text, sep, block).withColumn("key", F.monotonically_increasing_id())
+    longest, longer = F.greatest("left_chars", "right_chars"), F.col("left_chars") - F.col("right_chars")
+    settled = (F.col("times") == 1) & (F.least("bound", longest) == F.abs(longer))
+    every = durable(every.withColumn("settled", settled), "documents")      # a document's number is settled here
+    rest, every = every.where("not settled"), every.where("settled").select("__doc", "key", "left_chars", "right_chars")
     found = []
-    while True:
+    todo = None
+    if not rest.isEmpty():
+        keys = rest.select("__doc", "key")
+        sides = [s.join(keys, s[doc].eqNullSafe(keys["__doc"]), "left_semi") for s in (left, right)]
+        sides = [durable(_page_texts(s, doc, seq, text, sep), "page-texts") for s in sides]
+        sides = [s.join(keys, s[doc].eqNullSafe(keys["__doc"])).select("key", "start_pos", "body") for s in sides]
+        rest = rest.drop("left_chars", "right_chars")
+        for name, s in zip(("left_chars", "right_chars"), sides, strict=True):
+            rest = rest.join(s.groupBy("key").agg(F.sum(F.length("body")).alias(name)), "key", "left").fillna(0, [name])
+        rest = rest.withColumn("bound", F.when(F.col("times") == 1, F.least("bound", longest)).otherwise(longest)).withColumn("longer", longer)
+        rest = durable(rest.withColumn("ni", F.ceil(F.col("left_chars") / block)).withColumn("nj", F.ceil(F.col("right_chars") / block)), "documents")
+        every = every.unionByName(rest.select(*every.columns))
+        a, b = (durable(_cut(s, "key", block), "text-blocks") for s in sides)
+        needed = F.greatest(F.lit(1), F.ceil((F.col("bound") - F.abs("longer")) / (2 * block)))
+        margin = F.when(needed <= MARGIN, needed).otherwise(F.lit(1))
+        todo = durable(rest.where("ni > 0 and nj > 0").select("key", "ni", "nj", "longer", "bound", margin.alias("margin")), "documents")
+    while todo is not None:
         strip = todo.select("*", *((F.col("margin") + F.ceil(F.greatest(F.lit(0), d) / block)).alias(side)
                                    for side, d in (("below", F.col("longer")), ("after", -F.col("longer")))))
         most = strip.agg(F.max(F.col("ni") + F.col("nj") - 1).alias("rounds"), F.max("below").alias("below"), F.max("after").alias("after")).first()
         if most["rounds"] is None:
             break
         got = durable(todo.join(_banded(strip, a, b, most["rounds"], most["below"], most["after"]), "key"), "distances")
-        over = F.col("distance") - F.abs("longer")
+        over = F.least("distance", "bound") - F.abs("longer")
         exact = (over <= 2 * F.col("margin") * block) | (F.col("margin") >= F.greatest("ni", "nj"))
         found.append(got.where(exact).select("key", "distance"))
         wider = F.least(F.col("margin") * 4, F.ceil(over / (2 * block)))
-        todo = durable(got.where(~exact).select("key", "ni", "nj", "longer", wider.alias("margin")), "documents")
+        todo = durable(got.where(~exact).select("key", "ni", "nj", "longer", "bound", wider.alias("margin")), "documents")
     out = every
     if found:
         all_found = found[0]
@@ -188,7 +325,6 @@ def joined_text_scores(left: DataFrame, right: DataFrame, doc: str, seq: str, te
         out = every.join(all_found, "key", "left")
     else:
         out = every.withColumn("distance", F.lit(None).cast("long"))
-    longest = F.greatest("left_chars", "right_chars")
-    distance = F.coalesce("distance", longest)      # one side is empty
+    distance = F.coalesce("distance", F.abs(longer))       # settled by the pages, or one side is empty
     score = F.when((longest == 0) | (distance == 0), F.lit(100.0)).otherwise((F.lit(1.0) - distance / longest) * F.lit(100.0))
     return out.select(F.col("__doc").alias(doc), "left_chars", "right_chars", distance.alias("distance"), score.alias("score"))
